@@ -23,24 +23,15 @@ THEME_PREFIX = "UNGP"
 PREVIEW_CHARS = 5000
 MODEL_SEED = 42
 
-# --- fixed values: paragraph patterns, applied from top to bottom -------------
+# --- fixed values: paragraph patterns, in the order of their use --------------
 # Java syntax; (?d) makes "." and "$" treat only \n as the end of a line.
-# STRIP stands for trimming white space on both ends.
-STRIP = None
-PARAGRAPH_RULES = [
-    (r"(?d)^\s?\d+(.*)$", "$1"),
-    (STRIP, ""),
-    (r"\s?-\s?", "-"),
-    (r"\s?([,:;\.])", "$1"),
-    (r"\d{5,}", " "),
-    (
-        r"((http|https)\:\/\/)?[a-zA-Z0-9\.\/\?\:@\-_=#]+\.([a-zA-Z]){2,6}"
-        r"([a-zA-Z0-9\.\&\/\?\:@\-_=#])*",
-        " ",
-    ),
-    (r"\s+", " "),
-    (r"\.+", "."),
-]
+HEADER_NUMBER = r"(?d)^\s?\d+(.*)$"
+HYPHEN = r"\s?-\s?"
+PUNCTUATION = r"\s?([,:;\.])"
+LONG_NUMBER = r"\d{5,}"
+HOST = r"((http|https)\:\/\/)?[a-zA-Z0-9\.\/\?\:@\-_=#]+\.([a-zA-Z]){2,6}([a-zA-Z0-9\.\&\/\?\:@\-_=#])*"
+SPACES = r"\s+"
+POINTS = r"\.+"
 
 # --- fixed values: other patterns --------------------------------------------
 NON_PRINTABLE = r"[^\x20-\x7E\t\n\r\x0B\f]"
@@ -50,7 +41,11 @@ TITLE_TAG = "PAGE_TITLE"
 # --- rules of this library ----------------------------------------------------
 # A line starts a new paragraph when the line before it ends with a full stop
 # and it does not itself begin with a space.
-PARAGRAPH_BREAK = r"(?<=\.)\n(?! )"
+PARAGRAPH_BREAK = r"\n(?<=\.\n)(?! )"
+# A host name can only start where its run of characters starts; saying so keeps
+# the search linear in runs of any length.
+HOST_START = r"(?<![a-zA-Z0-9./?:@\-_=#])"
+HOST_HINT = r"\.[a-zA-Z]{2}"
 SENTENCE_BREAK = r"(?<=[.!?])\s+"
 FILE_KEY = r"([\w-]+)\.[^./]*$"
 TOKEN_BREAK = r"[^a-z0-9]+"

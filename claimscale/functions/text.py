@@ -49,16 +49,31 @@ def paragraphs(text: Column) -> Column:
     return F.transform(raw_paragraphs(text), join_lines)
 
 
-def clean_paragraph(paragraph: Column) -> Column:
-    """Apply the paragraph rules in their order."""
+def _tidy(p: Column) -> Column:
+    p = strip(F.regexp_replace(p, fixed.HEADER_NUMBER, "$1"))
+    p = F.regexp_replace(p, fixed.HYPHEN, "-")
+    p = F.regexp_replace(p, fixed.PUNCTUATION, "$1")
+    return F.regexp_replace(p, fixed.LONG_NUMBER, " ")
+
+
+def _drop_hosts(p: Column) -> Column:
+    # The host pattern is by far the dearest one, and most paragraphs cannot match.
+    dropped = F.regexp_replace(p, fixed.HOST_START + fixed.HOST, " ")
+    return F.when(p.rlike(fixed.HOST_HINT), dropped).otherwise(p)
+
 
-    def apply(text: Column, rule: tuple[str | None, str]) -> Column:
-        pattern, replacement = rule
-        if pattern is fixed.STRIP:
-            return strip(text)
-        return F.regexp_replace(text, pattern, replacement)
+def _collapse(p: Column) -> Column:
+    p = F.regexp_replace(p, fixed.SPACES, " ")
+    return F.regexp_replace(p, fixed.POINTS, ".")
 
-    return reduce(apply, fixed.PARAGRAPH_RULES, paragraph)
+
+# Steps of their own, as the middle one reads its input more than once.
+CLEANING = (_tidy, _drop_hosts, _collapse)
+
+
+def clean_paragraph(paragraph: Column) -> Column:
+    """Remove header and long numbers and host names; mend hyphens and spaces."""
+    return reduce(lambda column, step: step(column), CLEANING, paragraph)
 
 
 def split_sentences(paragraph: Column) -> Column:
@@ -67,18 +82,30 @@ def split_sentences(paragraph: Column) -> Column:
 
 def statements(text: Column) -> Column:
     """array<string> of clean, non-empty statements of one document."""
-    cleaned = F.transform(
-        paragraphs(text), lambda p: split_sentences(clean_paragraph(p))
-    )
-    return F.filter(F.transform(F.flatten(cleaned), strip), lambda s: s != "")
+    cleaned = reduce(F.transform, CLEANING, paragraphs(text))
+    sentences = F.flatten(F.transform(cleaned, split_sentences))
+    return F.filter(F.transform(sentences, strip), lambda s: s != "")
+
+
+def explode_computed(
+    df: DataFrame, array: Column, keep: Sequence[str], position: str, value: str
+) -> DataFrame:
+    """Explode an array that is dear to compute.
+
+    For an inner explode the optimizer adds filters on the array's size, pushes
+    them down, and so computes the array again for each of them.  An outer one is
+    left alone; the rows it adds for empty arrays have no position.
+    """
+    exploded = df.select(*keep, F.posexplode_outer(array).alias(position, value))
+    return exploded.filter(F.col(position).isNotNull())
 
 
 def explode_paragraphs(
     df: DataFrame, text: str, keep: Sequence[str], position: str = "paragraph_no"
 ) -> DataFrame:
     """One row per paragraph; only ``keep`` travels along with it."""
-    return df.select(
-        *keep, F.posexplode(raw_paragraphs(F.col(text))).alias(position, "paragraph")
+    return explode_computed(
+        df, raw_paragraphs(F.col(text)), keep, position, "paragraph"
     ).withColumn("paragraph", join_lines(F.col("paragraph")))
 
 
@@ -95,17 +122,22 @@ def explode_statements(
     statement within its document.
     """
     min_chars = max(min_chars, 1)
-    # A statement is never longer than its paragraph, and a rule only ever
-    # shortens text or keeps its length: short paragraphs can go before cleaning.
+    # No step lengthens a text: what is too short now would be too short later.
+    long_enough = explode_paragraphs(df, text, keep).filter(
+        F.length("paragraph") >= min_chars
+    )
+    cleaned = reduce(
+        lambda rows, step: rows.withColumn("paragraph", step(F.col("paragraph"))),
+        CLEANING,
+        long_enough,
+    )
     return (
-        explode_paragraphs(df, text, keep)
-        .filter(F.length("paragraph") >= min_chars)
-        .select(
-            *keep,
-            "paragraph_no",
-            F.posexplode(split_sentences(clean_paragraph(F.col("paragraph")))).alias(
-                "sentence_no", "statement"
-            ),
+        explode_computed(
+            cleaned,
+            split_sentences(F.col("paragraph")),
+            [*keep, "paragraph_no"],
+            "sentence_no",
+            "statement",
         )
         .withColumn("statement", strip(F.col("statement")))
         .filter(F.length("statement") >= min_chars)

@@ -43,14 +43,16 @@ def rank_within(
     order: Sequence[Column],
     rank: str = "rank",
     one_task_rows: int = ONE_TASK_ROWS,
+    staged: bool = False,
 ) -> DataFrame:
     """Number all rows of each key from 1 in the given total order.
 
     A window gives a key to one task.  With a handful of keys, such as topics,
     that is only fine while the table is known to be small; larger ones are
-    ranked by ranges.  Both ways give the same numbers.
+    ranked by ranges.  Both ways give the same numbers.  ``staged`` says that
+    ``df`` is a written table already.
     """
-    frozen = stage(df, "to-rank")
+    frozen = df if staged else stage(df, "to-rank")
     if frozen.count() <= one_task_rows:
         window = Window.partitionBy(*keys).orderBy(*order)
         return frozen.withColumn(rank, F.row_number().over(window))
@@ -114,6 +116,7 @@ def rank_score(
     entity: str,
     score: str = "score",
     rounded: bool = False,
+    staged: bool = False,
 ) -> DataFrame:
     """Score = row number within ``key`` by ascending ``value``, in percent.
 
@@ -121,6 +124,7 @@ def rank_score(
     scalar subquery: no extra driver round trip and no cross join.
     """
     entities = population.select(F.countDistinct(entity).alias("n")).scalar()
-    ranked = rank_within(df, [key], [F.asc(value), F.asc(tiebreak)])
+    order = [F.asc(value), F.asc(tiebreak)]
+    ranked = rank_within(df, [key], order, staged=staged)
     percent = F.col("rank") * 100 / entities
     return ranked.withColumn(score, F.round(percent) if rounded else percent)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimscale import fixed
-from claimscale.functions.text import token_sql
+from claimscale.functions.text import explode_computed, token_sql
 from claimscale.functions.topics import top_probability, top_topic
 from claimscale.sources.staging import stage
 
@@ -22,7 +22,8 @@ MODEL_INPUT = "_text"
 
 def term_counts(tokens: DataFrame, column: str = "tokens") -> DataFrame:
     """Occurrences of each term; a frequent term is combined on the map side."""
-    return tokens.select(F.explode(column).alias("term")).groupBy("term").count()
+    terms = explode_computed(tokens, F.col(column), [], "at", "term")
+    return terms.groupBy("term").count()
 
 
 def vocabulary(
@@ -37,6 +38,21 @@ def vocabulary(
     return [row["term"] for row in top.limit(size).collect()]
 
 
+def count_vectors(terms: Sequence[str]) -> CountVectorizerModel:
+    """Term counter for a given vocabulary.
+
+    ``CountVectorizerModel.from_vocabulary`` hands terms to the JVM one call at a
+    time, which takes a minute for a large vocabulary; this hands over one text
+    and splits it there.  Tokens hold no line ends.
+    """
+    jvm = SparkSession.active().sparkContext._jvm
+    array = jvm.java.util.regex.Pattern.compile("\n").split("\n".join(terms))
+    model = CountVectorizerModel._create_from_java_class(
+        "org.apache.spark.ml.feature.CountVectorizerModel", array
+    )
+    return model.setInputCol("tokens").setOutputCol("features")
+
+
 def fit_topics(
     documents: DataFrame,
     text: str = "statement",
@@ -62,11 +78,7 @@ def fit_topics(
     if order:
         tokens = tokens.repartitionByRange(*order).sortWithinPartitions(*order)
     tokens = stage(tokens, "tokens")
-    counts = CountVectorizerModel.from_vocabulary(
-        vocabulary(tokens, size=vocabulary_size),
-        inputCol="tokens",
-        outputCol="features",
-    )
+    counts = count_vectors(vocabulary(tokens, size=vocabulary_size))
     features = stage(counts.transform(tokens).select("features"), "features")
     lda = LDA(
         k=topics,
@@ -115,9 +127,11 @@ def topic_terms(model: PipelineModel, n: int = 10) -> DataFrame:
     """The ``n`` heaviest terms per topic: topic_id, rank, term, weight."""
     counts, lda = _parts(model)
     described = lda.describeTopics(n)
-    spark = described.sparkSession
-    terms = spark.createDataFrame(
-        list(enumerate(counts.vocabulary)), "term_id int, term string"
+    # At most n terms per topic; only those are fetched from the vocabulary.
+    used = described.select(F.explode("termIndices").alias("i")).distinct().collect()
+    words = counts._java_obj.vocabulary()
+    terms = described.sparkSession.createDataFrame(
+        [(row["i"], words[row["i"]]) for row in used], "term_id int, term string"
     )
     return (
         described.select(

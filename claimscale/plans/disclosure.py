@@ -60,6 +60,12 @@ def csr_scores(
     """Rank organisations within each topic by their probability mass."""
     mass = topic_mass(chosen, ["organisation"], labels=labels)
     scored = rank_score(
-        mass, "topic_id", "esg", "organisation", chosen, entity, rounded=rounded
+        mass,
+        "topic_id",
+        "esg",
+        "organisation",
+        population=chosen,
+        entity=entity,
+        rounded=rounded,
     )
     return scored.select("organisation", "topic_id", "score")

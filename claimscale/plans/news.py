@@ -78,5 +78,11 @@ def news_scores(
     """Weighted tone per (organisation, topic) and its rank score, not rounded."""
     weighted = stage(weighted_tone(classified, labels=labels), "weighted")
     return rank_score(
-        weighted, "policy", "esg", "organisation", weighted, "organisation"
+        weighted,
+        "policy",
+        "esg",
+        "organisation",
+        population=weighted,
+        entity="organisation",
+        staged=True,
     ).drop("rank")

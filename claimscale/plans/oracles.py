@@ -154,14 +154,23 @@ paragraphs AS (
 )"""
 
 
-def _cleaned(column: str) -> str:
-    sql = column
-    for pattern, replacement in fixed.PARAGRAPH_RULES:
-        if pattern is fixed.STRIP:
+_CLEANING = [
+    (fixed.HEADER_NUMBER.removeprefix("(?d)"), r"\1"),
+    (None, ""),
+    (fixed.HYPHEN, "-"),
+    (fixed.PUNCTUATION, r"\1"),
+    (fixed.LONG_NUMBER, " "),
+    (fixed.HOST, " "),
+    (fixed.SPACES, " "),
+    (fixed.POINTS, "."),
+]
+
+
+def _cleaned(sql: str) -> str:
+    for pattern, replacement in _CLEANING:
+        if pattern is None:
             sql = f"trim({sql}, {_WHITE})"
         else:
-            pattern = pattern.removeprefix("(?d)")
-            replacement = replacement.replace("$1", r"\1")
             sql = f"regexp_replace({sql}, '{pattern}', '{replacement}', 'g')"
     return sql
 

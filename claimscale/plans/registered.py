@@ -18,6 +18,7 @@ from claimscale.operators import aggregates, joins, matrix, ranking, topic_model
 from claimscale.plans import compare, disclosure, news, standins
 from claimscale.plans.standins import table
 from claimscale.sources import exports, files, tables
+from claimscale.sources.files import spread
 from claimscale.sources.staging import fresh_path, stage
 from claimscale.streaming import ingest
 
@@ -208,7 +209,7 @@ def prepared_news(spark: SparkSession, folder: str) -> DataFrame:
     raw = (
         table(spark, folder, "events")
         .withColumn("page_id", F.col("event_id") % size)
-        .join(pages, "page_id")
+        .join(spread(pages), "page_id")
         .select(
             F.col("ts").alias("publishDate"),
             F.col("user_id").alias("ticker"),
@@ -229,18 +230,22 @@ def prepared_news(spark: SparkSession, folder: str) -> DataFrame:
 # --- text ----------------------------------------------------------------------
 
 
+def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "documents"))
+
+
 def paragraphs(spark: SparkSession, folder: str) -> DataFrame:
-    return T.explode_paragraphs(table(spark, folder, "documents"), "text", ["doc_id"])
+    return T.explode_paragraphs(_documents(spark, folder), "text", ["doc_id"])
 
 
 def clean_statements(spark: SparkSession, folder: str) -> DataFrame:
     return disclosure.clean_statements(
-        table(spark, folder, "documents"), "text", ["doc_id", "source"]
+        _documents(spark, folder), "text", ["doc_id", "source"]
     )
 
 
 def statement_arrays(spark: SparkSession, folder: str) -> DataFrame:
-    found = table(spark, folder, "documents").select(
+    found = _documents(spark, folder).select(
         "doc_id", T.statements(F.col("text")).alias("statements")
     )
     return found.select(
@@ -257,7 +262,7 @@ def folded_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select(
+    return _documents(spark, folder).select(
         "doc_id",
         F.size(T.tokens("text")).alias("n_tokens"),
         T.normalised_text("text").alias("normalised"),
@@ -265,7 +270,7 @@ def tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def term_counts(spark: SparkSession, folder: str) -> DataFrame:
-    split = table(spark, folder, "documents").select(T.tokens("text").alias("tokens"))
+    split = _documents(spark, folder).select(T.tokens("text").alias("tokens"))
     return topic_model.term_counts(split)
 
 
@@ -278,7 +283,7 @@ def page_titles(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def page_text(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "pages").select(
+    return spread(table(spark, folder, "pages")).select(
         "page_id", T.markup_text(F.col("html")).alias("text")
     )
 

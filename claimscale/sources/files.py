@@ -75,6 +75,23 @@ def read_path(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Give the work after a small table scan at least one task per core.
+
+    A Parquet row group is read by one task.  Pattern matching over a table of few
+    row groups would leave most cores idle, so its rows are dealt out first.  A
+    scan that already has a task for every core is returned as it is: no table
+    that is large for its cluster is ever shuffled here.  ``scan`` must be a plain
+    scan, for which counting the splits runs nothing.
+    """
+    if scan.isStreaming:
+        return scan
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(2 * cores)
+
+
 def path_in_sql(path: str) -> str:
     """The same table as a relation in SQL text."""
     return "parquet.`" + path.replace("`", "``") + "`"
