@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimscale import fixed
+from claimscale.operators.compute import explode_computed
 
 
 def _sql_text(value: str) -> str:
@@ -87,19 +88,6 @@ def statements(text: Column) -> Column:
     return F.filter(F.transform(sentences, strip), lambda s: s != "")
 
 
-def explode_computed(
-    df: DataFrame, array: Column, keep: Sequence[str], position: str, value: str
-) -> DataFrame:
-    """Explode an array that is dear to compute.
-
-    For an inner explode the optimizer adds filters on the array's size, pushes
-    them down, and so computes the array again for each of them.  An outer one is
-    left alone; the rows it adds for empty arrays have no position.
-    """
-    exploded = df.select(*keep, F.posexplode_outer(array).alias(position, value))
-    return exploded.filter(F.col(position).isNotNull())
-
-
 def explode_paragraphs(
     df: DataFrame, text: str, keep: Sequence[str], position: str = "paragraph_no"
 ) -> DataFrame:
@@ -185,9 +173,9 @@ def title(markup: Column, tag: str = fixed.TITLE_TAG) -> Column:
     return F.coalesce(found, F.lit(""))
 
 
-def file_key(path: Column) -> Column:
-    """File name without its extension."""
-    return F.regexp_extract(path, fixed.FILE_KEY, 1)
+def file_key(path: Column, pattern: str = fixed.FILE_KEY) -> Column:
+    """File name without its extension, or what another pattern takes of a path."""
+    return F.regexp_extract(path, pattern, 1)
 
 
 def preview(text: Column, chars: int = fixed.PREVIEW_CHARS) -> Column:

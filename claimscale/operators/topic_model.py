@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimscale import fixed
-from claimscale.functions.text import explode_computed, token_sql
+from claimscale.functions.text import token_sql
 from claimscale.functions.topics import top_probability, top_topic
+from claimscale.operators.compute import explode_computed, with_computed
 from claimscale.sources.staging import stage
 
 VOCABULARY_SIZE = 1 << 18
@@ -74,10 +75,10 @@ def fit_topics(
         "FROM __THIS__"
     )
     texts = documents.select(*order, F.col(text).alias(MODEL_INPUT))
-    tokens = tokenise.transform(texts).select(*order, "tokens")
     if order:
-        tokens = tokens.repartitionByRange(*order).sortWithinPartitions(*order)
-    tokens = stage(tokens, "tokens")
+        # Sorted before it is split: sampling for the ranges reads texts only.
+        texts = texts.repartitionByRange(*order).sortWithinPartitions(*order)
+    tokens = stage(tokenise.transform(texts).select("tokens"), "tokens")
     counts = count_vectors(vocabulary(tokens, size=vocabulary_size))
     features = stage(counts.transform(tokens).select("features"), "features")
     lda = LDA(
@@ -118,9 +119,11 @@ def distributions(
 ) -> DataFrame:
     """Add the topic distribution as array<double> ``probabilities``."""
     rows = documents.withColumn(MODEL_INPUT, F.col(text))
-    return model.transform(rows).select(
-        *documents.columns, vector_to_array("distribution").alias("probabilities")
-    )
+    scored = model.transform(rows).select(*documents.columns, "distribution")
+    # Inference is by far the dearest step; a filter must not repeat it.
+    return with_computed(
+        scored, "probabilities", vector_to_array("distribution")
+    ).drop("distribution")
 
 
 def topic_terms(model: PipelineModel, n: int = 10) -> DataFrame:

@@ -12,6 +12,7 @@ from claimscale import fixed
 from claimscale.functions.text import title
 from claimscale.functions.topics import Labels, any_starts_with
 from claimscale.operators.aggregates import label_distribution, weighted_tone
+from claimscale.operators.compute import with_computed
 from claimscale.operators.joins import lookup_join
 from claimscale.operators.ranking import rank_score, top_per_key
 from claimscale.operators.topic_model import distributions
@@ -30,13 +31,14 @@ def prepare_news(
 ) -> DataFrame:
     """The latest titled articles on a theme, per ticker.
 
-    Theme and title filters need only the article, so they come before the join.
+    Theme and title filters need only the article, so they come before the join,
+    and each title is looked for once.
     Copies are removed first: distinct combines them on the map side, and the
     ranking then sees each article once.
     """
+    on_theme = raw.filter(any_starts_with(F.col("themes"), prefix))
     titled = (
-        raw.filter(any_starts_with(F.col("themes"), prefix))
-        .withColumn("title", title(F.col("extrasXML"), title_tag))
+        with_computed(on_theme, "title", title(F.col("extrasXML"), title_tag))
         .filter(F.length("title") > 0)
         .select(
             F.col("publishDate").alias("date"),

@@ -385,4 +385,8 @@ ORACLES: dict[str, str] = {
         SELECT vec_id, topic_id, topic, policy FROM scored JOIN topics USING (topic_id)""",
     "binary_scan": _PAGE_DOCUMENTS,
     "stream_ingest": _PAGE_DOCUMENTS,
+    "logo_metadata": """
+        SELECT CAST(s_suppkey AS VARCHAR) AS ticker, s_name AS logo_content,
+               lower(s_name) AS organisation, n_name AS description
+        FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
 }

@@ -531,18 +531,10 @@ def json_dimension(spark: SparkSession, folder: str) -> DataFrame:
 # --- documents as files ----------------------------------------------------------
 
 
-def _page_files(spark: SparkSession, folder: str) -> str:
+def _page_files(spark: SparkSession, folder: str) -> tuple[str, str]:
     path = fresh_path(spark, "pages")
-    files.write_document_files(
-        table(spark, folder, "pages"), "page_id", "html", path
-    )
-    return path
-
-
-def _page_documents(files_read: DataFrame) -> DataFrame:
-    """Take the key from the subfolder, in the place of the file name."""
-    key = F.regexp_extract("path", r"page_id=([\w-]+)", 1)
-    return files_read.withColumn("path", F.concat(F.lit("page/"), key, F.lit(".pdf")))
+    pages = table(spark, folder, "pages")
+    return path, files.write_document_files(pages, "page_id", "html", path)
 
 
 def _page_metadata(spark: SparkSession, folder: str) -> DataFrame:
@@ -555,24 +547,37 @@ def _page_metadata(spark: SparkSession, folder: str) -> DataFrame:
 
 def binary_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as files, read in batch and joined with their metadata."""
-    scanned = files.read_binary(spark, _page_files(spark, folder), "*.txt")
-    joined = ingest.join_metadata(
-        _page_documents(scanned), _page_metadata(spark, folder)
-    )
-    return joined
+    path, key = _page_files(spark, folder)
+    scanned = files.read_binary(spark, path, "*.txt")
+    return ingest.join_metadata(scanned, _page_metadata(spark, folder), key)
 
 
 def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as files, drained through a stream into a table."""
-    schema = tables.fresh_schema(spark)
-    stream = ingest.file_stream(spark, _page_files(spark, folder), glob="*.txt")
-    joined = ingest.join_metadata(
-        _page_documents(stream), _page_metadata(spark, folder)
-    )
-    ingest.drain_to_table(
-        joined, f"{schema}.raw_documents", fresh_path(spark, "checkpoint")
-    )
-    return spark.table(f"{schema}.raw_documents")
+    name = f"{tables.fresh_schema(spark)}.raw_documents"
+    path, key = _page_files(spark, folder)
+    stream = ingest.file_stream(spark, path, glob="*.txt")
+    joined = ingest.join_metadata(stream, _page_metadata(spark, folder), key)
+    ingest.drain_to_table(joined, name, fresh_path(spark, "checkpoint"))
+    return spark.table(name)
+
+
+def logo_metadata(spark: SparkSession, folder: str) -> DataFrame:
+    """Logos as binary files ⋈ the organisations they belong to."""
+    suppliers = table(spark, folder, "supplier")
+    path = fresh_path(spark, "logos")
+    key = files.write_document_files(suppliers, "s_suppkey", "s_name", path)
+    nations = table(spark, folder, "nation")
+    organisations = suppliers.join(
+        nations, F.col("s_nationkey") == F.col("n_nationkey")
+    ).select(
+        F.col("s_suppkey").cast("string").alias("ticker"),
+        F.lower("s_name").alias("organisation"),
+        F.col("n_name").alias("description"),
+    )
+    logos = files.read_binary(spark, path, "*.txt")
+    joined = ingest.organisation_metadata(logos, organisations, key)
+    return joined.withColumn("logo_content", T.strip(F.decode("logo_content", "UTF-8")))
 
 
 # --- topic model -----------------------------------------------------------------
@@ -682,6 +687,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         json_dimension,
         binary_scan,
         stream_ingest,
+        logo_metadata,
         topic_model_scores,
         topic_terms,
         modelled_news,

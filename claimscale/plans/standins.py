@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,12 +12,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def squared_shares(embedding: Column, n: int = TOPICS) -> Column:
+def squared_shares(embedding: str, n: int = TOPICS) -> Column:
     """Squares of the first ``n`` values, divided by their sum."""
-    values = [F.get(embedding, F.lit(i)).cast("double") for i in range(n)]
-    squares = [v * v for v in values]
-    total = reduce(add, squares)
-    return F.array(*[s / total for s in squares])
+    values = [f"CAST({embedding}[{i}] AS DOUBLE)" for i in range(n)]
+    squares = [f"({v} * {v})" for v in values]
+    total = " + ".join(squares)
+    return F.expr(f"array({', '.join(f'{s} / ({total})' for s in squares)})")
 
 
 def disclosures(spark: SparkSession, folder: str) -> DataFrame:
@@ -28,7 +25,7 @@ def disclosures(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "embeddings").select(
         "vec_id",
         F.concat(F.lit("Org_"), F.col("label").cast("string")).alias("organisation"),
-        squared_shares(F.col("embedding")).alias("probabilities"),
+        squared_shares("embedding").alias("probabilities"),
     )
 
 
@@ -49,7 +46,7 @@ def classified_news(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
     size = vectors.select(F.count(F.lit(1)).alias("n")).scalar()
     distributions = vectors.select(
-        "vec_id", squared_shares(F.col("embedding")).alias("probabilities")
+        "vec_id", squared_shares("embedding").alias("probabilities")
     )
     return (
         news(spark, folder)

@@ -116,12 +116,16 @@ def clustered(
     return df.repartitionByRange(files, *by).sortWithinPartitions(*by)
 
 
-def with_file_key(files: DataFrame, key: str = "ticker") -> DataFrame:
-    return files.withColumn(key, file_key(F.col("path")))
+def with_file_key(
+    files: DataFrame, key: str = "ticker", pattern: str = fixed.FILE_KEY
+) -> DataFrame:
+    return files.withColumn(key, file_key(F.col("path"), pattern))
+
 
+def write_document_files(df: DataFrame, key: str, content: str, path: str) -> str:
+    """Write each row's text as a file of its own under ``<key>=<value>/``.
 
-def write_document_files(
-    df: DataFrame, key: str, content: str, path: str
-) -> None:
-    """Write each row's text as a file of its own under ``<key>=<value>/``."""
+    Returns the pattern that takes the key from such a file's path.
+    """
     df.select(key, content).write.partitionBy(key).text(path)
+    return rf"/{key}=([^/]*)/"

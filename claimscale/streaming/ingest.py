@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from claimscale import fixed
 from claimscale.functions.text import document_text
 from claimscale.operators.joins import lookup_join
 from claimscale.sources.files import BINARY_SCHEMA, with_file_key
@@ -32,21 +33,25 @@ def file_stream(
     return reader.load(path)
 
 
-def organisation_metadata(logos: DataFrame, organisations: DataFrame) -> DataFrame:
-    """Logo files ⋈ organisation table on the ticker in the file name."""
-    pictures = with_file_key(logos).select(
+def organisation_metadata(
+    logos: DataFrame, organisations: DataFrame, pattern: str = fixed.FILE_KEY
+) -> DataFrame:
+    """Logo files ⋈ organisation table on the ticker in the file's path."""
+    pictures = with_file_key(logos, pattern=pattern).select(
         "ticker", F.col("content").alias("logo_content")
     )
     wanted = organisations.select("ticker", "organisation", "description")
     return lookup_join(pictures, wanted, ["ticker"])
 
 
-def join_metadata(documents: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Documents (stream or table) ⋈ metadata on the ticker in the file name.
+def join_metadata(
+    documents: DataFrame, metadata: DataFrame, pattern: str = fixed.FILE_KEY
+) -> DataFrame:
+    """Documents (stream or table) ⋈ metadata on the ticker in the file's path.
 
     Bytes become text before the join, so no document is shuffled as bytes.
     """
-    texts = with_file_key(documents).select(
+    texts = with_file_key(documents, pattern=pattern).select(
         "ticker", document_text(F.col("content")).alias("pdf_content")
     )
     joined = lookup_join(texts, metadata, ["ticker"])
