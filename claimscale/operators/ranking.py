@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimscale.operators.joins import lookup_join
+from claimscale.operators.joins import BROADCAST_BYTES, text_bytes
 from claimscale.sources.staging import stage
 
 ONE_TASK_ROWS = 1_000_000
@@ -77,7 +77,7 @@ def rank_by_ranges(
     by = [F.col(k) for k in keys] + list(order)
     if partitions is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    block = F.shiftright(F.col("_at"), 33).alias("_block")
+    block = F.shiftright(F.col("_at"), 33)
     placed = stage(
         df.repartitionByRange(partitions, *by)
         .sortWithinPartitions(*by)
@@ -86,23 +86,26 @@ def rank_by_ranges(
     )
     earlier = (
         Window.partitionBy(*keys)
-        .orderBy("_block")
+        .orderBy("_in")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     # At most one row per key and block.
     shifts = (
-        placed.groupBy(*keys, block)
+        placed.groupBy(*keys, block.alias("_in"))
         .agg(F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_first"))
+        .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
         .select(
-            *keys,
-            "_block",
-            (
-                F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1
-            ).alias("_shift"),
+            *[F.col(k).alias(f"_of_{k}") for k in keys],
+            "_in",
+            (F.col("_before") - F.col("_first") + 1).alias("_shift"),
         )
     )
-    located = lookup_join(placed.select("*", block), shifts, [*keys, "_block"])
-    return located.select(
+    if text_bytes(shifts) <= BROADCAST_BYTES:
+        shifts = F.broadcast(shifts)
+    # A null key is a key like any other here.
+    same = [block == F.col("_in")]
+    same += [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    return placed.join(shifts, same).select(
         *df.columns, (F.col("_at") + F.col("_shift")).cast("int").alias(rank)
     )
 
