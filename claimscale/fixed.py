@@ -47,6 +47,7 @@ PARAGRAPH_BREAK = r"\n(?<=\.\n)(?! )"
 HOST_START = r"(?<![a-zA-Z0-9./?:@\-_=#])"
 HOST_HINT = r"\.[a-zA-Z]{2}"
 SENTENCE_BREAK = r"(?<=[.!?])\s+"
+PAGE_BREAK = "\f"
 FILE_KEY = r"([\w-]+)\.[^./]*$"
 TOKEN_BREAK = r"[^a-z0-9]+"
 MIN_TOKEN_CHARS = 4

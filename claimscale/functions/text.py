@@ -204,5 +204,6 @@ def markup_text(markup: Column) -> Column:
 
 
 def document_text(content: Column) -> Column:
-    """Text of a binary document that holds UTF-8 markup."""
-    return markup_text(F.decode(content, "UTF-8"))
+    """Text of a binary document: UTF-8 markup, pages divided by form feeds."""
+    pages = F.split(F.decode(content, "UTF-8"), fixed.PAGE_BREAK)
+    return join_pages(F.transform(pages, markup_text))

@@ -7,9 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimscale.sources.staging import stage
+
 BROADCAST_BYTES = 32 * 1024 * 1024
 HEAVY_SHARE = 0.001
 SALTS = 64
+SAMPLE = 0.02
 
 
 def text_bytes(df: DataFrame) -> int:
@@ -35,15 +38,24 @@ def lookup_join(
         return facts.join(F.broadcast(lookup), on)
     if facts.isStreaming:
         return facts.join(lookup, on)
-    return split_join(facts, lookup, on)
+    return split_join(facts, lookup, on, fraction=SAMPLE)
 
 
 def heavy_keys(
-    df: DataFrame, on: Sequence[str], share: float = HEAVY_SHARE
+    df: DataFrame,
+    on: Sequence[str],
+    share: float = HEAVY_SHARE,
+    fraction: float = 1.0,
 ) -> DataFrame:
-    """Keys that hold more than ``share`` of all rows; at most 1/share of them."""
-    rows = df.select(F.count(F.lit(1)).alias("n")).scalar()
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    """Keys that hold more than ``share`` of all rows; at most 1/share of them.
+
+    They may be judged by a ``fraction`` of the rows.
+    """
+    seen = df.select(*on)
+    if fraction < 1:
+        seen = seen.sample(fraction, seed=1)
+    rows = seen.select(F.count(F.lit(1)).alias("n")).scalar()
+    counts = seen.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
     return counts.filter(F.col("_rows") > rows * share).select(*on)
 
 
@@ -53,15 +65,22 @@ def split_join(
     on: Sequence[str],
     share: float = HEAVY_SHARE,
     salts: int = SALTS,
+    fraction: float = 1.0,
 ) -> DataFrame:
     """Inner equi-join in which the rows of each heavy key go to ``salts`` tasks.
 
     Only lookup rows of heavy keys are replicated.  The salt is a hash of the
-    fact row, so a repeated task sends each row to the same place.
+    fact row, so a repeated task sends each row to the same place.  Which keys
+    count as heavy changes only who does the work, never the result: a
+    ``fraction`` of the rows can decide.  The decision is staged, because both
+    sides have to follow the same one.
     """
     on = list(on)
     # Bounded by 1/share rows, whatever the size of the facts.
-    heavy = F.broadcast(heavy_keys(facts, on, share).withColumn("_heavy", F.lit(True)))
+    chosen = stage(heavy_keys(facts, on, share, fraction), "heavy-keys")
+    if chosen.isEmpty():
+        return facts.join(lookup, on)
+    heavy = F.broadcast(chosen.withColumn("_heavy", F.lit(True)))
     spread = [c for c in facts.columns if c not in on] or on
 
     def mark(df: DataFrame) -> DataFrame:

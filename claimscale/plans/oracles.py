@@ -214,10 +214,15 @@ def _markup(column: str) -> str:
     return f"trim(regexp_replace({sql}, '\\s+', ' ', 'g'), {_WHITE})"
 
 
-_PAGE_DOCUMENTS = f"""
-SELECT d.source AS organisation, {_markup('p.html')} AS pdf_content,
-       CAST(p.page_id AS VARCHAR) AS ticker, d.lang AS description
-FROM pages p JOIN documents d ON p.page_id = d.doc_id
+_DOCUMENT_FILES = f"""
+WITH bound AS (
+  SELECT page_id // 100 AS ticker,
+         string_agg({_markup('html')}, chr(10) ORDER BY page_id) AS pdf_content
+  FROM pages GROUP BY page_id // 100
+)
+SELECT d.source AS organisation, b.pdf_content, CAST(b.ticker AS VARCHAR) AS ticker,
+       d.lang AS description
+FROM bound b JOIN documents d ON b.ticker = d.doc_id
 """
 
 _PER_DAY = """
@@ -383,8 +388,8 @@ ORACLES: dict[str, str] = {
         SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity FROM lineitem""",
     "json_dimension": f"""WITH {_SCORED}
         SELECT vec_id, topic_id, topic, policy FROM scored JOIN topics USING (topic_id)""",
-    "binary_scan": _PAGE_DOCUMENTS,
-    "stream_ingest": _PAGE_DOCUMENTS,
+    "binary_scan": _DOCUMENT_FILES,
+    "stream_ingest": _DOCUMENT_FILES,
     "logo_metadata": """
         SELECT CAST(s_suppkey AS VARCHAR) AS ticker, s_name AS logo_content,
                lower(s_name) AS organisation, n_name AS description

@@ -531,13 +531,25 @@ def json_dimension(spark: SparkSession, folder: str) -> DataFrame:
 # --- documents as files ----------------------------------------------------------
 
 
-def _page_files(spark: SparkSession, folder: str) -> tuple[str, str]:
-    path = fresh_path(spark, "pages")
-    pages = table(spark, folder, "pages")
-    return path, files.write_document_files(pages, "page_id", "html", path)
+PAGES_PER_DOCUMENT = 100
+
+
+def _document_files(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """Pages bound to documents of a hundred pages, one file each."""
+    number = F.col("page_id") % PAGES_PER_DOCUMENT
+    page = F.when(number == 0, F.col("html")).otherwise(
+        F.concat(F.lit(fixed.PAGE_BREAK), "html")
+    )
+    pages = spread(table(spark, folder, "pages")).select(
+        F.expr(f"page_id div {PAGES_PER_DOCUMENT}").alias("ticker"),
+        "page_id",
+        page.alias("page"),
+    )
+    path = fresh_path(spark, "documents")
+    return path, files.write_document_files(pages, "ticker", "page", path, ["page_id"])
 
 
-def _page_metadata(spark: SparkSession, folder: str) -> DataFrame:
+def _document_metadata(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select(
         F.col("doc_id").cast("string").alias("ticker"),
         F.col("source").alias("organisation"),
@@ -547,17 +559,17 @@ def _page_metadata(spark: SparkSession, folder: str) -> DataFrame:
 
 def binary_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as files, read in batch and joined with their metadata."""
-    path, key = _page_files(spark, folder)
+    path, key = _document_files(spark, folder)
     scanned = files.read_binary(spark, path, "*.txt")
-    return ingest.join_metadata(scanned, _page_metadata(spark, folder), key)
+    return ingest.join_metadata(scanned, _document_metadata(spark, folder), key)
 
 
 def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as files, drained through a stream into a table."""
     name = f"{tables.fresh_schema(spark)}.raw_documents"
-    path, key = _page_files(spark, folder)
+    path, key = _document_files(spark, folder)
     stream = ingest.file_stream(spark, path, glob="*.txt")
-    joined = ingest.join_metadata(stream, _page_metadata(spark, folder), key)
+    joined = ingest.join_metadata(stream, _document_metadata(spark, folder), key)
     ingest.drain_to_table(joined, name, fresh_path(spark, "checkpoint"))
     return spark.table(name)
 

@@ -14,6 +14,7 @@ from claimscale.functions.topics import Labels
 from claimscale.operators import topic_model
 from claimscale.plans import compare, disclosure, news
 from claimscale.sources.files import clustered, topic_dimension
+from claimscale.sources.staging import stage
 from claimscale.sources.tables import replace_table
 from claimscale.streaming.ingest import drain_to_table, file_stream, join_metadata
 
@@ -39,8 +40,10 @@ def ingest_documents(
 ) -> DataFrame:
     """Append new document files, with their metadata, to the raw table."""
     table = f"{schema}.{RAW}"
+    # Every micro-batch reads the metadata, so it is computed only once.
+    known = stage(metadata, "metadata")
     stream = file_stream(spark, path, glob=glob)
-    drain_to_table(join_metadata(stream, metadata, pattern), table, checkpoint)
+    drain_to_table(join_metadata(stream, known, pattern), table, checkpoint)
     return spark.table(table)
 
 

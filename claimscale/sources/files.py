@@ -122,10 +122,21 @@ def with_file_key(
     return files.withColumn(key, file_key(F.col("path"), pattern))
 
 
-def write_document_files(df: DataFrame, key: str, content: str, path: str) -> str:
-    """Write each row's text as a file of its own under ``<key>=<value>/``.
+def write_document_files(
+    pages: DataFrame, key: str, content: str, path: str, order: Sequence[str] = ()
+) -> str:
+    """Write one text file per key, under ``<key>=<value>/``.
 
-    Returns the pattern that takes the key from such a file's path.
+    The rows of a key are the pages of its document, in the given order.  Returns
+    the pattern that takes the key from the path of such a file.
     """
-    df.select(key, content).write.partitionBy(key).text(path)
+    tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (
+        pages.select(key, content, *order)
+        .repartition(tasks, key)
+        .sortWithinPartitions(key, *order)
+        .select(key, content)
+        .write.partitionBy(key)
+        .text(path)
+    )
     return rf"/{key}=([^/]*)/"

@@ -158,9 +158,10 @@ def test_markup_text(spark):
         b"<html><STYLE>p{}</STYLE><script type='x'>if(a<b){}\n</script>"
         b"<p>A &amp; B&nbsp;&lt;c&gt;</p>\n<p>D</p></html>"
     )
-    rows = spark.createDataFrame([(bytearray(page),)], "content binary")
-    got = rows.select(T.document_text(F.col("content"))).first()[0]
-    assert got == "A & B <c> D"
+    two = bytearray(page + b"\f\n<p>Page 2</p>\n")
+    rows = spark.createDataFrame([(bytearray(page),), (two,)], "content binary")
+    got = [r[0] for r in rows.select(T.document_text(F.col("content"))).collect()]
+    assert got == ["A & B <c> D", "A & B <c> D\nPage 2"]
 
 
 def test_preview_and_pages(spark):
