@@ -170,7 +170,8 @@ def normalised_text(column: str, **options) -> Column:
 def title(markup: Column, tag: str = fixed.TITLE_TAG) -> Column:
     """Text of the first ``tag`` element, '' when there is none."""
     found = F.regexp_extract(markup, f"(?d)<{tag}>(.+?)</{tag}>", 1)
-    return F.coalesce(found, F.lit(""))
+    # The search for the bare tag works on bytes; only a hit is decoded for the pattern.
+    return F.when(markup.contains(f"<{tag}>"), found).otherwise(F.lit(""))
 
 
 def file_key(path: Column, pattern: str = fixed.FILE_KEY) -> Column:

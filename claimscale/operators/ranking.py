@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimscale.operators.joins import BROADCAST_BYTES, text_bytes
+from claimscale.session import shuffle_width
 from claimscale.sources.staging import stage
 
 ONE_TASK_ROWS = 1_000_000
@@ -76,7 +77,7 @@ def rank_by_ranges(
     keys = list(keys)
     by = [F.col(k) for k in keys] + list(order)
     if partitions is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = shuffle_width(df.sparkSession)
     block = F.shiftright(F.col("_at"), 33)
     placed = stage(
         df.repartitionByRange(partitions, *by)

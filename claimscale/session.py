@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 _local_folders: dict[str, str] = {}
 
 
@@ -34,6 +36,26 @@ def local_session(name: str, cores: int | str = "*", **settings: str) -> SparkSe
     return builder.getOrCreate()
 
 
+def size_shuffles(
+    spark: SparkSession, input_bytes: int, per_task: int = 128 * 1024 * 1024
+) -> int:
+    """Let shuffles start with enough partitions for ``input_bytes``.
+
+    Adaptive execution merges partitions that turn out small, but it cannot cut
+    a shuffle into more than it started with.  Returns the number set; it never
+    goes below the session's own.
+    """
+    width = max(shuffle_width(spark), -(-input_bytes // per_task))
+    spark.conf.set(INITIAL_PARTITIONS, str(width))
+    return width
+
+
+def shuffle_width(spark: SparkSession) -> int:
+    """Partitions that a shuffle starts with."""
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    return int(spark.conf.get(INITIAL_PARTITIONS, None) or usual)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach, for staged results.
 

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 from claimscale import fixed
 from claimscale.functions.text import file_key
 from claimscale.functions.topics import Labels, ordered_labels
+from claimscale.session import shuffle_width
 
 BINARY_SCHEMA = (
     "path string, modificationTime timestamp, length bigint, content binary"
@@ -130,7 +131,7 @@ def write_document_files(
     The rows of a key are the pages of its document, in the given order.  Returns
     the pattern that takes the key from the path of such a file.
     """
-    tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = shuffle_width(pages.sparkSession)
     (
         pages.select(key, content, *order)
         .repartition(tasks, key)

@@ -9,10 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from claimscale.session import shared_folder
 
 
+def stage_folder(spark: SparkSession) -> str:
+    """Folder of everything this application stages."""
+    return f"{shared_folder(spark)}/claimscale/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing has used before."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/claimscale/{app}/{label}-{uuid.uuid4().hex}"
+    return f"{stage_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_stages(spark: SparkSession) -> None:
+    """Delete what this application staged, once no DataFrame reads it any more."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(stage_folder(spark))
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    folder.getFileSystem(configuration).delete(folder, True)
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
