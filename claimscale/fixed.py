@@ -46,6 +46,12 @@ PARAGRAPH_BREAK = r"\n(?<=\.\n)(?! )"
 # the search linear in runs of any length.
 HOST_START = r"(?<![a-zA-Z0-9./?:@\-_=#])"
 HOST_HINT = r"\.[a-zA-Z]{2}"
+# HYPHEN, PUNCTUATION, SPACES and POINTS also match where the replacement changes
+# nothing.  These match only where it does, and leave the same text behind.
+HYPHEN_GAP = r"\s-\s?|-\s"
+PUNCTUATION_GAP = r"\s([,:;\.])"
+SPACE_RUN = r"\s{2,}|[^\S ]"
+POINT_RUN = r"\.{2,}"
 SENTENCE_BREAK = r"(?<=[.!?])\s+"
 PAGE_BREAK = "\f"
 FILE_KEY = r"([\w-]+)\.[^./]*$"

@@ -42,7 +42,7 @@ def raw_paragraphs(text: Column) -> Column:
 
 
 def join_lines(paragraph: Column) -> Column:
-    return F.translate(paragraph, "\n", " ")
+    return F.replace(paragraph, F.lit("\n"), F.lit(" "))
 
 
 def paragraphs(text: Column) -> Column:
@@ -52,8 +52,8 @@ def paragraphs(text: Column) -> Column:
 
 def _tidy(p: Column) -> Column:
     p = strip(F.regexp_replace(p, fixed.HEADER_NUMBER, "$1"))
-    p = F.regexp_replace(p, fixed.HYPHEN, "-")
-    p = F.regexp_replace(p, fixed.PUNCTUATION, "$1")
+    p = F.regexp_replace(p, fixed.HYPHEN_GAP, "-")
+    p = F.regexp_replace(p, fixed.PUNCTUATION_GAP, "$1")
     return F.regexp_replace(p, fixed.LONG_NUMBER, " ")
 
 
@@ -64,8 +64,8 @@ def _drop_hosts(p: Column) -> Column:
 
 
 def _collapse(p: Column) -> Column:
-    p = F.regexp_replace(p, fixed.SPACES, " ")
-    return F.regexp_replace(p, fixed.POINTS, ".")
+    p = F.regexp_replace(p, fixed.SPACE_RUN, " ")
+    return F.regexp_replace(p, fixed.POINT_RUN, ".")
 
 
 # Steps of their own, as the middle one reads its input more than once.

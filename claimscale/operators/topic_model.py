@@ -15,6 +15,7 @@ from claimscale import fixed
 from claimscale.functions.text import token_sql
 from claimscale.functions.topics import top_probability, top_topic
 from claimscale.operators.compute import explode_computed, with_computed
+from claimscale.operators.ranking import rank_within
 from claimscale.sources.staging import stage
 
 VOCABULARY_SIZE = 1 << 18
@@ -35,8 +36,10 @@ def vocabulary(
     A total order makes the vocabulary, and with it the model, the same on every
     run.  The model itself is this large, so is what reaches the driver.
     """
-    top = term_counts(tokens, column).orderBy(F.desc("count"), F.asc("term"))
-    return [row["term"] for row in top.limit(size).collect()]
+    order = [F.desc("count"), F.asc("term")]
+    ranked = rank_within(term_counts(tokens, column), [], order)
+    top = ranked.filter(F.col("rank") <= size).select("rank", "term").collect()
+    return [row["term"] for row in sorted(top, key=lambda row: row["rank"])]
 
 
 def count_vectors(terms: Sequence[str]) -> CountVectorizerModel:

@@ -47,6 +47,13 @@ def test_ranges_keep_null_keys(spark):
     assert pairs(ranked) == pairs(windowed(rows))
 
 
+def test_ranges_without_keys(skewed):
+    window = Window.orderBy("value", "id")
+    want = pairs(skewed.withColumn("rank", F.row_number().over(window)))
+    assert pairs(R.rank_by_ranges(skewed, [], order(), partitions=5)) == want
+    assert pairs(R.rank_within(skewed, [], order())) == want
+
+
 def test_ranges_of_nothing(skewed):
     assert R.rank_by_ranges(skewed.limit(0), ["key"], order()).count() == 0
 
