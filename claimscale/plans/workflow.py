@@ -13,7 +13,7 @@ from claimscale import fixed
 from claimscale.functions.topics import Labels
 from claimscale.operators import topic_model
 from claimscale.plans import compare, disclosure, news
-from claimscale.sources.files import clustered, topic_dimension
+from claimscale.sources.files import clustered, spread, topic_dimension
 from claimscale.sources.staging import stage
 from claimscale.sources.tables import replace_table
 from claimscale.streaming.ingest import drain_to_table, file_stream, join_metadata
@@ -50,7 +50,7 @@ def ingest_documents(
 def build_statements(
     spark: SparkSession, schema: str, min_chars: int = fixed.MIN_STATEMENT_CHARS
 ) -> DataFrame:
-    raw = spark.table(f"{schema}.{RAW}")
+    raw = spread(spark.table(f"{schema}.{RAW}"))
     cleaned = disclosure.clean_statements(raw, min_chars=min_chars)
     replace_table(cleaned, f"{schema}.{STATEMENTS}")
     return spark.table(f"{schema}.{STATEMENTS}")
@@ -83,7 +83,8 @@ def build_disclosure_scores(
 ) -> DataFrame:
     """Score statements, choose initiatives and rank the organisations."""
     model = topic_model.load_model(model_path)
-    scored = disclosure.topic_statements(model, spark.table(f"{schema}.{STATEMENTS}"))
+    statements = spread(spark.table(f"{schema}.{STATEMENTS}"))
+    scored = disclosure.topic_statements(model, statements)
     replace_table(scored, f"{schema}.{SCORED}")
     chosen = disclosure.initiatives(
         spark.table(f"{schema}.{SCORED}"),
