@@ -28,17 +28,23 @@ def term_counts(tokens: DataFrame, column: str = "tokens") -> DataFrame:
     return terms.groupBy("term").count()
 
 
-def vocabulary(
+def ranked_terms(
     tokens: DataFrame, column: str = "tokens", size: int = VOCABULARY_SIZE
-) -> list[str]:
+) -> DataFrame:
     """The ``size`` most frequent terms, ties in alphabetical order.
 
-    A total order makes the vocabulary, and with it the model, the same on every
-    run.  The model itself is this large, so is what reaches the driver.
+    A total order makes the vocabulary, and with it the model, the same on every run.
     """
     order = [F.desc("count"), F.asc("term")]
     ranked = rank_within(term_counts(tokens, column), [], order)
-    top = ranked.filter(F.col("rank") <= size).select("rank", "term").collect()
+    return ranked.filter(F.col("rank") <= size)
+
+
+def vocabulary(
+    tokens: DataFrame, column: str = "tokens", size: int = VOCABULARY_SIZE
+) -> list[str]:
+    """The same terms as a list.  The model is that large, so is what is fetched."""
+    top = ranked_terms(tokens, column, size).select("rank", "term").collect()
     return [row["term"] for row in sorted(top, key=lambda row: row["rank"])]
 
 
@@ -49,6 +55,8 @@ def count_vectors(terms: Sequence[str]) -> CountVectorizerModel:
     time, which takes a minute for a large vocabulary; this hands over one text
     and splits it there.  Tokens hold no line ends.
     """
+    if not terms:
+        raise ValueError("the texts hold no terms to learn from")
     jvm = SparkSession.active().sparkContext._jvm
     array = jvm.java.util.regex.Pattern.compile("\n").split("\n".join(terms))
     model = CountVectorizerModel._create_from_java_class(
@@ -57,6 +65,16 @@ def count_vectors(terms: Sequence[str]) -> CountVectorizerModel:
     return model.setInputCol("tokens").setOutputCol("features")
 
 
+def _few_partitions(scan: DataFrame) -> DataFrame:
+    """At most two partitions per core.
+
+    In every iteration each partition sends a matrix of topics × vocabulary to be
+    summed up.  One per split would outgrow the corpus it is computed from.
+    """
+    most = 2 * scan.sparkSession.sparkContext.defaultParallelism
+    return scan.coalesce(most) if scan.rdd.getNumPartitions() > most else scan
+
+
 def fit_topics(
     documents: DataFrame,
     text: str = "statement",
@@ -83,7 +101,9 @@ def fit_topics(
         texts = texts.repartitionByRange(*order).sortWithinPartitions(*order)
     tokens = stage(tokenise.transform(texts).select("tokens"), "tokens")
     counts = count_vectors(vocabulary(tokens, size=vocabulary_size))
-    features = stage(counts.transform(tokens).select("features"), "features")
+    features = _few_partitions(
+        stage(counts.transform(tokens).select("features"), "features")
+    )
     lda = LDA(
         k=topics,
         seed=seed,
@@ -103,8 +123,7 @@ def score_topics(
     A text without a known word has no distribution (all zeros) and no best
     topic; it keeps its row in :func:`distributions` but is left out here.
     """
-    scored = distributions(model, documents, text)
-    return with_best_topic(scored)
+    return with_best_topic(distributions(model, documents, text))
 
 
 def with_best_topic(df: DataFrame, distribution: str = "probabilities") -> DataFrame:

@@ -1,4 +1,4 @@
-"""What organisations say: documents → statements → topics → initiatives → scores."""
+"""What organisations say: documents → statements → initiatives → scores."""
 
 from __future__ import annotations
 

@@ -189,11 +189,21 @@ statements AS (
 )"""
 
 _STOP = ", ".join(f"'{w}'" for w in fixed.STOP_WORDS)
-_FOLDED = f"translate(lower(text), '{fixed.ACCENTED}', '{fixed.UNACCENTED}')"
-_TOKENS = (
-    f"list_filter(string_split_regex({_FOLDED}, '{fixed.TOKEN_BREAK}'), "
-    f"lambda t: length(t) >= {fixed.MIN_TOKEN_CHARS} AND t NOT IN ({_STOP}))"
-)
+
+
+def _folded(column: str) -> str:
+    return f"translate(lower({column}), '{fixed.ACCENTED}', '{fixed.UNACCENTED}')"
+
+
+def _tokens(column: str) -> str:
+    return (
+        f"list_filter(string_split_regex({_folded(column)}, '{fixed.TOKEN_BREAK}'), "
+        f"lambda t: length(t) >= {fixed.MIN_TOKEN_CHARS} AND t NOT IN ({_STOP}))"
+    )
+
+
+_LONG = f"length(statement) >= {fixed.MIN_STATEMENT_CHARS}"
+
 
 
 def _markup(column: str) -> str:
@@ -324,12 +334,24 @@ ORACLES: dict[str, str] = {
         SELECT d.doc_id, CAST(coalesce(n, 0) AS INTEGER) AS statements,
                md5(coalesce(s, '')) AS digest
         FROM documents d LEFT JOIN found USING (doc_id)""",
-    "folded_text": f"SELECT doc_id, {_FOLDED} AS folded FROM documents",
-    "tokens": f"""WITH found AS (SELECT doc_id, {_TOKENS} AS t FROM documents)
+    "folded_text": f"SELECT doc_id, {_folded('text')} AS folded FROM documents",
+    "tokens": f"""WITH found AS (SELECT doc_id, {_tokens('text')} AS t FROM documents)
         SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens,
                array_to_string(t, ' ') AS normalised FROM found""",
-    "term_counts": f"""WITH found AS (SELECT unnest({_TOKENS}) AS term FROM documents)
+    "term_counts": f"""WITH found AS (SELECT unnest({_tokens('text')}) AS term FROM documents)
         SELECT term, count(*) AS count FROM found GROUP BY term""",
+    "ranked_terms": f"""WITH {_STATEMENTS}, found AS (
+          SELECT unnest({_tokens('statement')}) AS term FROM statements WHERE {_LONG}),
+        counted AS (SELECT term, count(*) AS count FROM found GROUP BY term),
+        ranked AS (SELECT *, row_number() OVER (ORDER BY count DESC, term) AS rank
+                   FROM counted)
+        SELECT term, count, CAST(rank AS INTEGER) AS rank FROM ranked
+        WHERE rank <= 262144""",
+    "distribution_mass": f"""WITH {_STATEMENTS}
+        SELECT doc_id, paragraph_no, sentence_no, CAST(5 AS INTEGER) AS topics,
+               CASE WHEN len({_tokens('statement')}) > 0 THEN 1.0::DOUBLE
+                    ELSE 0.0::DOUBLE END AS mass
+        FROM statements WHERE {_LONG}""",
     "page_titles": """
         SELECT page_id, regexp_extract(html, '<title>(.+?)</title>', 1) AS title
         FROM pages

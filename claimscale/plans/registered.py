@@ -274,6 +274,13 @@ def term_counts(spark: SparkSession, folder: str) -> DataFrame:
     return topic_model.term_counts(split)
 
 
+def ranked_terms(spark: SparkSession, folder: str) -> DataFrame:
+    """The vocabulary of the statements, as the topic model takes it."""
+    statements = clean_statements(spark, folder)
+    tokens = statements.select(T.tokens("statement").alias("tokens"))
+    return topic_model.ranked_terms(tokens)
+
+
 def page_titles(spark: SparkSession, folder: str) -> DataFrame:
     return (
         table(spark, folder, "pages")
@@ -612,7 +619,19 @@ def topic_model_scores(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "model")
     topic_model.save_model(model, path)
     scored = topic_model.score_topics(topic_model.load_model(path), statements)
-    return scored.select(*STATEMENT_ID, "topic_id", F.round("probability", 4).alias("probability"))
+    probability = F.round("probability", 4).alias("probability")
+    return scored.select(*STATEMENT_ID, "topic_id", probability)
+
+
+def distribution_mass(spark: SparkSession, folder: str) -> DataFrame:
+    """Topics and total probability per statement: 1, or 0 without a known word."""
+    model, statements = _fitted(spark, folder)
+    p = F.col("probabilities")
+    return topic_model.distributions(model, statements).select(
+        *STATEMENT_ID,
+        F.size(p).alias("topics"),
+        F.round(F.aggregate(p, F.lit(0.0), lambda acc, x: acc + x), DIGITS).alias("mass"),
+    )
 
 
 def topic_terms(spark: SparkSession, folder: str) -> DataFrame:
@@ -676,6 +695,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         folded_text,
         tokens,
         term_counts,
+        ranked_terms,
         page_titles,
         page_text,
         joined_pages,
@@ -701,6 +721,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_ingest,
         logo_metadata,
         topic_model_scores,
+        distribution_mass,
         topic_terms,
         modelled_news,
     )

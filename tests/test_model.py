@@ -106,3 +106,17 @@ def test_initiatives_keep_one_row_per_pair(spark):
         rows.withColumn("probabilities", F.array(*[F.lit(0.2)] * 5)), "organisation"
     )
     assert scores.filter("score > 0 and score <= 100").count() == 10
+
+
+def test_nothing_to_learn_from(spark):
+    rows = spark.createDataFrame([("of it",)], "statement string")
+    with pytest.raises(ValueError):
+        M.fit_topics(rows)
+
+
+def test_few_partitions(spark):
+    cores = spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 1000, 1, 5 * cores)
+    assert M._few_partitions(wide).rdd.getNumPartitions() == 2 * cores
+    narrow = spark.range(0, 10, 1, 2)
+    assert M._few_partitions(narrow) is narrow

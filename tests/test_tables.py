@@ -130,3 +130,46 @@ def test_spread_leaves_wide_scans_alone(spark):
     wide = spark.range(0, 1000, 1, 64)
     assert files.spread(wide) is wide
     assert files.spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() > 1
+
+
+def test_hot_partition_is_written_by_several_tasks(spark, schema):
+    rows = spark.range(0, 400_000, 1, 8).select(
+        F.when(F.col("id") % 3 > 0, F.lit("hot"))
+        .otherwise(F.concat(F.lit("k"), F.col("id") % 5))
+        .alias("part"),
+        F.xxhash64("id").alias("value"),
+    )
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(advisory, "256k")
+    try:
+        tables.replace_table(rows, f"{schema}.skewed", ["part"])
+    finally:
+        spark.conf.unset(advisory)
+    written = spark.table(f"{schema}.skewed")
+    files_of = {
+        r["part"]: r["n"]
+        for r in written.select("part", F.input_file_name().alias("f"))
+        .distinct()
+        .groupBy("part")
+        .agg(F.count("f").alias("n"))
+        .collect()
+    }
+    assert files_of["hot"] > 2
+    assert written.count() == 400_000
+
+
+def test_initiative_filter_reaches_the_scan(spark, schema):
+    from claimscale.plans import disclosure
+
+    rows = spark.range(10).select(
+        F.lit("a").alias("organisation"), F.lit(0).alias("topic_id"), "id",
+        (F.col("id") / 10).alias("probability"), F.lit("unused").alias("other"),
+    )
+    tables.replace_table(rows, f"{schema}.scored")
+    chosen = disclosure.initiatives(
+        spark.table(f"{schema}.scored"), files.topic_dimension(spark), ["id"]
+    ).select("organisation", "policy")
+    plan = plan_of(chosen)
+    assert "GreaterThan(probability,0.8)" in plan
+    assert "unused" not in plan.split("ReadSchema")[1] and "other:" not in plan
+    assert "BroadcastHashJoin" in plan and "WindowGroupLimit" in plan
