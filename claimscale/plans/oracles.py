@@ -384,7 +384,7 @@ ORACLES: dict[str, str] = {
         SELECT c_nationkey AS "columnA", c_name AS "columnB" FROM customer
         UNION ALL SELECT * FROM (VALUES (1, 'one'), (2, 'two'), (60, 'SQL'),
                                         (60, 'local PYTHON'))""",
-    "external_table": "SELECT c_custkey, c_name, c_acctbal FROM customer",
+    "external_table": "SELECT c_custkey, c_name, c_mktsegment FROM customer",
     "ctas_copy": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders",
     "table_names": """
         SELECT CAST(n AS INTEGER) AS parts, s_suppkey, s_name

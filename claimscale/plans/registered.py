@@ -393,15 +393,17 @@ def insert_and_append(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def external_table(spark: SparkSession, folder: str) -> DataFrame:
-    """Declare an external table, drop it, and declare it again over its files."""
-    schema = tables.fresh_schema(spark)
+    """An external table, moved to another schema; its files stay in place."""
+    legacy, schema = tables.fresh_schema(spark), tables.fresh_schema(spark)
     path = fresh_path(spark, "external")
     files.replace_path(table(spark, folder, "customer"), path)
     declared = "c_custkey LONG, c_name STRING, c_nationkey INT, c_acctbal DOUBLE"
-    tables.create_table(spark, f"{schema}.declared", declared, location=path)
-    tables.drop_table(spark, f"{schema}.declared")
+    tables.create_table(spark, f"{legacy}.declared", declared, location=path)
+    tables.move_external(spark, f"{legacy}.declared", f"{schema}.moved")
     tables.register_files(spark, f"{schema}.found", path)
-    return spark.table(f"{schema}.found").select("c_custkey", "c_name", "c_acctbal")
+    moved = spark.table(f"{schema}.moved").select("c_custkey", "c_name")
+    found = spark.table(f"{schema}.found").select("c_custkey", "c_mktsegment")
+    return moved.join(found, "c_custkey")
 
 
 def ctas_copy(spark: SparkSession, folder: str) -> DataFrame:

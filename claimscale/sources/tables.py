@@ -85,7 +85,39 @@ def create_table(
 
 def register_files(spark: SparkSession, table: str, path: str) -> None:
     """External table over existing files; their schema is taken as it is."""
-    spark.catalog.createTable(table, path=path, source="parquet")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {quoted(table)} USING parquet "
+        f"LOCATION {text_literal(path)}"
+    )
+
+
+def location_of(spark: SparkSession, table: str) -> str:
+    """Where a table's files lie, as its description says."""
+    described = describe_table(spark, table)
+    return described.filter("col_name = 'Location'").first()["data_type"]
+
+
+def columns_of(spark: SparkSession, table: str) -> str:
+    """A table's columns as they are written in a CREATE TABLE."""
+    columns = spark.catalog.listColumns(table)
+    return ", ".join(f"{quoted(c.name)} {c.dataType}" for c in columns)
+
+
+def move_external(spark: SparkSession, source: str, target: str) -> None:
+    """Declare an external table anew under another name and drop the old name.
+
+    The files stay where they are.
+    """
+    create_table(
+        spark,
+        target,
+        columns_of(spark, source),
+        partition_columns(spark, source),
+        location_of(spark, source),
+    )
+    if partition_columns(spark, source):
+        spark.catalog.recoverPartitions(target)
+    drop_table(spark, source, must_exist=True)
 
 
 def insert_values(

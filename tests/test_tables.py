@@ -39,11 +39,7 @@ def test_dropping_external_keeps_files_managed_does_not(spark, schema, numbers):
     tables.drop_table(spark, f"{schema}.ext", must_exist=True)
     assert files.read_path(spark, path).count() == 100
     tables.replace_table(numbers, f"{schema}.managed")
-    location = (
-        tables.describe_table(spark, f"{schema}.managed")
-        .filter("col_name = 'Location'")
-        .first()["data_type"]
-    )
+    location = tables.location_of(spark, f"{schema}.managed")
     assert spark.read.parquet(location).count() == 100
     tables.drop_table(spark, f"{schema}.managed")
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
@@ -173,3 +169,15 @@ def test_initiative_filter_reaches_the_scan(spark, schema):
     assert "GreaterThan(probability,0.8)" in plan
     assert "unused" not in plan.split("ReadSchema")[1] and "other:" not in plan
     assert "BroadcastHashJoin" in plan and "WindowGroupLimit" in plan
+
+
+def test_moving_an_external_table_keeps_its_partitions(spark, schema, numbers):
+    path = fresh_path(spark, "external")
+    numbers.write.partitionBy("part").parquet(path)
+    tables.create_table(spark, f"{schema}.old", "id LONG, part INT", ["part"], path)
+    spark.catalog.recoverPartitions(f"{schema}.old")
+    tables.move_external(spark, f"{schema}.old", f"{schema}.new")
+    assert not spark.catalog.tableExists(f"{schema}.old")
+    assert spark.table(f"{schema}.new").select("part", "id").exceptAll(numbers).count() == 0
+    assert spark.table(f"{schema}.new").count() == 100
+    tables.register_files(spark, f"{schema}.new", path)
