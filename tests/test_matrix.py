@@ -29,15 +29,15 @@ def test_scaling_uses_no_window_and_no_cross_join(spark):
 
 def test_walk_the_talk_ignores_case(spark):
     walk = spark.createDataFrame(
-        [("PayPal", 0, "ethics", 90.0), ("equifax", 0, "ethics", 10.0), ("x", 0, "ethics", 1.0)],
+        [("Alpha Corp", 0, "ethics", 90.0), ("beta corp", 0, "ethics", 10.0), ("x", 0, "ethics", 1.0)],
         "organisation string, topic_id int, policy string, score double",
     )
     talk = spark.createDataFrame(
-        [("paypal", 0, 20.0), ("Equifax", 0, 40.0)],
+        [("alpha corp", 0, 20.0), ("Beta Corp", 0, 40.0)],
         "organisation string, topic_id int, score double",
     )
     got = [tuple(r) for r in compare.walk_the_talk(walk, talk).collect()]
     assert got == [
-        ("paypal", 0, "ethics", 90.0, 20.0),
-        ("equifax", 0, "ethics", 10.0, 40.0),
+        ("alpha corp", 0, "ethics", 90.0, 20.0),
+        ("beta corp", 0, "ethics", 10.0, 40.0),
     ]
