@@ -53,3 +53,18 @@ def test_shared_folder():
     assert local.startswith("file:///")
     assert os.path.isdir(local.removeprefix("file://"))
     assert session.shared_folder(Session("local[2]", None)) == local
+
+
+def test_clearing_removes_only_the_stage_folder(spark, monkeypatch):
+    from claimscale.sources import staging
+
+    kept = staging.stage(spark.range(3))
+    own = staging.fresh_path(spark, "own-folder")
+    monkeypatch.setattr(staging, "stage_folder", lambda _: own)
+    gone = staging.stage(spark.range(5))
+    path = os.path.dirname(gone.inputFiles()[0])
+    assert gone.count() == 5
+    staging.clear_stages(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    assert kept.count() == 3
