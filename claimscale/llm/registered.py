@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimscale.llm import exact_dedup, mixing
+from claimscale.llm import exact_dedup, mixing, packing, token_files
+from claimscale.llm.shipping import ship
+from claimscale.sources.staging import fresh_path
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
@@ -18,6 +21,13 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def tokenizer_path() -> str:
+    """The tokenizer of the registered queries; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     groups = exact_dedup.exact_groups(_documents(spark, folder))
     return groups.select(
@@ -29,7 +39,19 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_documents(spark, folder), tokenizer_path())
+
+
+def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    target = fresh_path(spark, "token-files")
+    token_files.write_token_files(_documents(spark, folder), target, tokenizer_path())
+    return token_files.read_token_files(spark.read.parquet(target), checksums=True)
+
+
 LLM_QUERIES = {
     "op1_mixing": op1_mixing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_packing": op9_packing,
+    "op10_token_files": op10_token_files,
 }
