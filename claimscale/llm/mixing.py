@@ -18,7 +18,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = [5.0, 2.0, 1.0]
 MAX_EPOCHS = 3
 SEED = 7
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 4_000
 PLAIN_SIGNS = "0123456789{}[]()<>|\\/=+*#_$%&@~^\"`"
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimscale.llm import exact_dedup, mixing, packing, token_files
+from claimscale.llm import exact_dedup, mixing, near_dedup, packing, token_files
 from claimscale.llm.shipping import ship
 from claimscale.sources.staging import fresh_path
 
@@ -28,6 +28,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_groups(_documents(spark, folder), size=2)
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     groups = exact_dedup.exact_groups(_documents(spark, folder))
     return groups.select(
@@ -51,6 +55,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_mixing": op1_mixing,
+    "op4_near_dedup": op4_near_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_packing": op9_packing,
     "op10_token_files": op10_token_files,
