@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from claimscale.llm.arrow_text import chunks, mixed
 from claimscale.llm.token_files import END_ID, with_end
-from claimscale.llm.tokens import encoder
+from claimscale.llm.tokens import CHUNK_BYTES, encoder
 from claimscale.session import shuffle_width
 
 SEQUENCE = 1024
@@ -93,7 +93,7 @@ def _keys(path: str, end_id: int, borders: list[int] | None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, table = encoder(path).encode, projection()
-        for rows, data, offsets in chunks(batches):
+        for rows, data, offsets in chunks(batches, limit=CHUNK_BYTES):
             ids, bounds = encode(data, offsets)
             place = hilbert(coordinates(ids, bounds, table))
             # Below the place, a hash of the document tells copies of one text apart.

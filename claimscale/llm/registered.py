@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimscale.llm import exact_dedup, mixing, near_dedup, packing, token_files
+from claimscale.llm import exact_dedup, mixing, near_dedup, packing, token_files, toxicity
 from claimscale.llm.shipping import ship
 from claimscale.sources.staging import fresh_path
 
@@ -21,6 +21,23 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def toxicity_model(docs: DataFrame, folder: str) -> toxicity.Model:
+    """Learned from the labelled documents that are not held out."""
+    labels = docs.sparkSession.read.parquet(f"{folder}/labels.parquet")
+    return toxicity.fit(docs, labels.filter(~toxicity.held_out("doc_id")))
+
+
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _documents(spark, folder).select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(docs, folder))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def tokenizer_path() -> str:
     """The tokenizer of the registered queries; the operators take any path."""
     import public_tokenizers
@@ -56,6 +73,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 LLM_QUERIES = {
     "op1_mixing": op1_mixing,
     "op4_near_dedup": op4_near_dedup,
+    "op6_toxicity": op6_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_packing": op9_packing,
     "op10_token_files": op10_token_files,

@@ -23,21 +23,21 @@ _COUNTS = np.array(COUNTS + [1], np.int64)
 _HEADER = np.dtype([("magic", "<u4"), ("block", "<u4"), ("values", "<u8"), ("words", "<u8")])
 
 
-def _selectors(padded: np.ndarray) -> np.ndarray:
+def _selectors(values: np.ndarray) -> np.ndarray:
     """For each value the selector that packs most values from there on.
 
-    ``padded`` has one row per block.  A word may reach past the end of its
+    ``values`` has a column per block.  A word may reach past the end of its
     block: the decoder knows the count.
     """
-    lanes, width = padded.shape
-    best = np.zeros((lanes, width), np.int8)
-    place = np.arange(width)
+    length, lanes = values.shape
+    best = np.zeros((length, lanes), np.uint8)
     for selector in range(len(COUNTS) - 1, 0, -1):
-        wide = padded >> np.uint64(WIDTHS[selector]) != 0
-        # The next value, from here on, that is too wide.
-        stop = np.where(wide, place, width + 64)
-        stop = np.minimum.accumulate(stop[:, ::-1], axis=1)[:, ::-1]
-        best[stop - place >= COUNTS[selector]] = selector
+        fits = values >> np.uint64(WIDTHS[selector]) == 0
+        # How many values, from here on, are narrow enough.
+        run = np.full(lanes, 64, np.uint8)
+        for i in range(length - 1, -1, -1):
+            run = np.minimum(run + np.uint8(1), np.uint8(128)) * fits[i]
+            best[i][run >= COUNTS[selector]] = selector
     return best
 
 
@@ -46,36 +46,42 @@ def encode(values: np.ndarray) -> bytes:
     values = np.asarray(values).astype(np.uint64)
     n = len(values)
     lanes = -(-n // BLOCK)
-    padded = np.zeros((lanes, BLOCK + 64), np.uint64)
+    # One column per block, and zeros behind its end.
+    table = np.zeros((BLOCK + 64, lanes), np.uint64)
     sizes = np.full(lanes, BLOCK, np.int64)
     if lanes:
         sizes[-1] = n - (lanes - 1) * BLOCK
         flat = np.zeros(lanes * BLOCK, np.uint64)
         flat[:n] = values
-        padded[:, :BLOCK] = flat.reshape(lanes, BLOCK)
-    best = _selectors(padded[:, :BLOCK])
+        table[:BLOCK] = flat.reshape(lanes, BLOCK).T
+    best = _selectors(table[:BLOCK])
     at = np.zeros(lanes, np.int64)
-    rows, live = [], np.arange(lanes)
+    steps, live = [], np.arange(lanes)
     while len(live):
-        chosen = best[live, at[live]].astype(np.int64)
+        chosen = best[at[live], live]
         word = chosen.astype(np.uint64)
-        for selector in np.unique(chosen):
+        for selector in np.flatnonzero(np.bincount(chosen)):
             if selector:
                 mine = np.flatnonzero(chosen == selector)
                 lane = live[mine]
+                packed = word[mine]
                 for j in range(COUNTS[selector]):
-                    shift = np.uint64(4 + j * WIDTHS[selector])
-                    word[mine] |= padded[lane, at[lane] + j] << shift
-        rows.append((live, word))
+                    packed |= table[at[lane] + j, lane] << np.uint64(4 + j * WIDTHS[selector])
+                word[mine] = packed
+        steps.append((live, word))
         escaped = live[chosen == 0]
         if len(escaped):
-            rows.append((escaped, padded[escaped, at[escaped]]))
+            steps.append((escaped, table[at[escaped], escaped]))
         at[live] += _COUNTS[chosen]
         live = live[at[live] < sizes[live]]
-    owner = np.concatenate([r[0] for r in rows]) if rows else np.zeros(0, np.int64)
-    words = np.concatenate([r[1] for r in rows]) if rows else np.zeros(0, np.uint64)
-    words = words[np.argsort(owner, kind="stable")]
-    offsets = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=lanes))])
+    # Words came step by step; their order is block by block.
+    grid = np.zeros((lanes, len(steps)), np.uint64)
+    there = np.zeros((lanes, len(steps)), bool)
+    for i, (lane, word) in enumerate(steps):
+        grid[lane, i] = word
+        there[lane, i] = True
+    words = grid[there]
+    offsets = np.concatenate([[0], np.cumsum(there.sum(1))])
     header = np.array([(MAGIC, BLOCK, n, len(words))], _HEADER)
     return header.tobytes() + offsets.astype("<u4").tobytes() + words.astype("<u8").tobytes()
 

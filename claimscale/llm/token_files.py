@@ -19,11 +19,11 @@ from pyspark.sql import functions as F
 
 from claimscale.llm import simple8b
 from claimscale.llm.arrow_text import chunks
-from claimscale.llm.tokens import encoder
+from claimscale.llm.tokens import CHUNK_BYTES, encoder
 from claimscale.session import shuffle_width
 
 END_ID = 0
-SEGMENT_IDS = 2_000_000
+SEGMENT_IDS = 1_000_000
 
 _SEGMENTS = (
     "part int, segment int, n_ids long, doc_ids array<long>, doc_tokens array<int>, body binary"
@@ -56,7 +56,7 @@ def _segments(path: str, end_id: int, segment_ids: int):
                 names=[f.split()[0] for f in _SEGMENTS.split(", ")],
             )
 
-        for rows, data, offsets in chunks(batches):
+        for rows, data, offsets in chunks(batches, limit=CHUNK_BYTES):
             ids, bounds = with_end(*encode(data, offsets), end_id)
             keys.append(rows.column("doc_id").to_pylist())
             sizes.append(np.diff(bounds))

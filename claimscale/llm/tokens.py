@@ -15,8 +15,9 @@ import numpy as np
 
 from claimscale.llm.arrow_text import mixed
 
+CHUNK_BYTES = 2 << 20  # of text encoded at once; the arrays in use are some 40 times that
 INLINE = 15
-MAX_ENTRIES = 2_000_000
+MAX_ENTRIES = 1_500_000
 
 _ASCII = np.arange(256)
 _GRAPH = (_ASCII > 0x20) & (_ASCII < 0x7F)
@@ -111,7 +112,7 @@ class _Memory:
         return first
 
     def learn(self, low: np.ndarray, high: np.ndarray, first: int) -> None:
-        while 2 * (len(self) + 1) > len(self.low):
+        while 4 * (len(self) + 1) > 3 * len(self.low):
             full = np.flatnonzero(self.high)
             old = self.low[full], self.high[full], self.entry[full]
             size = 2 * len(self.low)
