@@ -31,13 +31,18 @@ def _selectors(values: np.ndarray) -> np.ndarray:
     """
     length, lanes = values.shape
     best = np.zeros((length, lanes), np.uint8)
+    # Bit lengths from the exponents of floats: never too small, and one too large
+    # at most, for values that a float rounds up to a power of two.
+    exponents = values.astype(np.float64).view(np.int64) >> 52
+    bits = np.maximum(exponents - 1022, 0).astype(np.uint8)
     for selector in range(len(COUNTS) - 1, 0, -1):
-        fits = values >> np.uint64(WIDTHS[selector]) == 0
+        fits = (bits <= WIDTHS[selector]).astype(np.uint8)
         # How many values, from here on, are narrow enough.
         run = np.full(lanes, 64, np.uint8)
         for i in range(length - 1, -1, -1):
-            run = np.minimum(run + np.uint8(1), np.uint8(128)) * fits[i]
-            best[i][run >= COUNTS[selector]] = selector
+            run += run < 128
+            run *= fits[i]
+            np.putmask(best[i], run >= COUNTS[selector], selector)
     return best
 
 
