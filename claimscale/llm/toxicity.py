@@ -18,16 +18,16 @@ from pyspark.sql import types as T
 from claimscale.llm.arrow_text import chunks, lower_ascii
 from claimscale.sources.staging import stage
 
-SIZES = (4, 5)  # bytes of UTF-8
+SIZES = (4, 5, 6)  # bytes of UTF-8
 FEATURE_BITS = 20
 LEAST_DOCUMENTS = 3
-LEAST_RATIO = 3.0
-SAMPLE_TOXIC = 4_000
-SAMPLE_CLEAN = 8_000
+LEAST_DEVIATIONS = 5.0
+SAMPLE_TOXIC = 3_000
+SAMPLE_CLEAN = 5_000
 SAMPLE_PARTITIONS = 8
 STEPS = 80
 RATE = 0.5
-RIDGE = 1e-5
+RIDGE = 1e-3
 THRESHOLD = 0.3
 
 
@@ -61,17 +61,19 @@ def _hashed(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows, data, offsets in chunks(batches, limit=1 << 20):
-        parts = [(owner << FEATURE_BITS) | f for owner, f in _hashed(data, offsets)]
-        found = np.unique(np.concatenate(parts))
-        bounds = np.searchsorted(found, np.arange(rows.num_rows + 1) << FEATURE_BITS)
-        found = (found & ((1 << FEATURE_BITS) - 1)).astype("<i4")
+    held = np.zeros(1 << FEATURE_BITS, bool)
+    for rows, data, offsets in chunks(batches):
+        hashed = list(_hashed(data, offsets))
+        edges = [np.searchsorted(owner, np.arange(rows.num_rows + 1)) for owner, _ in hashed]
+        blobs = []
+        for i in range(rows.num_rows):
+            for (_, feature), edge in zip(hashed, edges):
+                held[feature[edge[i] : edge[i + 1]]] = True
+            found = np.flatnonzero(held)
+            held[found] = False
+            blobs.append(found.astype("<i4").tobytes())
         yield pa.RecordBatch.from_arrays(
-            [
-                rows.column("toxic"),
-                pa.array([found[a:b].tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary()),
-            ],
-            names=["toxic", "features"],
+            [rows.column("toxic"), pa.array(blobs, pa.binary())], names=["toxic", "features"]
         )
 
 
@@ -79,7 +81,8 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per partition, how many toxic and clean documents hold each feature."""
     held, n = np.zeros((2, 1 << FEATURE_BITS), np.int32), [0, 0]
     for batch in batches:
-        for toxic, blob in zip(batch.column("toxic").to_pylist(), batch.column("features").to_pylist()):
+        both = (batch.column(c).to_pylist() for c in ("toxic", "features"))
+        for toxic, blob in zip(*both):
             held[toxic][np.frombuffer(blob, "<i4")] += 1
             n[toxic] += 1
     if sum(n):
@@ -145,7 +148,13 @@ def fit(docs: DataFrame, labels: DataFrame, **bounds: int) -> Model:
         none = np.zeros(0, np.int64)
         return Model(none, none.astype(float), float(np.log(share / (1 - share))))
     ratio = np.log((held[1] + 1) / (n_toxic + 2)) - np.log((held[0] + 1) / (n_clean + 2))
-    kept = np.flatnonzero((held.sum(0) >= LEAST_DOCUMENTS) & (np.abs(ratio) > np.log(LEAST_RATIO)))
+    # Only n-grams that toxic documents hold far more often than chance would have it.
+    share = held.sum(0) / (n_toxic + n_clean)
+    deviation = np.sqrt(n_toxic * share * (1 - share)) + 1e-9
+    far = held[1] - n_toxic * share > LEAST_DEVIATIONS * deviation
+    kept = np.flatnonzero(far & (held[1] >= LEAST_DOCUMENTS))
+    if not len(kept):
+        kept = np.flatnonzero(held[1])
     rows = sample.mapInArrow(_only(kept), "toxic int, features binary").toArrow()
     blobs = [np.frombuffer(b, "<i4") for b in rows.column("features").to_pylist()]
     truth = np.array(rows.column("toxic").to_pylist(), float)
