@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimscale.llm import exact_dedup, mixing, near_dedup, packing, token_files, toxicity
+from claimscale.llm import exact_dedup, fingerprints, mixing, near_dedup, packing, token_files, toxicity
 from claimscale.llm.shipping import ship
 from claimscale.sources.staging import fresh_path
 
@@ -45,6 +45,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.edited_likeness(_documents(spark, folder))
+
+
 def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_groups(_documents(spark, folder), size=2)
 
@@ -72,6 +76,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_mixing": op1_mixing,
+    "op3_fingerprints": op3_fingerprints,
     "op4_near_dedup": op4_near_dedup,
     "op6_toxicity": op6_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
