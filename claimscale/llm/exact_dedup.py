@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimscale.llm.rows import with_row_ids
+from claimscale.llm.rows import row_key
 from claimscale.session import shuffle_width
 from claimscale.sources.staging import stage
 
@@ -242,7 +242,7 @@ def drop_exact_copies(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFr
     All columns stay as they are; for nulls and repeated rows see ``exact_groups``.
     """
     columns = docs.columns
-    docs, row = with_row_ids(docs)
+    docs, row = row_key(docs)
     groups = exact_groups(docs, row_id=F.col(row), table_bytes=table_bytes)
     kept = groups.filter("kept").select(F.col("row_id").alias(row))
     return docs.join(kept, row, "left_semi").select(*columns)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimscale.llm.rows import free_name, with_row_ids
+from claimscale.llm.rows import free_name, row_key
 from claimscale.sources.staging import stage
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -204,8 +204,10 @@ def mix(
     first words as its text.  See ``mix_counts`` for nulls and repeated rows.
     """
     columns = docs.columns
-    docs, row = with_row_ids(docs)
-    narrow = stage(docs.select(row, *key_columns(weight, seed)), "mix")
+    docs, row = row_key(docs)
+    number = free_name(docs, "row_number")
+    narrow = docs.select(F.col(row).alias(number), *key_columns(weight, seed))
+    narrow = stage(narrow, "mix")
     chosen = stage(selection(narrow, source_targets(narrow, weights, max_epochs)), "mix")
     decided = _with_selection(narrow, chosen).filter("taken > 0")
     whole = F.col("epochs") + F.when(F.col("extra") == F.col("size"), 1).otherwise(0)
@@ -215,7 +217,8 @@ def mix(
         F.array_repeat(F.lit(None).cast("long"), whole.cast("int")),
         F.when(part.isNotNull(), F.array(part)).otherwise(F.array().cast("array<long>")),
     )
-    taken = docs.join(decided.select(row, F.explode(copies).alias(words)), row)
+    decided = decided.select(F.col(number).alias(row), F.explode(copies).alias(words))
+    taken = docs.join(decided, row)
     found = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
     first = F.array_join(F.slice(found, F.lit(1), F.col(words).cast("int")), " ")
     text = F.when(F.col(words).isNull(), F.col("text")).otherwise(first)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from claimscale.llm.arrow_text import chunks, lower_ascii, mixed, word_hashes, words
 from claimscale.llm.components import components
-from claimscale.llm.rows import with_row_ids
+from claimscale.llm.rows import row_key
 from claimscale.sources.staging import stage
 
 RING = 1 << 20
@@ -284,10 +284,8 @@ def drop_near_copies(docs: DataFrame, size: int = 5, **options) -> DataFrame:
     All columns stay.  Where doc_id is null or repeated, rows are told apart by a
     number of their own, and of a group the first by that number stays.
     """
-    n, n_keys = docs.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
-    columns, row = docs.columns, "doc_id"
-    if n != n_keys:
-        docs, row = with_row_ids(docs)
+    columns = docs.columns
+    docs, row = row_key(docs)
     groups = near_groups(docs, key=row, size=size, **options)
     kept = groups.filter("kept").select(F.col("doc_id").alias(row))
     return docs.join(kept, row, "left_semi").select(*columns)

@@ -1,11 +1,10 @@
-"""Row identities and running sums along an order, over all partitions."""
+"""Row identities."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimscale.session import shuffle_width
 from claimscale.sources.staging import stage
 
 
@@ -23,32 +22,11 @@ def with_row_ids(df: DataFrame) -> tuple[DataFrame, str]:
     return stage(df.withColumn(name, F.monotonically_increasing_id()), "rows"), name
 
 
-def running(
-    df: DataFrame, order: list[Column], sums: dict[str, str], partitions: int | None = None
-) -> DataFrame:
-    """``df`` with exclusive running sums: ``sums`` maps new columns to summed ones.
+def row_key(df: DataFrame, key: str = "doc_id") -> tuple[DataFrame, str]:
+    """``df`` and a column that tells its rows apart.
 
-    The rows are range-partitioned and written once, so that each partition is
-    summed on its own and only one row per partition has to be summed in one
-    place.  ``order`` should be total; rows that compare equal come in any order.
+    That is ``key`` where it has no nulls and no repeats, else a number given to
+    each row.
     """
-    n = partitions or shuffle_width(df.sparkSession)
-    part = free_name(df, "range_part")
-    ranged = stage(
-        df.repartitionByRange(n, *order).withColumn(part, F.spark_partition_id()), "ranges"
-    )
-    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy(part)
-        .agg(*(F.sum(old).alias(new) for new, old in sums.items()))
-        .select(part, *(F.coalesce(F.sum(new).over(before), F.lit(0)).alias("_" + new) for new in sums))
-    )
-    within = Window.partitionBy(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    inside = ranged.select(
-        "*", *(F.coalesce(F.sum(old).over(within), F.lit(0)).alias(new) for new, old in sums.items())
-    )
-    # One row per partition: as bounded as the number of partitions.
-    joined = inside.join(F.broadcast(offsets), part)
-    for new in sums:
-        joined = joined.withColumn(new, F.col(new) + F.col("_" + new))
-    return joined.drop(part, *("_" + new for new in sums))
+    rows, keys = df.agg(F.count(F.lit(1)), F.count_distinct(key)).first()
+    return (df, key) if rows == keys else with_row_ids(df)
