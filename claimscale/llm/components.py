@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from claimscale.sources.staging import stage
 
 
-def _both_ways(links: DataFrame) -> DataFrame:
-    return links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-
-
 def components(links: DataFrame) -> DataFrame:
     """The smallest number each one can reach.
 
@@ -25,33 +21,21 @@ def components(links: DataFrame) -> DataFrame:
     aggregate and one side of a join, both of which Spark can split.
     """
     links = links.filter("u is not null and v is not null and u <> v")
-    links = stage(
-        links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
-        "links",
-    )
-    seen = None
+    links = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    links = stage(links.distinct(), "links")
     while True:
-        both = _both_ways(links)
+        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("least"))
         least = least.select("u", F.least("u", "least").alias("least"))
-        large = (
-            both.join(least, "u")
-            .filter("v > u")
-            .select(F.col("v").alias("u"), F.col("least").alias("v"))
-            .filter("u <> v")
-            .distinct()
-        )
-        large = stage(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "links")
+        large = both.join(least, "u").filter("v > u").select("v", "least").distinct()
+        large = stage(large.select(F.col("v").alias("u"), F.col("least").alias("v")), "links")
         least = large.groupBy("u").agg(F.min("v").alias("least"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("least").alias("v"))
         small = small.unionByName(least.select("u", F.col("least").alias("v")))
         links = stage(small.filter("u <> v").distinct(), "links")
-        now = links.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-        ).first()
-        if now == seen:
+        # Stars are done: no centre hangs on another one.
+        centres = links.select(F.col("v").alias("node")).distinct()
+        if centres.join(links, centres["node"] == links["u"], "left_semi").isEmpty():
             break
-        seen = now
     stars = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    centres = links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return stars.unionByName(centres)
+    return stars.unionByName(centres.select("node", F.col("node").alias("component")))

@@ -196,8 +196,8 @@ def near_groups(
     count.  An empty table gives no rows; other columns are not read.
 
     Equal sets are one class from the start.  Within a band's bucket a leader, the
-    smallest member, is compared with all members that no link joins to it yet,
-    then leaves the bucket; rounds go on, with four times as many leaders each,
+    member that shares most buckets, is compared with all members that no link joins
+    to it yet, then leaves the bucket; rounds go on, with four times as many leaders each,
     until the members left in every bucket are joined.  So every pair that shares a
     band is compared or known to be joined, and a group of thousands costs as many
     comparisons as it has members, not their square.
@@ -213,8 +213,14 @@ def near_groups(
     )
     banded = classes.select("rep", "n_shingles", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    members = stage(banded.join(shared, "bucket"), "members")
+    # The text that many others vary shares more buckets than they do with each other.
+    degrees = members.groupBy("rep").agg((-F.sum("n")).alias("rank"))
     members = stage(
-        banded.join(shared.select("bucket"), "bucket").withColumn("label", F.col("rep")), "members"
+        members.join(degrees, "rep").select(
+            "bucket", "rep", "n_shingles", "rank", F.col("rep").alias("label")
+        ),
+        "members",
     )
     texts = read.withColumnRenamed("doc_id", "rep").join(members.select("rep").distinct(), "rep")
     texts = stage(texts.select(F.col("rep").alias("doc_id"), "text"), "texts")
@@ -231,7 +237,7 @@ def near_groups(
             break
         leaders = (
             open_members.groupBy("bucket", F.pmod(F.xxhash64("rep"), F.lit(leaders_each)).alias("s"))
-            .agg(F.min(F.struct("rep", "label", "n_shingles")).alias("first"))
+            .agg(F.min(F.struct("rank", "rep", "label", "n_shingles")).alias("first"))
             .select(
                 "bucket",
                 F.col("first.rep").alias("leader"),
@@ -262,7 +268,9 @@ def near_groups(
             moved = stage(moved.withColumnRenamed("node", "label"), "moved")
             now = F.coalesce("component", "label").alias("label")
             labels = stage(labels.join(moved, "label", "left").select("rep", now), "labels")
-            members = members.join(moved, "label", "left").select("bucket", "rep", "n_shingles", now)
+            members = members.join(moved, "label", "left").select(
+                "bucket", "rep", "n_shingles", "rank", now
+            )
         members = stage(members, "members")
         leaders_each = min(4 * leaders_each, 1 << 20)
     component = classes.join(labels, "rep", "left").select(
