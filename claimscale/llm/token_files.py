@@ -28,7 +28,8 @@ SEGMENT_IDS = 1_000_000
 _SEGMENTS = (
     "part int, segment int, n_ids long, doc_ids array<long>, doc_tokens array<int>, body binary"
 )
-_DOCUMENTS = "part int, segment int, doc_id long, before long, n_tokens long, ids binary"
+_DOCUMENTS = "part int, segment int, doc_id long, before long, n_tokens long"
+_KEYS = [f.split()[0] for f in _DOCUMENTS.split(", ")]
 
 
 def with_end(ids: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -94,41 +95,42 @@ def write_token_files(
     )
 
 
-def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            ids = simple8b.decode(row["body"]).astype("<u4")
-            counts = np.array(row["doc_tokens"], np.int64)
-            ends = np.cumsum(counts)
-            if len(ids) != row["n_ids"] or (ends[-1] if len(ends) else 0) != len(ids):
-                raise ValueError("a segment's body does not have the ids it says")
-            n = len(counts)
-            # Its own columns a few megabytes at a time: ids are four bytes each.
-            first = 0
-            while first < n:
-                begin = int(ends[first] - counts[first])
-                last = max(int(np.searchsorted(ends, begin + (1 << 20), "right")), first + 1)
-                bounds = np.concatenate([[begin], ends[first:last]])
-                blob = [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([row["part"]] * (last - first), pa.int32()),
-                        pa.array([row["segment"]] * (last - first), pa.int32()),
-                        pa.array(row["doc_ids"][first:last], pa.int64()),
-                        pa.array(bounds[:-1], pa.int64()),
-                        pa.array(counts[first:last], pa.int64()),
-                        pa.array(blob, pa.binary()),
-                    ],
-                    names=[f.split()[0] for f in _DOCUMENTS.split(", ")],
-                )
-                first = last
-
-
-def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sums = [zlib.crc32(x) for x in batch.column("ids").to_pylist()]
-        at = batch.schema.get_field_index("ids")
-        yield batch.set_column(at, "ids_crc32", pa.array(sums, pa.int64()))
+def _documents(checksums: bool):
+    """Rows of _DOCUMENTS; with ``checksums`` a checksum instead of the ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids = simple8b.decode(row["body"]).astype("<u4")
+                counts = np.array(row["doc_tokens"], np.int64)
+                ends = np.cumsum(counts)
+                if len(ids) != row["n_ids"] or (ends[-1] if len(ends) else 0) != len(ids):
+                    raise ValueError("a segment's body does not have the ids it says")
+                n, first, blob = len(counts), 0, ids.tobytes()
+                # Ids are four bytes each: some megabytes of them at a time.
+                while first < n:
+                    begin = int(ends[first] - counts[first])
+                    last = max(int(np.searchsorted(ends, begin + (1 << 20), "right")), first + 1)
+                    bounds = [begin, *ends[first:last].tolist()]
+                    found = [blob[4 * a : 4 * b] for a, b in zip(bounds, bounds[1:])]
+                    if checksums:
+                        found = pa.array([zlib.crc32(x) for x in found], pa.int64())
+                    else:
+                        found = pa.array(found, pa.binary())
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([row["part"]] * (last - first), pa.int32()),
+                            pa.array([row["segment"]] * (last - first), pa.int32()),
+                            pa.array(row["doc_ids"][first:last], pa.int64()),
+                            pa.array(bounds[:-1], pa.int64()),
+                            pa.array(counts[first:last], pa.int64()),
+                            found,
+                        ],
+                        names=[*_KEYS, "ids_crc32" if checksums else "ids"],
+                    )
+                    first = last
+
+    return run
 
 
 def segment_starts(segments: DataFrame) -> DataFrame:
@@ -153,13 +155,8 @@ def read_token_files(segments: DataFrame, checksums: bool = False) -> DataFrame:
     the end id) and ids binary (little-endian unsigned 32-bit), or with
     ``checksums`` ids_crc32 long instead of the ids.
     """
-    found = segments.mapInArrow(_documents, _DOCUMENTS)
-    last = "ids"
-    if checksums:
-        last = "ids_crc32"
-        found = found.mapInArrow(
-            _checksums, _DOCUMENTS.replace("ids binary", "ids_crc32 long")
-        )
+    last = "ids_crc32 long" if checksums else "ids binary"
+    found = segments.mapInArrow(_documents(checksums), f"{_DOCUMENTS}, {last}")
     return found.join(segment_starts(segments), ["part", "segment"]).select(
-        "doc_id", (F.col("seg_start") + F.col("before")).alias("start"), "n_tokens", last
+        "doc_id", (F.col("seg_start") + F.col("before")).alias("start"), "n_tokens", last.split()[0]
     )
