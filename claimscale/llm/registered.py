@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimscale.llm import exact_dedup, fingerprints, mixing, near_dedup, packing, token_files, toxicity
+from claimscale.llm import exact_dedup, fingerprints, mixing, near_dedup, packing, phrase_automata, suffix_dedup, token_files, toxicity
 from claimscale.llm.shipping import ship
 from claimscale.sources.staging import fresh_path
 
@@ -21,6 +21,10 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_phrase_automata(spark: SparkSession, folder: str) -> DataFrame:
+    return phrase_automata.remove_passages(_documents(spark, folder), with_rest=False)
+
+
 def toxicity_model(docs: DataFrame, folder: str) -> toxicity.Model:
     """Learned from the labelled documents that are not held out."""
     labels = docs.sparkSession.read.parquet(f"{folder}/labels.parquet")
@@ -45,6 +49,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_documents(spark, folder), with_rest=False)
+
+
 def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edited_likeness(_documents(spark, folder))
 
@@ -76,8 +84,10 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_fingerprints": op3_fingerprints,
     "op4_near_dedup": op4_near_dedup,
+    "op5_phrase_automata": op5_phrase_automata,
     "op6_toxicity": op6_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_packing": op9_packing,
