@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimscale.llm import exact_dedup, fingerprints, mixing, near_dedup, packing, phrase_automata, suffix_dedup, token_files, toxicity
+from claimscale.llm import (
+    exact_dedup,
+    fingerprints,
+    language_id,
+    mixing,
+    near_dedup,
+    packing,
+    phrase_automata,
+    suffix_dedup,
+    token_files,
+    toxicity,
+)
 from claimscale.llm.shipping import ship
 from claimscale.sources.staging import fresh_path
 
@@ -42,6 +53,11 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    return language_id.identify(pages, _documents(spark, folder))
+
+
 def tokenizer_path() -> str:
     """The tokenizer of the registered queries; the operators take any path."""
     import public_tokenizers
@@ -89,6 +105,7 @@ LLM_QUERIES = {
     "op4_near_dedup": op4_near_dedup,
     "op5_phrase_automata": op5_phrase_automata,
     "op6_toxicity": op6_toxicity,
+    "op7_language_id": op7_language_id,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_packing": op9_packing,
     "op10_token_files": op10_token_files,
