@@ -124,32 +124,42 @@ def shingle_set(text: bytes | None, size: int) -> set:
 
 
 def _verify(size: int, percent: int):
-    """Of one leader and some members, which members it is linked with."""
+    """One leader and some members: which are linked, and what they share with it."""
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.sort_by([("is_leader", "descending")]).to_pylist()
         leader = shingle_set(rows[0]["text"], size)
-        linked = []
+        known = hashed_set(rows[0]["text"], size)
+        found = []
         for row in rows[1:]:
             other = shingle_set(row["text"], size)
             common = len(leader & other)
-            if common and 100 * common >= percent * (len(leader) + len(other) - common):
-                linked.append(row["doc_id"])
+            linked = 100 * common >= percent * (len(leader) + len(other) - common)
+            outside = np.setdiff1d(hashed_set(row["text"], size), known, assume_unique=True)
+            found.append((row["doc_id"], linked, common, len(other), outside.view(np.int64)))
+        kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+        columns = zip(*found) if found else [()] * 5
         return pa.table(
-            {
-                "u": pa.array([rows[0]["doc_id"]] * len(linked), pa.int64()),
-                "v": pa.array(linked, pa.int64()),
-            }
+            [pa.array([rows[0]["doc_id"]] * len(found), pa.int64())]
+            + [pa.array(list(c), kind) for c, kind in zip(columns, kinds)],
+            names=["leader", "member", "linked", "common", "n", "outside"],
         )
 
     return run
 
 
-def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those of the ``pairs`` (leader, member) whose full shingle sets are similar enough.
+def hashed_set(text: bytes | None, size: int) -> np.ndarray:
+    data = np.frombuffer(text or b"", np.uint8)
+    return next(shingle_hashes(data, np.array([0, len(data)]), size))
 
-    ``texts`` holds doc_id, text.  A leader meets its members in blocks, so a task
-    holds one leader's set and one member's at a time, however many there are.
+
+def compared(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Compare the full shingle sets of all ``pairs`` (leader, member).
+
+    Returns leader, member, linked, common (shingles in both), n (of the member) and
+    outside (hashes of the member's shingles that the leader lacks).  ``texts`` holds
+    doc_id, text.  A leader meets its members in blocks, so a task holds one leader's
+    set and one member's at a time, however many there are.
     """
     blocks = pairs.groupBy("leader").agg((F.count(F.lit(1)) / BLOCK).cast("long").alias("last"))
     members = pairs.join(blocks, "leader").select(
@@ -164,13 +174,46 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
         F.col("leader").alias("doc_id"),
         F.lit(True).alias("is_leader"),
     )
+    text = F.col("text").cast("binary").alias("text")
     return (
         members.unionByName(leaders)
         .join(texts, "doc_id")
-        .select("leader", "block", "doc_id", "is_leader", F.col("text").cast("binary").alias("text"))
+        .select("leader", "block", "doc_id", "is_leader", text)
         .groupBy("leader", "block")
-        .applyInArrow(_verify(size, percent), "u long, v long")
+        .applyInArrow(
+            _verify(size, percent),
+            "leader long, member long, linked boolean, common long, n long, outside array<long>",
+        )
+    )
+
+
+def finer_buckets(members: DataFrame, leaders: DataFrame, met: DataFrame, percent: int) -> DataFrame:
+    """Smaller buckets that still hold every pair of ``members`` that may be linked.
+
+    All members of a bucket have met its leader.  Two of them share at most what the
+    less similar one shares with the leader, besides shingles that the leader lacks.
+    So two that are linked either have such a shingle in common, or the one that is
+    not linked with the leader shares so much with it that the other, to be similar
+    enough, must be of one of few sizes.  Buckets are made of both: members by their
+    shingles outside the leader, and by size.
+    """
+    here = members.join(leaders.select("bucket", "leader"), "bucket").filter("rep <> leader")
+    here = here.select("leader", F.col("rep").alias("member"), "label", "rank").distinct()
+    here = here.join(met, ["leader", "member"])
+    least = here.groupBy("leader").agg(F.min("n").alias("least"))
+    here = here.join(least, "leader")
+    # (100 + percent) * common >= percent * (n + n of the other)
+    most = F.floor(F.col("common") * (100 + percent) / percent) - F.col("n")
+    reach = F.when(~F.col("linked") & (most >= F.col("least")), F.sequence("least", most))
+    sizes = F.concat(F.array("n"), F.coalesce(reach, F.array().cast("array<long>")))
+    keys = F.concat(
+        F.transform("outside", lambda x: F.xxhash64("leader", x)),
+        F.transform(F.array_distinct(sizes), lambda x: F.xxhash64("leader", F.lit("size"), x)),
     )
+    return here.select(
+        F.explode(keys).alias("bucket"), F.col("member").alias("rep"),
+        F.col("n").alias("n_shingles"), "rank", "label",
+    )
 
 
 def near_groups(
@@ -197,10 +240,12 @@ def near_groups(
 
     Equal sets are one class from the start.  Within a band's bucket a leader, the
     member that shares most buckets, is compared with all members that no link joins
-    to it yet, then leaves the bucket; rounds go on, with four times as many leaders each,
-    until the members left in every bucket are joined.  So every pair that shares a
-    band is compared or known to be joined, and a group of thousands costs as many
-    comparisons as it has members, not their square.
+    to it yet.  After the first round the buckets that are not joined are cut finer,
+    without parting members that may be linked (``finer_buckets``); then rounds go on,
+    where leaders leave their bucket and come four times as many each time, until the
+    members left in every bucket are joined.  So every pair that shares a band is
+    compared, known to be joined or known to be too far apart, and a group of
+    thousands costs comparisons by its members, not by their square.
     """
     read = docs.select(F.col(key).cast("long").alias("doc_id"), "text")
     signed = stage(read.mapInArrow(_sign(size, bands, rows, seed), _SIGNED), "signed")
@@ -232,47 +277,59 @@ def near_groups(
             .agg(F.min("label").alias("low"), F.max("label").alias("high"))
             .filter("low < high")
         )
-        open_members = stage(members.join(mixed_up.select("bucket"), "bucket"), "members")
-        if open_members.isEmpty():
+        members = stage(members.join(mixed_up.select("bucket"), "bucket"), "members")
+        if members.isEmpty():
             break
-        leaders = (
-            open_members.groupBy("bucket", F.pmod(F.xxhash64("rep"), F.lit(leaders_each)).alias("s"))
-            .agg(F.min(F.struct("rank", "rep", "label", "n_shingles")).alias("first"))
-            .select(
+        choice = F.pmod(F.xxhash64("rep"), F.lit(leaders_each)).alias("choice")
+        leaders = members.groupBy("bucket", choice).agg(
+            F.min(F.struct("rank", "rep", "label", "n_shingles")).alias("first")
+        )
+        leaders = stage(
+            leaders.select(
                 "bucket",
                 F.col("first.rep").alias("leader"),
                 F.col("first.label").alias("leader_label"),
                 F.col("first.n_shingles").alias("leader_n"),
-            )
-        )
-        pairs = (
-            open_members.join(leaders, "bucket")
-            .filter("label <> leader_label")
-            .filter(100 * F.least("n_shingles", "leader_n") >= percent * F.greatest("n_shingles", "leader_n"))
-            .select("leader", F.col("rep").alias("member"))
-            .distinct()
+            ),
+            "leaders",
         )
+        pairs = members.join(leaders, "bucket").filter("label <> leader_label")
+        if tested is not None:
+            less, more = F.least("n_shingles", "leader_n"), F.greatest("n_shingles", "leader_n")
+            pairs = pairs.filter(100 * less >= percent * more)
+        pairs = pairs.select("leader", F.col("rep").alias("member")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["leader", "member"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = stage(verified(pairs, texts, size, percent), "links")
-        members = open_members.join(
-            leaders.select("bucket", F.col("leader").alias("rep")), ["bucket", "rep"], "left_anti"
-        )
+        met = stage(compared(pairs, texts, size, percent), "met")
+        links = met.filter("linked").select(F.col("leader").alias("u"), F.col("member").alias("v"))
         if not links.isEmpty():
-            known = labels.select(F.col("rep"), "label")
-            ends = links.join(known, links["u"] == known["rep"]).select(F.col("label").alias("u"), "v")
-            ends = ends.join(known, ends["v"] == known["rep"]).select("u", F.col("label").alias("v"))
-            moved = components(ends).filter("node <> component")
-            moved = stage(moved.withColumnRenamed("node", "label"), "moved")
+            known = labels.select("rep", "label")
+            ends = links.join(known, links["u"] == known["rep"])
+            ends = ends.select(F.col("label").alias("u"), "v")
+            ends = ends.join(known, ends["v"] == known["rep"])
+            moved = components(ends.select("u", F.col("label").alias("v")))
+            moved = moved.filter("node <> component").withColumnRenamed("node", "label")
+            moved = stage(moved, "moved")
             now = F.coalesce("component", "label").alias("label")
             labels = stage(labels.join(moved, "label", "left").select("rep", now), "labels")
             members = members.join(moved, "label", "left").select(
                 "bucket", "rep", "n_shingles", "rank", now
             )
-        members = stage(members, "members")
-        leaders_each = min(4 * leaders_each, 1 << 20)
+        done = met.select("leader", "member")
+        if tested is None:
+            tested = done
+            left = (
+                members.groupBy("bucket")
+                .agg(F.min("label").alias("low"), F.max("label").alias("high"))
+                .filter("low < high")
+                .select("bucket")
+            )
+            members = finer_buckets(members.join(left, "bucket"), leaders, met, percent)
+        else:
+            tested = tested.unionByName(done)
+            gone = leaders.select("bucket", F.col("leader").alias("rep"))
+            members = members.join(gone, ["bucket", "rep"], "left_anti")
+            leaders_each = min(4 * leaders_each, 1 << 20)
     component = classes.join(labels, "rep", "left").select(
         *same, F.coalesce("label", "rep").alias("component_id")
     )
