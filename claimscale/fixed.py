@@ -55,10 +55,8 @@ POINT_RUN = r"\.{2,}"
 SENTENCE_BREAK = r"(?<=[.!?])\s+"
 PAGE_BREAK = "\f"
 FILE_KEY = r"([\w-]+)\.[^./]*$"
-TOKEN_BREAK = r"[^a-z0-9]+"
+TOKEN_BREAK = r"[^\p{L}\p{M}\p{N}]+"
 MIN_TOKEN_CHARS = 4
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-UNACCENTED = "aaaaaaceeeeiiiinooooouuuuyy"
 
 # Common English words of four letters or more; shorter ones fall to
 # MIN_TOKEN_CHARS.  A default only: every caller may pass another list.

@@ -6,6 +6,7 @@ clean paragraphs and statements inside the task that read it.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Sequence
 from functools import reduce
 
@@ -132,9 +133,27 @@ def explode_statements(
     )
 
 
+def _folding() -> tuple[str, str]:
+    """Small letters with marks, and the same letters without, by Unicode's decompositions.
+
+    The combining marks themselves come last and have no counterpart: they go.
+    """
+    marked, plain = [], []
+    for code in range(0xC0, 0x2000):
+        letter = chr(code)
+        rest = [c for c in unicodedata.normalize("NFD", letter) if not unicodedata.combining(c)]
+        if letter.lower() == letter and len(rest) == 1 and rest[0] != letter:
+            marked.append(letter)
+            plain.append(rest[0])
+    return "".join(marked) + "".join(map(chr, range(0x300, 0x370))), "".join(plain)
+
+
+ACCENTED, UNACCENTED = _folding()
+
+
 def fold(text: Column) -> Column:
-    """Lower case without Latin accents."""
-    return F.translate(F.lower(text), fixed.ACCENTED, fixed.UNACCENTED)
+    """Lower case without accents, in every alphabet whose letters carry them."""
+    return F.translate(F.lower(text), ACCENTED, UNACCENTED)
 
 
 def token_sql(
@@ -148,8 +167,8 @@ def token_sql(
     if words:
         keep += f" AND t NOT IN ({words})"
     return (
-        f"filter(split(translate(lower({column}), '{fixed.ACCENTED}', "
-        f"'{fixed.UNACCENTED}'), {_sql_text(fixed.TOKEN_BREAK)}), t -> {keep})"
+        f"filter(split(translate(lower({column}), '{ACCENTED}', "
+        f"'{UNACCENTED}'), {_sql_text(fixed.TOKEN_BREAK)}), t -> {keep})"
     )
 
 

@@ -30,25 +30,35 @@ def top_topic(distribution: Column) -> Column:
     return (best - 1).cast("int")
 
 
-def with_topics(
-    distribution: Column, labels: Labels = fixed.TOPIC_LABELS
-) -> Column:
-    """array<struct<probability, topic_id, topic, policy>>.
+def name_positions(distribution: Column, labels: Labels = fixed.TOPIC_LABELS) -> Column:
+    """Each probability of a distribution with the label of its position.
 
-    The labels are literals, so no join is needed.  Where the lengths differ the
-    shorter side is padded with nulls.
+    Gives array<struct<probability, topic_id, topic, policy>>.  Positions past the
+    labels have null labels, labels past the distribution a null probability.
     """
-    ordered = ordered_labels(labels)
+    missing = F.greatest(F.lit(len(labels)) - F.size(distribution), F.lit(0))
+    whole = F.concat(distribution, F.array_repeat(F.lit(None).cast("double"), missing))
+    known = F.array(
+        *(
+            F.struct(
+                F.lit(label["topic_id"]).alias("id"),
+                F.lit(label["topic"]).alias("topic"),
+                F.lit(label["policy"]).alias("policy"),
+            )
+            for label in ordered_labels(labels)
+        )
+    )
 
-    def literals(field: str) -> Column:
-        return F.array(*[F.lit(label[field]) for label in ordered])
+    def named(probability: Column, position: Column) -> Column:
+        label = F.get(known, position)
+        return F.struct(
+            probability.alias("probability"),
+            label["id"].alias("topic_id"),
+            label["topic"].alias("topic"),
+            label["policy"].alias("policy"),
+        )
 
-    return F.arrays_zip(
-        distribution.alias("probability"),
-        literals("topic_id").alias("topic_id"),
-        literals("topic").alias("topic"),
-        literals("policy").alias("policy"),
-    )
+    return F.transform(whole, named)
 
 
 def any_starts_with(values: Column, prefix: str = fixed.THEME_PREFIX) -> Column:

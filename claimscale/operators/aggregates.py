@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimscale import fixed
-from claimscale.functions.topics import Labels, ordered_labels, with_topics
+from claimscale.functions.topics import Labels, name_positions, ordered_labels
 
 
 def explode_topics(df: DataFrame, column: str = "probabilities") -> DataFrame:
@@ -28,7 +28,7 @@ def label_distribution(
     column: str = "probabilities",
     labels: Labels = fixed.TOPIC_LABELS,
 ) -> DataFrame:
-    return df.withColumn(column, with_topics(F.col(column), labels))
+    return df.withColumn(column, name_positions(F.col(column), labels))
 
 
 def _per_topic(
@@ -58,6 +58,14 @@ def _per_topic(
     return df.groupBy(*by).agg(*sums).select(*by, F.inline(F.array(*rows)))
 
 
+def _positions(distribution: Column, labels: Labels) -> list[Column]:
+    """The probability at each label; a longer distribution is an error, not a loss."""
+    k = len(labels)
+    message = f"a distribution has more positions than the {k} labels"
+    whole = F.when(F.size(distribution) > k, F.raise_error(F.lit(message))).otherwise(distribution)
+    return [F.get(whole, F.lit(i)) for i in range(k)]
+
+
 def topic_mass(
     df: DataFrame,
     by: Sequence[str] = ("organisation",),
@@ -67,7 +75,7 @@ def topic_mass(
 ) -> DataFrame:
     """Sum of probability per (group, topic) of a plain distribution."""
     p = F.col(distribution)
-    columns = [F.get(p, F.lit(i)) for i in range(len(labels))]
+    columns = _positions(p, labels)
     return _per_topic(df.filter(p.isNotNull()), by, {mass: columns}, labels)
 
 
@@ -80,7 +88,7 @@ def weighted_tone(
 ) -> DataFrame:
     """Mean tone per (group, topic), weighted by the topic's probability."""
     p = F.col(distribution)
-    weights = [F.get(p, F.lit(i)) for i in range(len(labels))]
+    weights = _positions(p, labels)
     measures = {
         "weightedTone": [w * F.col(tone) for w in weights],
         "weights": weights,

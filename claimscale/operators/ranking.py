@@ -31,11 +31,11 @@ def top_per_key(
     """
     limit = int(df.sparkSession.conf.get(GROUP_LIMIT_SETTING, "1000"))
     if n > limit:
-        ranked = rank_within(df, keys, order, rank)
+        ranked = rank_within(df, keys, order, rank)  # ranks are long there
     else:
         window = Window.partitionBy(*keys).orderBy(*order)
         ranked = df.withColumn(rank, F.row_number().over(window))
-    return ranked.filter(F.col(rank) <= n)
+    return ranked.filter(F.col(rank) <= n).withColumn(rank, F.col(rank).cast("int"))
 
 
 def rank_within(
@@ -56,7 +56,7 @@ def rank_within(
     frozen = df if staged else stage(df, "to-rank")
     if frozen.count() <= one_task_rows:
         window = Window.partitionBy(*keys).orderBy(*order)
-        return frozen.withColumn(rank, F.row_number().over(window))
+        return frozen.withColumn(rank, F.row_number().over(window).cast("long"))
     return rank_by_ranges(frozen, keys, order, rank)
 
 
@@ -107,7 +107,7 @@ def rank_by_ranges(
     same = [block == F.col("_in")]
     same += [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
     return placed.join(shifts, same).select(
-        *df.columns, (F.col("_at") + F.col("_shift")).cast("int").alias(rank)
+        *df.columns, (F.col("_at") + F.col("_shift")).alias(rank)
     )
 
 

@@ -13,13 +13,15 @@ from pyspark.sql import functions as F
 
 from claimscale import fixed
 from claimscale.functions.text import token_sql
-from claimscale.functions.topics import top_probability, top_topic
+from claimscale.functions.topics import Labels, ordered_labels, top_probability, top_topic
 from claimscale.operators.compute import explode_computed, with_computed
 from claimscale.operators.ranking import rank_within
 from claimscale.sources.staging import stage
 
-VOCABULARY_SIZE = 1 << 18
 MODEL_INPUT = "_text"
+ROWS_PER_PARTITION = 50_000
+MAX_CELLS = 250_000_000  # topics x terms; the driver holds some copies of that many doubles
+LABEL_SCHEMA = "topic_id int, topic string, policy string"
 
 
 def term_counts(tokens: DataFrame, column: str = "tokens") -> DataFrame:
@@ -29,19 +31,19 @@ def term_counts(tokens: DataFrame, column: str = "tokens") -> DataFrame:
 
 
 def ranked_terms(
-    tokens: DataFrame, column: str = "tokens", size: int = VOCABULARY_SIZE
+    tokens: DataFrame, column: str = "tokens", size: int | None = None
 ) -> DataFrame:
-    """The ``size`` most frequent terms, ties in alphabetical order.
+    """All terms, or the ``size`` most frequent ones, ties in alphabetical order.
 
     A total order makes the vocabulary, and with it the model, the same on every run.
     """
     order = [F.desc("count"), F.asc("term")]
     ranked = rank_within(term_counts(tokens, column), [], order)
-    return ranked.filter(F.col("rank") <= size)
+    return ranked if size is None else ranked.filter(F.col("rank") <= size)
 
 
 def vocabulary(
-    tokens: DataFrame, column: str = "tokens", size: int = VOCABULARY_SIZE
+    tokens: DataFrame, column: str = "tokens", size: int | None = None
 ) -> list[str]:
     """The same terms as a list.  The model is that large, so is what is fetched."""
     top = ranked_terms(tokens, column, size).select("rank", "term").collect()
@@ -65,16 +67,6 @@ def count_vectors(terms: Sequence[str]) -> CountVectorizerModel:
     return model.setInputCol("tokens").setOutputCol("features")
 
 
-def _few_partitions(scan: DataFrame) -> DataFrame:
-    """At most two partitions per core.
-
-    In every iteration each partition sends a matrix of topics × vocabulary to be
-    summed up.  One per split would outgrow the corpus it is computed from.
-    """
-    most = 2 * scan.sparkSession.sparkContext.defaultParallelism
-    return scan.coalesce(most) if scan.rdd.getNumPartitions() > most else scan
-
-
 def fit_topics(
     documents: DataFrame,
     text: str = "statement",
@@ -83,35 +75,51 @@ def fit_topics(
     seed: int = fixed.MODEL_SEED,
     max_iterations: int = 10,
     stop_words: Sequence[str] = fixed.STOP_WORDS,
-    vocabulary_size: int = VOCABULARY_SIZE,
+    vocabulary_size: int | None = None,
+    subsampling_rate: float = 1.0,
+    optimizer: str = "online",
+    max_cells: int = MAX_CELLS,
 ) -> PipelineModel:
     """Fit tokeniser, term counts and LDA; returns one model from text to topics.
 
-    Every iteration reads the corpus, so the term counts are staged once, as
-    columns.  ``order`` names columns that identify a row: given them, two fits
-    on the same cluster see the rows in the same order.
+    Every iteration draws as many texts as there are (``subsampling_rate`` 1.0), with
+    replacement, as Spark's online optimizer does; ``optimizer="em"`` reads each text
+    in each iteration.  All terms count unless ``vocabulary_size`` limits them.  The
+    model is a matrix in the driver; one of more than ``max_cells`` is an error.
+
+    Every iteration reads the corpus, so the term counts are staged once, as columns.
+    Rows are placed by a hash of ``order``, columns that identify a row (without
+    them: of the text's terms), and the number of partitions follows the number of
+    rows, so the model does not depend on the cluster.
     """
     tokenise = SQLTransformer(
         statement=f"SELECT *, {token_sql(MODEL_INPUT, stop_words)} AS tokens "
         "FROM __THIS__"
     )
     texts = documents.select(*order, F.col(text).alias(MODEL_INPUT))
-    if order:
-        # Sorted before it is split: sampling for the ranges reads texts only.
-        texts = texts.repartitionByRange(*order).sortWithinPartitions(*order)
-    tokens = stage(tokenise.transform(texts).select("tokens"), "tokens")
+    tokens = stage(tokenise.transform(texts).select(*order, "tokens"), "tokens")
     counts = count_vectors(vocabulary(tokens, size=vocabulary_size))
-    features = _few_partitions(
-        stage(counts.transform(tokens).select("features"), "features")
-    )
+    terms = len(counts.vocabulary)
+    if topics * terms > max_cells:
+        raise ValueError(
+            f"{topics} topics x {terms} terms are more than {max_cells} cells: "
+            "limit vocabulary_size or raise max_cells"
+        )
+    place = F.xxhash64(*order) if order else F.xxhash64("tokens")
+    features = counts.transform(tokens.withColumn("_place", place))
+    features = stage(features.select(*order, "_place", "features"), "features")
+    # How a scan is split depends on the cores, so the rows are placed once more.
+    partitions = features.count() // ROWS_PER_PARTITION + 1
+    features = features.repartition(partitions, "_place").sortWithinPartitions("_place", *order)
     lda = LDA(
         k=topics,
         seed=seed,
         maxIter=max_iterations,
-        optimizer="online",
+        optimizer=optimizer,
+        subsamplingRate=subsampling_rate,
         featuresCol="features",
         topicDistributionCol="distribution",
-    ).fit(features)
+    ).fit(features.select("features"))
     return PipelineModel([tokenise, counts, lda])
 
 
@@ -120,8 +128,8 @@ def score_topics(
 ) -> DataFrame:
     """Add probabilities, probability and topic_id to each row.
 
-    A text without a known word has no distribution (all zeros) and no best
-    topic; it keeps its row in :func:`distributions` but is left out here.
+    Every row stays; a text without a known word belongs to all topics alike, and
+    the first of them is its best.
     """
     return with_best_topic(distributions(model, documents, text))
 
@@ -139,13 +147,18 @@ def with_best_topic(df: DataFrame, distribution: str = "probabilities") -> DataF
 def distributions(
     model: PipelineModel, documents: DataFrame, text: str = "statement"
 ) -> DataFrame:
-    """Add the topic distribution as array<double> ``probabilities``."""
+    """Add the topic distribution as array<double> ``probabilities``.
+
+    A text without a known word has the flat distribution 1/k.
+    """
     rows = documents.withColumn(MODEL_INPUT, F.col(text))
     scored = model.transform(rows).select(*documents.columns, "distribution")
     # Inference is by far the dearest step; a filter must not repeat it.
-    return with_computed(
-        scored, "probabilities", vector_to_array("distribution")
-    ).drop("distribution")
+    plain = with_computed(scored, "_plain", vector_to_array("distribution"))
+    p = F.col("_plain")
+    flat = F.transform(p, lambda x: F.lit(1.0) / F.size(p))
+    known = F.when(F.array_max(p) > 0, p).otherwise(flat)
+    return plain.withColumn("probabilities", known).drop("distribution", "_plain")
 
 
 def topic_terms(model: PipelineModel, n: int = 10) -> DataFrame:
@@ -180,8 +193,28 @@ def _parts(model: PipelineModel) -> tuple[CountVectorizerModel, LDAModel]:
     return counts, lda
 
 
-def save_model(model: PipelineModel, path: str) -> None:
+def check_labels(model: PipelineModel, labels: Labels) -> None:
+    """Labels stand for positions: as many as topics, or names would be wrong."""
+    k = _parts(model)[1].getK()
+    if len(ordered_labels(labels)) != k:
+        raise ValueError(f"{len(labels)} labels for {k} topics")
+
+
+def save_model(model: PipelineModel, path: str, labels: Labels | None = None) -> None:
+    """Save the model and, next to it, the labels of its topics."""
+    if labels is not None:
+        check_labels(model, labels)
     model.write().overwrite().save(path)
+    if labels is not None:
+        rows = [(x["topic_id"], x["topic"], x["policy"]) for x in ordered_labels(labels)]
+        frame = SparkSession.active().createDataFrame(rows, LABEL_SCHEMA)
+        frame.coalesce(1).write.mode("overwrite").json(f"{path}/labels")
+
+
+def load_labels(path: str) -> list[dict]:
+    """The labels that were saved with the model at ``path``."""
+    rows = SparkSession.active().read.schema(LABEL_SCHEMA).json(f"{path}/labels").collect()
+    return ordered_labels([row.asDict() for row in rows])
 
 
 def load_model(path: str) -> PipelineModel:

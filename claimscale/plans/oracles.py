@@ -192,12 +192,12 @@ _STOP = ", ".join(f"'{w}'" for w in fixed.STOP_WORDS)
 
 
 def _folded(column: str) -> str:
-    return f"translate(lower({column}), '{fixed.ACCENTED}', '{fixed.UNACCENTED}')"
+    return f"strip_accents(lower({column}))"
 
 
 def _tokens(column: str) -> str:
     return (
-        f"list_filter(string_split_regex({_folded(column)}, '{fixed.TOKEN_BREAK}'), "
+        f"list_filter(string_split_regex({_folded(column)}, '[^\\pL\\pM\\pN]+'), "
         f"lambda t: length(t) >= {fixed.MIN_TOKEN_CHARS} AND t NOT IN ({_STOP}))"
     )
 
@@ -345,13 +345,27 @@ ORACLES: dict[str, str] = {
         counted AS (SELECT term, count(*) AS count FROM found GROUP BY term),
         ranked AS (SELECT *, row_number() OVER (ORDER BY count DESC, term) AS rank
                    FROM counted)
-        SELECT term, count, CAST(rank AS INTEGER) AS rank FROM ranked
-        WHERE rank <= 262144""",
+        SELECT term, count, rank FROM ranked""",
     "distribution_mass": f"""WITH {_STATEMENTS}
         SELECT doc_id, paragraph_no, sentence_no, CAST(5 AS INTEGER) AS topics,
-               CASE WHEN len({_tokens('statement')}) > 0 THEN 1.0::DOUBLE
-                    ELSE 0.0::DOUBLE END AS mass
+               1.0::DOUBLE AS mass
         FROM statements WHERE {_LONG}""",
+    "topic_model_scores": f"""WITH {_STATEMENTS}
+        SELECT doc_id, paragraph_no, sentence_no, true AS is_share,
+               true AS is_first_best, true AS is_same_reloaded
+        FROM statements WHERE {_LONG}""",
+    "topic_terms": """
+        SELECT CAST(t AS INTEGER) AS topic_id, CAST(r AS INTEGER) AS rank,
+               true AS falls, true AS known
+        FROM range(5) topics(t), range(1, 11) ranks(r)""",
+    "scored_view": f"""WITH {_STATEMENTS}
+        SELECT doc_id, count(*) AS statements, CAST(count(*) AS DOUBLE) AS mass
+        FROM statements WHERE {_LONG} GROUP BY doc_id""",
+    "modelled_news": f"""WITH {_TOPICS}, found AS (
+          SELECT DISTINCT 'org_' || (user_id % 10) AS organisation FROM events)
+        SELECT organisation, policy, CAST(topic_id AS INTEGER) AS topic_id,
+               true AS is_even_rank
+        FROM found, topics""",
     "page_titles": """
         SELECT page_id, regexp_extract(html, '<title>(.+?)</title>', 1) AS title
         FROM pages
@@ -377,8 +391,8 @@ ORACLES: dict[str, str] = {
         SELECT c_custkey, o_orderkey, c_name, c_mktsegment FROM orders
         JOIN customer ON o_custkey = c_custkey""",
     "rank_by_ranges": """
-        SELECT o_orderkey, o_orderstatus, o_totalprice, CAST(row_number() OVER (
-          PARTITION BY o_orderstatus ORDER BY o_totalprice, o_orderkey) AS INTEGER) AS rank
+        SELECT o_orderkey, o_orderstatus, o_totalprice, row_number() OVER (
+          PARTITION BY o_orderstatus ORDER BY o_totalprice, o_orderkey) AS rank
         FROM orders""",
     "insert_and_append": """
         SELECT c_nationkey AS "columnA", c_name AS "columnB" FROM customer

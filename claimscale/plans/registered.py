@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimscale import fixed
@@ -604,7 +604,7 @@ def logo_metadata(spark: SparkSession, folder: str) -> DataFrame:
 # --- topic model -----------------------------------------------------------------
 
 STATEMENT_ID = ("doc_id", "paragraph_no", "sentence_no")
-MAX_ITERATIONS = 5
+MAX_ITERATIONS = 10
 
 
 def _fitted(spark: SparkSession, folder: str):
@@ -616,17 +616,31 @@ def _fitted(spark: SparkSession, folder: str):
 
 
 def topic_model_scores(spark: SparkSession, folder: str) -> DataFrame:
-    """Fit, save, load again, and score every statement."""
+    """Fit, save, load again, and score every statement with both models."""
     model, statements = _fitted(spark, folder)
     path = fresh_path(spark, "model")
-    topic_model.save_model(model, path)
-    scored = topic_model.score_topics(topic_model.load_model(path), statements)
-    probability = F.round("probability", 4).alias("probability")
-    return scored.select(*STATEMENT_ID, "topic_id", probability)
+    topic_model.save_model(model, path, fixed.TOPIC_LABELS)
+    loaded = topic_model.load_model(path)
+    topic_model.check_labels(loaded, topic_model.load_labels(path))
+    own = topic_model.score_topics(model, statements)
+    other = topic_model.distributions(loaded, statements.select(*STATEMENT_ID, "statement"))
+    other = other.select(*STATEMENT_ID, F.col("probabilities").alias("again"))
+    p, best = F.col("probabilities"), F.col("topic_id")
+    apart = F.zip_with(p, "again", lambda a, b: F.abs(a - b))
+    before = F.slice(p, F.lit(1), best)
+    return own.join(other, list(STATEMENT_ID)).select(
+        *STATEMENT_ID,
+        ((F.col("probability") > 0) & (F.col("probability") <= 1)).alias("is_share"),
+        (
+            (F.get(p, best) == F.array_max(p))
+            & (F.size(F.filter(before, lambda x: x >= F.get(p, best))) == 0)
+        ).alias("is_first_best"),
+        (F.array_max(apart) < 1e-9).alias("is_same_reloaded"),
+    )
 
 
 def distribution_mass(spark: SparkSession, folder: str) -> DataFrame:
-    """Topics and total probability per statement: 1, or 0 without a known word."""
+    """Topics and total probability per statement: always 1."""
     model, statements = _fitted(spark, folder)
     p = F.col("probabilities")
     return topic_model.distributions(model, statements).select(
@@ -637,8 +651,31 @@ def distribution_mass(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def topic_terms(spark: SparkSession, folder: str) -> DataFrame:
-    model, _ = _fitted(spark, folder)
-    return _rounded(topic_model.topic_terms(model), "weight")
+    """Ten terms per topic: whether weights fall and the terms are the corpus's own."""
+    model, statements = _fitted(spark, folder)
+    terms = topic_model.topic_terms(model)
+    heavier = F.lag("weight").over(Window.partitionBy("topic_id").orderBy("rank"))
+    split = statements.select(T.tokens("statement").alias("tokens"))
+    known = topic_model.term_counts(split).select("term", F.lit(True).alias("known"))
+    falling = terms.withColumn("falls", F.coalesce(F.col("weight") <= heavier, F.lit(True)))
+    return falling.join(known, "term", "left").select(
+        "topic_id",
+        F.col("rank").cast("int").alias("rank"),
+        "falls",
+        F.coalesce("known", F.lit(False)).alias("known"),
+    )
+
+
+def scored_view(spark: SparkSession, folder: str) -> DataFrame:
+    """The model seen from SQL: statements with their distribution, as a view."""
+    model, statements = _fitted(spark, folder)
+    statements.createOrReplaceTempView("model_statements")
+    topic_model.register_scored_view(spark, model, "model_statements", "scored_statements_view")
+    return spark.sql(
+        "SELECT doc_id, count(*) AS statements, "
+        "round(sum(aggregate(probabilities, 0D, (acc, x) -> acc + x)), 6) AS mass "
+        "FROM scored_statements_view GROUP BY doc_id"
+    )
 
 
 def modelled_news(spark: SparkSession, folder: str) -> DataFrame:
@@ -662,7 +699,10 @@ def modelled_news(spark: SparkSession, folder: str) -> DataFrame:
         "title",
     )
     scores = news.news_scores(news.classify_news(model, articles))
-    return scores.select("organisation", "policy", "topic", "topic_id", "score")
+    n = F.count(F.lit(1)).over(Window.partitionBy("policy"))
+    place = F.row_number().over(Window.partitionBy("policy").orderBy("score"))
+    even = F.abs(F.col("score") - place * 100 / n) < 1e-9
+    return scores.select("organisation", "policy", "topic_id", even.alias("is_even_rank"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -725,6 +765,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         topic_model_scores,
         distribution_mass,
         topic_terms,
+        scored_view,
         modelled_news,
     )
 }

@@ -23,6 +23,7 @@ STATEMENTS = "clean_sentences"
 SCORED = "topic_sentences"
 INITIATIVES = "esg_initiatives"
 TALK = "csr_scores"
+NEWS = "prepared_news"
 NEWS_TOPICS = "news_topics"
 WALK = "news_scores"
 
@@ -37,13 +38,15 @@ def ingest_documents(
     checkpoint: str,
     pattern: str = fixed.FILE_KEY,
     glob: str | None = None,
+    files_per_batch: int | None = None,
+    timeout: int | None = None,
 ) -> DataFrame:
     """Append new document files, with their metadata, to the raw table."""
     table = f"{schema}.{RAW}"
     # Every micro-batch reads the metadata, so it is computed only once.
     known = stage(metadata, "metadata")
-    stream = file_stream(spark, path, glob=glob)
-    drain_to_table(join_metadata(stream, known, pattern), table, checkpoint)
+    stream = file_stream(spark, path, glob=glob, files_per_batch=files_per_batch)
+    drain_to_table(join_metadata(stream, known, pattern), table, checkpoint, timeout)
     return spark.table(table)
 
 
@@ -63,26 +66,45 @@ def train(
     labels: Labels = fixed.TOPIC_LABELS,
     **options,
 ) -> PipelineModel:
-    """Fit as many topics as there are labels and save the model."""
+    """Fit as many topics as there are labels; save the model with its labels."""
     model = topic_model.fit_topics(
         spark.table(f"{schema}.{STATEMENTS}"),
         order=STATEMENT_ID,
         topics=len(labels),
         **options,
     )
-    topic_model.save_model(model, model_path)
+    topic_model.save_model(model, model_path, labels)
     return model
 
 
+def _model_with_labels(path: str) -> tuple[PipelineModel, Labels]:
+    """A saved model and its own labels; they cannot part."""
+    model, labels = topic_model.load_model(path), topic_model.load_labels(path)
+    topic_model.check_labels(model, labels)
+    return model, labels
+
+
+def prepare_news_table(
+    spark: SparkSession,
+    raw: DataFrame,
+    organisations: DataFrame,
+    schema: str,
+    keep: tuple[str, ...] = ("organisation",),
+    **options,
+) -> DataFrame:
+    """Write the prepared news: the latest titled articles on a theme, per ticker."""
+    replace_table(news.prepare_news(raw, organisations, keep, **options), f"{schema}.{NEWS}")
+    return spark.table(f"{schema}.{NEWS}")
+
+
 def build_disclosure_scores(
     spark: SparkSession,
     schema: str,
     model_path: str,
-    labels: Labels = fixed.TOPIC_LABELS,
     min_probability: float = fixed.MIN_PROBABILITY,
 ) -> DataFrame:
     """Score statements, choose initiatives and rank the organisations."""
-    model = topic_model.load_model(model_path)
+    model, labels = _model_with_labels(model_path)
     statements = spread(spark.table(f"{schema}.{STATEMENTS}"))
     scored = disclosure.topic_statements(model, statements)
     replace_table(scored, f"{schema}.{SCORED}")
@@ -104,10 +126,9 @@ def build_news_scores(
     articles: DataFrame,
     schema: str,
     model_path: str,
-    labels: Labels = fixed.TOPIC_LABELS,
 ) -> DataFrame:
     """Classify articles with the model of the disclosures and rank by tone."""
-    model = topic_model.load_model(model_path)
+    model, labels = _model_with_labels(model_path)
     classified = news.classify_news(model, articles, labels)
     replace_table(classified, f"{schema}.{NEWS_TOPICS}")
     scores = news.news_scores(spark.table(f"{schema}.{NEWS_TOPICS}"), labels)

@@ -6,6 +6,8 @@ manifest table lists share, schema, table, path and partition.
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,19 +45,21 @@ def export_table(
     writer.parquet(path)
     described = ", ".join(f"{c} = {v}" for c, v in (partition or {}).items())
     entry = (share, schema, table, path, described)
+    # One live entry per table: a new export takes the place of the last one.
+    place = "/".join(quote(name, safe="") for name in (share, schema, table))
     (
         df.sparkSession.createDataFrame([entry], MANIFEST_SCHEMA)
         .coalesce(1)
-        .write.mode("append")
-        .json(_manifest_path(folder))
+        .write.mode("overwrite")
+        .json(f"{_manifest_path(folder)}/{place}")
     )
     return path
 
 
 def exported_tables(spark: SparkSession, folder: str) -> DataFrame:
-    """Every exported table once, however often it was exported."""
-    manifest = spark.read.schema(MANIFEST_SCHEMA).json(_manifest_path(folder))
-    return manifest.distinct()
+    """Every exported table once, as its last export left it."""
+    reader = spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", "true")
+    return reader.json(_manifest_path(folder))
 
 
 def read_export(spark: SparkSession, path: str) -> DataFrame:

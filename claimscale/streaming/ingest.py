@@ -60,17 +60,20 @@ def join_metadata(
 
 
 def drain_to_table(
-    stream: DataFrame, table: str, checkpoint: str, timeout: int = 3600
+    stream: DataFrame, table: str, checkpoint: str, timeout: int | None = None
 ) -> None:
     """Append everything that is new to ``table``, then stop.
 
     The checkpoint remembers what was read: a second run adds only new files.
+    Without a ``timeout`` (seconds) it takes as long as it takes.
     """
     query = (
         stream.writeStream.trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
         .toTable(table)
     )
-    if not query.awaitTermination(timeout):
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"the stream into {table} took over {timeout} seconds")

@@ -1,6 +1,12 @@
 from __future__ import annotations
 
+import json
+import os
+import subprocess
+import sys
+
 import pytest
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from claimscale.operators import topic_model as M
@@ -39,13 +45,58 @@ def test_distributions(model, statements):
     assert len(got) == 62
     for i, p in got.items():
         assert len(p) == 2
-        assert sum(p) == pytest.approx(1.0 if i < 60 else 0.0)
+        assert sum(p) == pytest.approx(1.0)
+
+
+def test_unknown_texts_belong_to_all_topics_alike(model, statements):
+    scored = {r["id"]: r for r in M.score_topics(model, statements).collect()}
+    assert set(scored) == set(range(62))
+    assert all(r["probability"] == max(r["probabilities"]) for r in scored.values())
+    for i in (60, 61):
+        assert scored[i]["probabilities"] == [0.5, 0.5] and scored[i]["topic_id"] == 0
+
+
+def test_a_term_of_one_statement_is_in_the_vocabulary(spark):
+    rows = [(i, "water energy carbon") for i in range(30)] + [(30, "singular water")]
+    docs = spark.createDataFrame(rows, "id int, statement string")
+    fitted = M.fit_topics(docs, order=["id"], topics=2, max_iterations=1)
+    assert "singular" in M._parts(fitted)[0].vocabulary
+    with pytest.raises(ValueError, match="cells"):
+        M.fit_topics(docs, order=["id"], topics=2, max_cells=7)
 
 
-def test_unknown_texts_have_no_topic(model, statements):
-    scored = M.score_topics(model, statements).collect()
-    assert {r["id"] for r in scored} == set(range(60))
-    assert all(r["probability"] == max(r["probabilities"]) for r in scored)
+def test_labels_travel_with_the_model(model):
+    path = fresh_path(SparkSession.active(), "labelled")
+    labels = [{"topic_id": i, "topic": "E", "policy": f"p{i}"} for i in (1, 0)]
+    M.save_model(model, path, labels)
+    assert M.load_labels(path) == labels[::-1]
+    M.check_labels(M.load_model(path), M.load_labels(path))
+    with pytest.raises(ValueError, match="3 labels for 2 topics"):
+        M.save_model(model, path, [*labels, {"topic_id": 2, "topic": "S", "policy": "x"}])
+
+
+FIT = """
+import json, sys
+from claimscale.session import local_session
+from claimscale.operators import topic_model as M
+spark = local_session("fit", sys.argv[1])
+rows = [(i, " ".join(f"word{(i * 7 + j * j) % 40:03d}" for j in range(30))) for i in range(200)]
+docs = spark.createDataFrame(rows, "id int, statement string").repartition(int(sys.argv[1]))
+model = M.fit_topics(docs, order=["id"], topics=3, max_iterations=4)
+print(json.dumps(M._parts(model)[1].topicsMatrix().toArray().tolist()))
+"""
+
+
+def test_the_model_does_not_depend_on_the_cores():
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    found = []
+    for cores in ("2", "8"):
+        done = subprocess.run(
+            [sys.executable, "-c", FIT, cores], cwd=root, capture_output=True, timeout=300, text=True
+        )
+        found.append(json.loads(done.stdout.strip().splitlines()[-1]))
+    for a, b in zip(*found):
+        assert a == pytest.approx(b, rel=1e-6)
 
 
 def test_inference_is_planned_once(model, statements):
@@ -112,11 +163,3 @@ def test_nothing_to_learn_from(spark):
     rows = spark.createDataFrame([("of it",)], "statement string")
     with pytest.raises(ValueError):
         M.fit_topics(rows)
-
-
-def test_few_partitions(spark):
-    cores = spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 1000, 1, 5 * cores)
-    assert M._few_partitions(wide).rdd.getNumPartitions() == 2 * cores
-    narrow = spark.range(0, 10, 1, 2)
-    assert M._few_partitions(narrow) is narrow

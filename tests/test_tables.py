@@ -97,6 +97,10 @@ def test_exports(spark, numbers):
     listed = exports.exported_tables(spark, folder).orderBy("table").collect()
     assert [(r["table"], r["partition"]) for r in listed] == [("all", ""), ("one", "part = 1")]
     assert exports.read_export(spark, one).count() == 25
+    exports.export_table(numbers, folder, "s", "d", "again", partition={"part": 1})
+    exports.export_table(numbers, folder, "s", "d", "again")
+    again = exports.exported_tables(spark, folder).filter("table = 'again'").collect()
+    assert [r["partition"] for r in again] == [""]
     name = f"{tables.fresh_schema(spark)}.shared"
     exports.register_export(spark, one, name)
     assert spark.table(name).count() == 25

@@ -18,20 +18,6 @@ WORDS = [
 ]
 
 
-def python_paragraphs(text: str) -> list[str]:
-    """State machine over lines: the open paragraph and whether it may close."""
-    text = "".join(c for c in text if 32 <= ord(c) <= 126 or c in "\t\n\r\x0b\x0c")
-    done, current = [], ""
-    for line in text.split("\n"):
-        closes = current.endswith(".") and not line.startswith(" ")
-        if closes:
-            done.append(current)
-            current = line
-        else:
-            current = f"{current} {line}"
-    return [*done, current]
-
-
 def python_clean(paragraph: str) -> str:
     for pattern, replacement in (
         (fixed.HEADER_NUMBER.removeprefix("(?d)"), r"\1"),
@@ -47,15 +33,6 @@ def python_clean(paragraph: str) -> str:
     return paragraph
 
 
-def python_statements(text: str) -> list[str]:
-    found = []
-    for paragraph in python_paragraphs(text):
-        for part in re.split(r"(?<=[.!?])\s+", python_clean(paragraph)):
-            if part.strip():
-                found.append(part.strip())
-    return found
-
-
 def random_texts(n: int) -> list[str]:
     rng = random.Random(7)
     glue = [" ", " ", "  ", "\n", "\n ", ".\n", "\n\n", ""]
@@ -66,7 +43,33 @@ def random_texts(n: int) -> list[str]:
     return texts
 
 
-def test_paragraphs_and_statements_equal_python(spark):
+# Texts and their paragraphs, written out by hand.
+PARAGRAPHS = [
+    ("", [" "]),
+    ("one line", [" one line"]),
+    ("one\ntwo", [" one two"]),
+    ("One.\nTwo.", [" One.", "Two."]),
+    ("One.\n two.", [" One.  two."]),
+    ("One.\n\nTwo.", [" One.", " Two."]),
+    ("One\n\nTwo", [" One  Two"]),
+    ("a.\nb\nc.\nd", [" a.", "b c.", "d"]),
+    ("caf\u00e9 a.\nb", [" caf a.", "b"]),
+    ("a.\r\nb", [" a.\r b"]),
+]
+
+
+def test_paragraphs_written_out(spark):
+    rows = spark.createDataFrame([(t,) for t, _ in PARAGRAPHS], "text string")
+    got = [r["p"] for r in rows.select(T.paragraphs(F.col("text")).alias("p")).collect()]
+    assert got == [p for _, p in PARAGRAPHS]
+
+
+def squeezed(text: str) -> str:
+    return "".join(c for c in text if 32 < ord(c) < 127)
+
+
+def test_paragraphs_keep_all_visible_signs_and_statements_their_rules(spark):
+    """Nothing but white space comes or goes, and breaks come after full stops only."""
     texts = random_texts(3000)
     rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
     found = rows.select(
@@ -76,28 +79,25 @@ def test_paragraphs_and_statements_equal_python(spark):
         T.statements(F.col("text")).alias("s"),
     ).collect()
     for row in found:
-        text = texts[row["id"]]
-        assert row["p"] == python_paragraphs(text), repr(text)
-        assert row["c"] == [python_clean(p) for p in python_paragraphs(text)], repr(text)
-        assert row["s"] == python_statements(text), repr(text)
+        assert squeezed("".join(row["p"])) == squeezed(texts[row["id"]])
+        assert all(p.endswith(".") for p in row["p"][:-1])
+        assert row["c"] == [python_clean(p) for p in row["p"]]
+        parts = [s.strip() for c in row["c"] for s in re.split(r"(?<=[.!?])\s+", c)]
+        assert row["s"] == [s for s in parts if s]
 
 
 def test_exploded_statements_equal_the_arrays(spark):
     texts = random_texts(500)
     rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    arrays = rows.select("id", T.statements(F.col("text")).alias("s")).collect()
     for least in (1, 20):
         exploded = T.explode_statements(rows, "text", ["id"], least).collect()
         got = [
             (r["id"], r["statement"])
             for r in sorted(exploded, key=lambda r: (r["id"], r[1], r[2]))
         ]
-        want = [
-            (i, s)
-            for i, text in enumerate(texts)
-            for s in python_statements(text)
-            if len(s) >= least
-        ]
-        assert got == want
+        in_order = sorted(arrays, key=lambda r: r["id"])
+        assert got == [(r["id"], s) for r in in_order for s in r["s"] if len(s) >= least]
 
 
 def test_null_text_gives_no_rows(spark):
@@ -128,6 +128,20 @@ def test_tokens(spark):
     assert none == []
 
 
+def test_tokens_of_many_alphabets(spark):
+    lines = [
+        ("Žluťoučký kůň pěl ódy", ["zlutoucky", "kun", "pel", "ody"]),
+        ("Łódź zażółć gęślą jaźń", ["łodz", "zazołc", "gesla", "jazn"]),
+        ("Ενέργεια και ύδωρ", ["ενεργεια", "και", "υδωρ"]),
+        ("Энергия йод", ["энергия", "иод"]),
+        ("持続可能性、環境報告書", ["持続可能性", "環境報告書"]),
+        ("cafe\u0301 re\u0301sume\u0301", ["cafe", "resume"]),
+    ]
+    rows = spark.createDataFrame([(t,) for t, _ in lines], "text string")
+    got = [r["t"] for r in rows.select(T.tokens("text", [], 3).alias("t")).collect()]
+    assert got == [t for _, t in lines]
+
+
 def test_title(spark):
     rows = spark.createDataFrame(
         [

@@ -38,7 +38,7 @@ def test_rows_without_distribution_have_no_topic(rows):
 
 def test_labels_are_sorted_and_checked(rows):
     shuffled = list(reversed(fixed.TOPIC_LABELS))
-    first = rows.select(P.with_topics(F.col("probabilities"), shuffled)[0]).first()[0]
+    first = rows.select(P.name_positions(F.col("probabilities"), shuffled)[0]).first()[0]
     assert first.asDict() == {
         "probability": 0.1, "topic_id": 0, "topic": "S", "policy": "ethics",
     }
@@ -107,3 +107,16 @@ def test_articles_per_day_groups_days(spark):
     )
     got = A.articles_per_day(rows).collect()
     assert [(r["article_count"], str(r["date"])) for r in got] == [(2, "2024-01-01")]
+
+
+def test_positions_past_the_labels(spark):
+    """They keep their probability without a label; sums refuse to drop them."""
+    rows = spark.sql("SELECT 'a' AS organisation, array(.1D, .1D, .1D, .1D, .1D, .5D) AS probabilities")
+    named = rows.select(P.name_positions(F.col("probabilities")).alias("p")).first()["p"]
+    assert [x["probability"] for x in named] == [0.1] * 5 + [0.5]
+    assert [x["topic_id"] for x in named] == [0, 1, 2, 3, 4, None]
+    with pytest.raises(Exception, match="more positions than the 5 labels"):
+        A.topic_mass(rows).collect()
+    toned = rows.withColumn("tone", F.lit(1.0))
+    with pytest.raises(Exception, match="more positions than the 5 labels"):
+        A.weighted_tone(A.label_distribution(toned)).collect()
