@@ -162,6 +162,8 @@ def fit(docs: DataFrame, labels: DataFrame, **bounds: int) -> Model:
     column = np.searchsorted(kept, np.concatenate(blobs))
     value = ratio[kept][column] * _scale(np.bincount(owner, minlength=len(blobs)))[owner]
     weights, bias = _regress(owner, column, value, truth, len(kept))
+    del rows, blobs, sample, held
+    pa.default_memory_pool().release_unused()
     return Model(kept, weights * ratio[kept], bias)
 
 
