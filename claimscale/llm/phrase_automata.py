@@ -24,7 +24,7 @@ from claimscale.llm.rows import ordered_key
 
 LENGTH = 35
 GRAM = 10
-PATTERNS = 20_000  # in one automaton
+PATTERNS = 4_000  # in one automaton, some hundred megabytes of nodes
 
 _CUT = (
     "doc long, n_words long, n_removed long, kept_sha256 string,"

@@ -30,7 +30,7 @@ from claimscale.sources.staging import stage
 
 MOST_BITS = 29  # of the bitmap: 64 MB at most, whatever the input
 LEAST_BITS = 16
-MANY_CLASSES = 10_000
+MANY_CLASSES = 2_000
 BASE = 0x9E3779B97F4A7C15
 _PLACE = np.uint64((1 << 24) - 1)
 
