@@ -6,19 +6,33 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from claimscale.session import shuffle_width
 from claimscale.sources.staging import stage
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 HEAVY_SHARE = 0.001
-SALTS = 64
 SAMPLE = 0.02
+VALUE_BYTES = 16  # of any value in a row, null or not; texts come on top
 
 
-def text_bytes(df: DataFrame) -> int:
-    """Size of the rows written as JSON: one aggregate, one row to the driver."""
-    size = df.select(F.octet_length(F.to_json(F.struct("*"))).alias("n"))
-    return size.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+def held_bytes(df: DataFrame) -> int:
+    """About what the rows take in memory: one aggregate, one row to the driver.
+
+    Every column has its fixed width whether it is null or not; strings, binaries
+    and nested values add their lengths.
+    """
+    width = F.lit(VALUE_BYTES * len(df.columns))
+    for field in df.schema.fields:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(value), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            text = F.to_json(F.struct(value.alias("v")))
+            width = width + F.coalesce(F.octet_length(text), F.lit(0))
+    sizes = df.select(width.cast("long").alias("n"))
+    return sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
 
 
 def lookup_join(
@@ -34,7 +48,7 @@ def lookup_join(
     stream cannot be measured for heavy keys: it then takes a plain join.
     """
     on = list(on)
-    if text_bytes(lookup) <= max_bytes:
+    if held_bytes(lookup) <= max_bytes:
         return facts.join(F.broadcast(lookup), on)
     if facts.isStreaming:
         return facts.join(lookup, on)
@@ -47,7 +61,7 @@ def heavy_keys(
     share: float = HEAVY_SHARE,
     fraction: float = 1.0,
 ) -> DataFrame:
-    """Keys that hold more than ``share`` of all rows; at most 1/share of them.
+    """Keys with more than ``share`` of all rows, and their share; at most 1/share of them.
 
     They may be judged by a ``fraction`` of the rows.
     """
@@ -56,7 +70,8 @@ def heavy_keys(
         seen = seen.sample(fraction, seed=1)
     rows = seen.select(F.count(F.lit(1)).alias("n")).scalar()
     counts = seen.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.filter(F.col("_rows") > rows * share).select(*on)
+    found = counts.filter(F.col("_rows") > rows * share)
+    return found.select(*on, (F.col("_rows") / rows).alias("_share"))
 
 
 def split_join(
@@ -64,39 +79,33 @@ def split_join(
     lookup: DataFrame,
     on: Sequence[str],
     share: float = HEAVY_SHARE,
-    salts: int = SALTS,
     fraction: float = 1.0,
 ) -> DataFrame:
-    """Inner equi-join in which the rows of each heavy key go to ``salts`` tasks.
-
-    Only lookup rows of heavy keys are replicated.  The salt is a hash of the
-    fact row, so a repeated task sends each row to the same place.  Which keys
-    count as heavy changes only who does the work, never the result: a
-    ``fraction`` of the rows can decide.  The decision is staged, because both
-    sides have to follow the same one.
+    """Inner equi-join in which the rows of each heavy key go to many tasks.
+
+    A key gets as many of the shuffle's partitions as its share of the rows asks for
+    (two at least), so a key with a third of all rows fills a third of the tasks.
+    Only lookup rows of heavy keys are replicated.  The salt comes from a row id, so
+    rows that are equal in all columns spread too, and no other column is read;
+    ``facts`` should come from storage, so that a task that runs again numbers its
+    rows alike.  Which keys count as heavy changes only who does the work, never the
+    result: a ``fraction`` of the rows can decide.  The decision is staged, because
+    both sides have to follow the same one.
     """
     on = list(on)
+    width = shuffle_width(facts.sparkSession)
+    salts = F.greatest(F.ceil(F.col("_share") * width), F.lit(2)).cast("int")
     # Bounded by 1/share rows, whatever the size of the facts.
-    chosen = stage(heavy_keys(facts, on, share, fraction), "heavy-keys")
+    chosen = heavy_keys(facts, on, share, fraction).select(*on, salts.alias("_salts"))
+    chosen = stage(chosen, "heavy-keys")
     if chosen.isEmpty():
         return facts.join(lookup, on)
-    heavy = F.broadcast(chosen.withColumn("_heavy", F.lit(True)))
-    spread = [c for c in facts.columns if c not in on] or on
-
-    def mark(df: DataFrame) -> DataFrame:
-        return df.join(heavy, on, "left")
-
-    hot = F.col("_heavy").isNotNull()
-    salted = mark(facts).withColumn(
-        "_salt",
-        F.when(hot, F.pmod(F.hash(*spread), F.lit(salts))).otherwise(F.lit(0)),
-    )
-    copies = mark(lookup).withColumn(
-        "_salt",
-        F.explode(
-            F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
-    )
-    return salted.drop("_heavy").join(copies.drop("_heavy"), [*on, "_salt"]).drop("_salt")
+    heavy = F.broadcast(chosen)
+    row = F.xxhash64(F.monotonically_increasing_id())
+    hot = F.col("_salts").isNotNull()
+    own = F.when(hot, F.pmod(F.col("_row"), F.col("_salts"))).otherwise(F.lit(0))
+    salted = facts.withColumn("_row", row).join(heavy, on, "left")
+    salted = salted.withColumn("_salt", own.cast("int")).drop("_row", "_salts")
+    each = F.when(hot, F.sequence(F.lit(0), F.col("_salts") - 1)).otherwise(F.array(F.lit(0)))
+    copies = lookup.join(heavy, on, "left").withColumn("_salt", F.explode(each))
+    return salted.join(copies.drop("_salts"), [*on, "_salt"]).drop("_salt")

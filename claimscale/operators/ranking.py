@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimscale.operators.joins import BROADCAST_BYTES, text_bytes
+from claimscale.operators.joins import BROADCAST_BYTES, held_bytes
 from claimscale.session import shuffle_width
 from claimscale.sources.staging import stage
 
@@ -101,7 +101,7 @@ def rank_by_ranges(
             (F.col("_before") - F.col("_first") + 1).alias("_shift"),
         )
     )
-    if text_bytes(shifts) <= BROADCAST_BYTES:
+    if held_bytes(shifts) <= BROADCAST_BYTES:
         shifts = F.broadcast(shifts)
     # A null key is a key like any other here.
     same = [block == F.col("_in")]

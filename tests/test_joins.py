@@ -48,7 +48,26 @@ def test_lookup_join_broadcasts_by_measured_size(facts, lookup):
     assert rows(small) == rows(large)
 
 
-def test_measured_size(spark):
-    df = spark.createDataFrame([("ab", 1), ("é", 2)], "a string, b int")
-    assert J.text_bytes(df) == len('{"a":"ab","b":1}') + len('{"a":"é","b":2}'.encode())
-    assert J.text_bytes(df.limit(0)) == 0
+def test_measured_size_counts_nulls(spark):
+    df = spark.createDataFrame([("ab", 1), ("é", 2), (None, None)], "a string, b int")
+    assert J.held_bytes(df) == 3 * 2 * J.VALUE_BYTES + 4
+    assert J.held_bytes(df.limit(0)) == 0
+    nulls = spark.range(10).select(*(F.lit(None).cast("long").alias(f"c{i}") for i in range(20)))
+    assert J.held_bytes(nulls) == 10 * 20 * J.VALUE_BYTES
+
+
+def test_equal_rows_of_one_key_spread_over_many_tasks(spark):
+    rows = spark.range(0, 20000, 1, 4).select(F.lit("hot").alias("key"), F.lit(1).alias("same"))
+    lookup = spark.createDataFrame([("hot", "x")], "key string, name string")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        joined = J.split_join(rows, lookup, ["key"])
+        tasks = joined.groupBy(F.spark_partition_id().alias("task")).count().collect()
+        assert len(tasks) > 32 and sum(r["count"] for r in tasks) == 20000
+        assert max(r["count"] for r in tasks) < 2500
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
