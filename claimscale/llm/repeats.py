@@ -16,7 +16,9 @@ shared out by anchor:
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,19 +44,25 @@ _FOUND = "anchor long, seg long, starts array<int>, ends array<int>"
 Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
+@lru_cache(maxsize=4)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of BASE and of its inverse, modulo 2 ** 64."""
+    out = []
+    for base in (BASE, pow(BASE, -1, 1 << 64)):
+        found = np.full(n + 1, base, np.uint64)
+        found[0] = 1
+        out.append(np.multiply.accumulate(found))
+    return tuple(out)
+
+
 def segments(units: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> tuple:
     """All segments: anchor, hash of the content, text, first and last window start."""
     n = len(units)
     if n < window:
         return tuple(np.zeros(0, np.uint64) for _ in range(5))
-    powers = np.full(n + 1, BASE, np.uint64)
-    powers[0] = 1
-    np.multiply.accumulate(powers, out=powers)
-    back = np.full(n + 1, pow(BASE, -1, 1 << 64), np.uint64)
-    back[0] = 1
-    np.multiply.accumulate(back, out=back)
+    powers, back = _powers(1 << n.bit_length())
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(units * powers[:-1], out=sums[1:])
+    np.cumsum(units * powers[:n], out=sums[1:])
     grams = mixed((sums[gram:] - sums[:-gram]) * back[: n - gram + 1])
     # The place below the hash: of equal grams the rightmost is the anchor, so that a
     # passage that repeats within a text has a segment for each occurrence.
@@ -196,6 +204,15 @@ def unpack(blob: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(blob) if blob else b""
 
 
+def release_shuffles(docs: DataFrame) -> None:
+    """Let Spark delete the shuffle files of steps whose results are written.
+
+    It does so when the driver has collected its garbage, which may take long.
+    """
+    gc.collect()
+    docs.sparkSession.sparkContext._jvm.System.gc()
+
+
 def packed_texts(docs: DataFrame) -> DataFrame:
     """doc, packed: the whole texts, compressed before they cross the network."""
     return docs.select("doc", "text").mapInArrow(_compressed, "doc long, packed binary")
@@ -277,15 +294,16 @@ def stretches(
         docs.select("doc", "text").mapInArrow(_candidates(units, window, gram, shared), _SEGMENTS),
         "segments",
     )
+    release_shuffles(docs)
     key = ["anchor", "seg"]
     classes = found.groupBy(*key).agg(
         F.count(F.lit(1)).alias("members"), F.min(F.struct("doc", "first", "last")).alias("one")
     )
-    classes = stage(classes, "classes")
     anchors = classes.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("n_classes"), F.sum("members").alias("n")
     )
     classes = stage(classes.join(anchors.filter("n > 1"), "anchor").drop("n"), "classes")
+    release_shuffles(docs)
     several = classes.filter("n_classes > 1")
     wanted = several.groupBy(F.col("one.doc").alias("doc")).agg(
         F.collect_list(
@@ -297,8 +315,9 @@ def stretches(
     )
     contents = packed_texts(docs).join(wanted, "doc").mapInArrow(_contents(cut), _CONTENTS)
     contents = stage(contents, "contents")
-    hot = anchors.filter(F.col("n_classes") > many_classes).select("anchor")
+    release_shuffles(docs)
     # At most one anchor for every so many classes.
+    hot = classes.filter(F.col("n_classes") > many_classes).select("anchor").distinct()
     usual = contents.join(hot, "anchor", "left_anti")
     covered = (
         usual.withColumn("shard", F.pmod("anchor", F.lit(4 * shuffle_width(docs.sparkSession))))
@@ -325,6 +344,7 @@ def stretches(
         .withColumn("ends", F.transform("starts", lambda s: s + F.lit(window)))
     )
     covered = stage(covered, "covered")
+    release_shuffles(docs)
     whole = F.col("doc") > F.col("one.doc") if earlier_only else F.col("members") > 1
     outcome = classes.join(covered, key, "left")
     met = found.join(outcome, key)
