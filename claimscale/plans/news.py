@@ -32,14 +32,16 @@ def prepare_news(
     """The latest titled articles on a theme, per ticker.
 
     Theme and title filters need only the article, so they come before the join,
-    and each title is looked for once.
+    and each title is looked for once.  Raw rows that bring a ``title`` keep it: where
+    many articles share a page, the title is best taken from the page beforehand.
     Copies are removed first: distinct combines them on the map side, and the
     ranking then sees each article once.
     """
     on_theme = raw.filter(any_starts_with(F.col("themes"), prefix))
+    if "title" not in raw.columns:
+        on_theme = with_computed(on_theme, "title", title(F.col("extrasXML"), title_tag))
     titled = (
-        with_computed(on_theme, "title", title(F.col("extrasXML"), title_tag))
-        .filter(F.length("title") > 0)
+        on_theme.filter(F.length("title") > 0)
         .select(
             F.col("publishDate").alias("date"),
             "ticker",

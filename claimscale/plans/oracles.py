@@ -241,6 +241,26 @@ SELECT count(*) AS article_count, CAST(ts AS DATE) AS date,
 FROM events GROUP BY CAST(ts AS DATE), 'org_' || (user_id % 10)
 """
 
+def _prepared_news(latest: int) -> str:
+    return f"""
+        WITH titled AS (SELECT page_id, url, CASE WHEN page_id % 10 = 0 THEN ''
+                 ELSE regexp_extract(html, '<title>(.+?)</title>', 1) END AS title
+          FROM pages),
+        articles AS (SELECT DISTINCT e.ts AS date, e.user_id AS ticker, t.url,
+                 e.value - 100 AS tone, e.event_type AS source, t.title,
+                 lower(c.c_name) AS organisation
+          FROM events e JOIN titled t
+            ON e.event_id % (SELECT count(*) FROM pages) = t.page_id
+          JOIN customer c ON c.c_custkey = e.user_id
+          WHERE e.event_id % 3 <> 0 AND length(t.title) > 0),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY ticker
+            ORDER BY date DESC, url, tone, source, title, organisation) AS rank
+          FROM articles)
+        SELECT date, ticker, url, round(tone, 6) AS tone, source, title, organisation,
+               CAST(rank AS INTEGER) AS rank
+        FROM ranked WHERE rank <= {latest}"""
+
+
 ORACLES: dict[str, str] = {
     "walk_the_talk": f"""WITH {_news_after(_CSR)}
         SELECT lower(w.organisation) AS organisation, w.topic_id, w.policy,
@@ -306,22 +326,8 @@ ORACLES: dict[str, str] = {
         SELECT event_id, event_type, user_id FROM events
         WHERE len(list_filter([event_type, 'tag_' || event_type],
                               lambda x: starts_with(x, 'tag_c'))) > 0""",
-    "prepared_news": f"""
-        WITH titled AS (SELECT page_id, url,
-                 regexp_extract(html, '<title>(.+?)</title>', 1) AS title FROM pages),
-        articles AS (SELECT DISTINCT e.ts AS date, e.user_id AS ticker, t.url,
-                 e.value - 100 AS tone, e.event_type AS source, t.title,
-                 lower(c.c_name) AS organisation
-          FROM events e JOIN titled t
-            ON e.event_id % (SELECT count(*) FROM pages) = t.page_id
-          JOIN customer c ON c.c_custkey = e.user_id
-          WHERE length(t.title) > 0),
-        ranked AS (SELECT *, row_number() OVER (PARTITION BY ticker
-            ORDER BY date DESC, url, tone, source, title, organisation) AS rank
-          FROM articles)
-        SELECT date, ticker, url, round(tone, 6) AS tone, source, title, organisation,
-               CAST(rank AS INTEGER) AS rank
-        FROM ranked WHERE rank <= {fixed.LATEST_PER_TICKER}""",
+    "prepared_news": _prepared_news(fixed.LATEST_PER_TICKER),
+    "prepared_news_latest_20": _prepared_news(20),
     "paragraphs": f"""WITH {_PARAGRAPHS}
         SELECT doc_id, paragraph_no, paragraph FROM paragraphs""",
     "clean_statements": f"""WITH {_STATEMENTS}

@@ -15,6 +15,7 @@ from claimscale import fixed
 from claimscale.functions import text as T
 from claimscale.functions import topics as P
 from claimscale.operators import aggregates, joins, matrix, ranking, topic_model
+from claimscale.operators.compute import with_computed
 from claimscale.plans import compare, disclosure, news, standins
 from claimscale.plans.standins import table
 from claimscale.sources import exports, files, tables
@@ -203,18 +204,23 @@ def prefix_theme(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def prepared_news(spark: SparkSession, folder: str) -> DataFrame:
+def _prepared_news(spark: SparkSession, folder: str, latest: int) -> DataFrame:
+    """A third of the events are off the theme, a tenth of the pages have no title."""
     pages = table(spark, folder, "pages")
     size = pages.select(F.count(F.lit(1)).alias("n")).scalar()
+    markup = F.when(F.col("page_id") % 10 == 0, F.replace("html", F.lit("<title>"), F.lit("<t>")))
+    markup = F.coalesce(markup, "html")
+    titled = with_computed(spread(pages), "title", T.title(markup, "title"))
+    theme = F.when(F.col("event_id") % 3 == 0, "OTHER_").otherwise("UNGP_")
     raw = (
         table(spark, folder, "events")
         .withColumn("page_id", F.col("event_id") % size)
-        .join(spread(pages), "page_id")
+        .join(titled.select("page_id", "url", "title"), "page_id")
         .select(
             F.col("ts").alias("publishDate"),
             F.col("user_id").alias("ticker"),
-            F.array(F.concat(F.lit("UNGP_"), "event_type")).alias("themes"),
-            F.col("html").alias("extrasXML"),
+            F.array(F.concat(theme, "event_type")).alias("themes"),
+            "title",
             F.col("url").alias("documentIdentifier"),
             F.struct((F.col("value") - 100).alias("tone")).alias("tone"),
             F.col("event_type").alias("sourceCommonName"),
@@ -223,10 +229,18 @@ def prepared_news(spark: SparkSession, folder: str) -> DataFrame:
     organisations = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("ticker"), F.lower("c_name").alias("organisation")
     )
-    prepared = news.prepare_news(raw, organisations, ["organisation"], title_tag="title")
+    prepared = news.prepare_news(raw, organisations, ["organisation"], latest=latest)
     return _rounded(prepared, "tone")
 
 
+def prepared_news(spark: SparkSession, folder: str) -> DataFrame:
+    return _prepared_news(spark, folder, fixed.LATEST_PER_TICKER)
+
+
+def prepared_news_latest_20(spark: SparkSession, folder: str) -> DataFrame:
+    return _prepared_news(spark, folder, 20)
+
+
 # --- text ----------------------------------------------------------------------
 
 
@@ -731,6 +745,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         latest_n_per_key,
         prefix_theme,
         prepared_news,
+        prepared_news_latest_20,
         paragraphs,
         clean_statements,
         statement_arrays,
