@@ -8,8 +8,13 @@ from __future__ import annotations
 
 from claimscale import fixed
 
-_SQUARES = ", ".join(
-    f"CAST(embedding[{i}] AS DOUBLE) * CAST(embedding[{i}] AS DOUBLE) AS s{i}"
+_GROUPS = ", ".join(
+    " + ".join(f"(embedding[{j}]::DOUBLE * embedding[{j}]::DOUBLE)" for j in range(i, 65, 5))
+    + f" AS g{i}"
+    for i in range(1, 6)
+)
+_POWERS = ", ".join(
+    f"((g{i} * g{i}) * (g{i} * g{i})) * ((g{i} * g{i}) * (g{i} * g{i})) AS s{i}"
     for i in range(1, 6)
 )
 _SUM = "(s1 + s2 + s3 + s4 + s5)"
@@ -20,7 +25,8 @@ _TOPICS = "topics(topic_id, topic, policy) AS (VALUES " + ", ".join(
 ) + ")"
 
 _DIST = f"""
-squares AS (SELECT vec_id, label, {_SQUARES} FROM embeddings),
+squares AS (SELECT vec_id, label, {_POWERS}
+  FROM (SELECT vec_id, label, {_GROUPS} FROM embeddings)),
 dist AS (SELECT vec_id, 'Org_' || label AS organisation, [{_SHARES}] AS p FROM squares)
 """
 

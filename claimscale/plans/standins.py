@@ -6,18 +6,29 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TOPICS = 5
+DIMENSIONS = 64
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def squared_shares(embedding: str, n: int = TOPICS) -> Column:
-    """Squares of the first ``n`` values, divided by their sum."""
-    values = [f"CAST({embedding}[{i}] AS DOUBLE)" for i in range(n)]
-    squares = [f"({v} * {v})" for v in values]
-    total = " + ".join(squares)
-    return F.expr(f"array({', '.join(f'{s} / ({total})' for s in squares)})")
+def sharpened_shares(embedding: str, n: int = TOPICS, size: int = DIMENSIONS) -> Column:
+    """All values of a vector folded into ``n`` groups, as shares.
+
+    A group is the sum of the squares of every n-th value; the eighth powers of the
+    groups, divided by their sum, make some shares large.
+    """
+
+    def group(i: int) -> str:
+        values = [f"CAST({embedding}[{j}] AS DOUBLE)" for j in range(i, size, n)]
+        return " + ".join(f"({v} * {v})" for v in values)
+
+    powers = F.expr(f"array({', '.join(group(i) for i in range(n))})")
+    for _ in range(3):
+        powers = F.transform(powers, lambda x: x * x)
+    total = F.aggregate(powers, F.lit(0.0), lambda a, x: a + x)
+    return F.transform(powers, lambda x: x / total)
 
 
 def disclosures(spark: SparkSession, folder: str) -> DataFrame:
@@ -25,7 +36,7 @@ def disclosures(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "embeddings").select(
         "vec_id",
         F.concat(F.lit("Org_"), F.col("label").cast("string")).alias("organisation"),
-        squared_shares("embedding").alias("probabilities"),
+        sharpened_shares("embedding").alias("probabilities"),
     )
 
 
@@ -46,7 +57,7 @@ def classified_news(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
     size = vectors.select(F.count(F.lit(1)).alias("n")).scalar()
     distributions = vectors.select(
-        "vec_id", squared_shares("embedding").alias("probabilities")
+        "vec_id", sharpened_shares("embedding").alias("probabilities")
     )
     return (
         news(spark, folder)
