@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from claimscale import fixed
 from claimscale.functions import text as T
 from claimscale.functions import topics as P
-from claimscale.operators import aggregates, joins, matrix, ranking, topic_model
+from claimscale.operators import aggregates, joins, ranking, topic_model
 from claimscale.operators.compute import with_computed
 from claimscale.plans import compare, disclosure, news, standins
 from claimscale.plans.standins import table
