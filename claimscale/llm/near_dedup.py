@@ -187,7 +187,9 @@ def compared(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     )
 
 
-def finer_buckets(members: DataFrame, leaders: DataFrame, met: DataFrame, percent: int) -> DataFrame:
+def finer_buckets(
+    members: DataFrame, leaders: DataFrame, met: DataFrame, percent: int
+) -> DataFrame:
     """Smaller buckets that still hold every pair of ``members`` that may be linked.
 
     All members of a bucket have met its leader.  Two of them share at most what the

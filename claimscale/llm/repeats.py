@@ -97,9 +97,14 @@ def _slots(anchors: np.ndarray, bits: int) -> np.ndarray:
     return (mixed(anchors ^ np.uint64(0xA5A5A5A5)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def _per_part(bits: int, parts: int) -> int:
+    """Slots of one part of the bitmap: whole bytes."""
+    return 8 * -(-(1 << bits) // (8 * parts))
+
+
 def _send_slots(units: Units, window: int, gram: int, bits: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        per_part = -(-(1 << bits) // parts)
+        per_part = _per_part(bits, parts)
         for _, data, offsets in chunks(batches, limit=1 << 20):
             slots = np.sort(_slots(segments(*units(data, offsets), window, gram)[0], bits))
             cuts = np.searchsorted(slots, np.arange(parts + 1) * per_part)
@@ -123,7 +128,7 @@ def _send_slots(units: Units, window: int, gram: int, bits: int, parts: int):
 
 def _seen_twice(bits: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        per_part = -(-(1 << bits) // parts)
+        per_part = _per_part(bits, parts)
         once, twice = {}, {}
         for batch in batches:
             for part, blob in zip(*(batch.column(c).to_pylist() for c in ("part", "steps"))):
@@ -161,12 +166,12 @@ def recurring_slots(docs: DataFrame, units: Units, window: int, gram: int) -> np
         .repartitionById(parts, F.col("part"))
         .mapInArrow(_seen_twice(bits, parts), "part int, bits binary")
     )
-    per_part = -(-(1 << bits) // parts)
-    held = np.zeros(per_part * parts, bool)
+    per_part = _per_part(bits, parts)
+    packed = np.zeros(per_part * parts // 8, np.uint8)
     for row in found.toLocalIterator():
-        at = row["part"] * per_part
-        held[at : at + per_part] = np.unpackbits(np.frombuffer(row["bits"], np.uint8))[:per_part]
-    return np.packbits(held[: 1 << bits])
+        at = row["part"] * per_part // 8
+        packed[at : at + per_part // 8] = np.frombuffer(row["bits"], np.uint8)
+    return packed[: (1 << bits) // 8]
 
 
 def _candidates(units: Units, window: int, gram: int, shared):
