@@ -26,6 +26,7 @@ ROWS = 5
 BANDS = 32  # a pair at a Jaccard similarity of 0.8 shares no band once in 300,000 times
 PERCENT = 80
 BLOCK = 64
+MORE_LEADERS = 16
 SEED = 5
 
 _SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
@@ -244,7 +245,7 @@ def near_groups(
     member that shares most buckets, is compared with all members that no link joins
     to it yet.  After the first round the buckets that are not joined are cut finer,
     without parting members that may be linked (``finer_buckets``); then rounds go on,
-    where leaders leave their bucket and come four times as many each time, until the
+    where leaders leave their bucket and come 16 times as many each time, until the
     members left in every bucket are joined.  So every pair that shares a band is
     compared, known to be joined or known to be too far apart, and a group of
     thousands costs comparisons by its members, not by their square.
@@ -331,7 +332,7 @@ def near_groups(
             tested = tested.unionByName(done)
             gone = leaders.select("bucket", F.col("leader").alias("rep"))
             members = members.join(gone, ["bucket", "rep"], "left_anti")
-            leaders_each = min(4 * leaders_each, 1 << 20)
+        leaders_each = min(MORE_LEADERS * leaders_each, 1 << 20)
     component = classes.join(labels, "rep", "left").select(
         *same, F.coalesce("label", "rep").alias("component_id")
     )
