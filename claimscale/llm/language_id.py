@@ -183,7 +183,7 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
         return scored.groupBy(by).agg(sums.alias(name))
 
     everything = scored.agg(F.array(*(F.sum(F.col("p")[i]) for i in range(k)))).first()[0]
-    everything = np.array(everything or [0.0] * k) + SMOOTHING
+    everything = np.array([x or 0.0 for x in everything]) + SMOOTHING
     world = F.array(*(F.lit(float(x)) for x in everything / everything.sum()))
     by_declared, by_suffix = counts("declared", "n_declared"), counts("suffix", "n_suffix")
     kinds = {c: scored.select(c).distinct().count() for c in ("declared", "suffix")}
