@@ -29,6 +29,7 @@ STEPS = 80
 RATE = 0.5
 RIDGE = 1e-3
 THRESHOLD = 0.3
+CHUNK_BYTES = 1 << 20  # of text at once; the arrays of all n-grams are some 60 times that
 
 
 @dataclass
@@ -62,7 +63,7 @@ def _hashed(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = np.zeros(1 << FEATURE_BITS, bool)
-    for rows, data, offsets in chunks(batches):
+    for rows, data, offsets in chunks(batches, limit=CHUNK_BYTES):
         hashed = list(_hashed(data, offsets))
         edges = [np.searchsorted(owner, np.arange(rows.num_rows + 1)) for owner, _ in hashed]
         blobs = []
@@ -213,7 +214,7 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
         weight_of[features] = weights
         known = np.zeros(1 << FEATURE_BITS, bool)
         known[features] = True
-        for rows, data, offsets in chunks(batches):
+        for rows, data, offsets in chunks(batches, limit=CHUNK_BYTES):
             parts = []
             for owner, feature in _hashed(data, offsets):
                 hit = known[feature]
