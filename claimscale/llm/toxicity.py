@@ -109,15 +109,18 @@ def _only(kept: np.ndarray):
     return run
 
 
-def training_sample(
-    docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN
-) -> DataFrame:
-    """At most so many labelled documents of each kind, chosen by a hash of doc_id."""
+def known_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id and toxic (0 or 1) of every document that may be learned from, once each."""
     told = (
         labels.filter("doc_id is not null and toxic in (0, 1)")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
+    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    return told.join(known, "doc_id", "left_semi")
+
+
+def _sampled(docs: DataFrame, told: DataFrame, toxic: int, clean: int) -> DataFrame:
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = told.filter("toxic = 1").orderBy(*order).limit(toxic)
     chosen = chosen.unionByName(told.filter("toxic = 0").orderBy(*order).limit(clean))
@@ -126,31 +129,47 @@ def training_sample(
     return texts.join(F.broadcast(chosen), "doc_id").select("toxic", "text")
 
 
-def fit(docs: DataFrame, labels: DataFrame, **bounds: int) -> Model:
+def training_sample(
+    docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN
+) -> DataFrame:
+    """At most so many labelled documents of each kind, chosen by a hash of doc_id."""
+    return _sampled(docs, known_labels(docs, labels), toxic, clean)
+
+
+def fit(
+    docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN
+) -> Model:
     """Learn from labelled documents: ``labels`` has doc_id and toxic (0 or 1).
 
-    At most SAMPLE_TOXIC and SAMPLE_CLEAN documents are read (``toxic`` and
-    ``clean`` set other bounds); that bounds what reaches the driver.  A document
-    with several labels is toxic if one says so; null labels and labels of unknown
-    documents don't count; null texts are empty.  Without any labels of one kind the
-    model gives every text the share of toxic labels (one half without labels).
+    At most ``toxic`` and ``clean`` documents are read; that bounds what reaches the
+    driver.  All labelled documents are counted, and each row of the sample stands for
+    as many as its kind has for one that was read: the bounds don't change the share of
+    toxic documents that scores go by.  A document with several labels is toxic if one
+    says so; null labels and labels of unknown documents don't count; null texts are
+    empty.  Without any labels of one kind the model gives every text the share of toxic
+    labels (one half without labels).
     """
-    sample = training_sample(docs, labels, **bounds)
+    told = stage(known_labels(docs, labels), "toxic-labels")
+    n_told = {row["toxic"]: row["count"] for row in told.groupBy("toxic").count().collect()}
+    all_clean, all_toxic = n_told.get(0, 0), n_told.get(1, 0)
+    if not all_clean or not all_toxic:
+        share = (all_toxic + 1) / (all_clean + all_toxic + 2)
+        none = np.zeros(0, np.int64)
+        return Model(none, none.astype(float), float(np.log(share / (1 - share))))
+    stands_for = np.array([max(all_clean / clean, 1.0), max(all_toxic / toxic, 1.0)])
     sample = stage(
-        sample.repartition(SAMPLE_PARTITIONS).mapInArrow(_features, "toxic int, features binary"),
+        _sampled(docs, told, toxic, clean)
+        .repartition(SAMPLE_PARTITIONS)
+        .mapInArrow(_features, "toxic int, features binary"),
         "toxic-sample",
     )
     held, n_clean, n_toxic = np.zeros((2, 1 << FEATURE_BITS)), 0, 0
     for row in sample.mapInArrow(_counts, "clean long, toxic long, held binary").toLocalIterator():
         held += np.frombuffer(row["held"], "<i4").reshape(2, -1)
         n_clean, n_toxic = n_clean + row["clean"], n_toxic + row["toxic"]
-    if not n_clean or not n_toxic:
-        share = (n_toxic + 1) / (n_clean + n_toxic + 2)
-        none = np.zeros(0, np.int64)
-        return Model(none, none.astype(float), float(np.log(share / (1 - share))))
     ratio = np.log((held[1] + 1) / (n_toxic + 2)) - np.log((held[0] + 1) / (n_clean + 2))
     # Only n-grams that toxic documents hold far more often than chance would have it.
-    share = held.sum(0) / (n_toxic + n_clean)
+    share = stands_for @ held / (stands_for @ [n_clean, n_toxic])
     deviation = np.sqrt(n_toxic * share * (1 - share)) + 1e-9
     far = held[1] - n_toxic * share > LEAST_DEVIATIONS * deviation
     kept = np.flatnonzero(far & (held[1] >= LEAST_DOCUMENTS))
@@ -158,11 +177,11 @@ def fit(docs: DataFrame, labels: DataFrame, **bounds: int) -> Model:
         kept = np.flatnonzero(held[1])
     rows = sample.mapInArrow(_only(kept), "toxic int, features binary").toArrow()
     blobs = [np.frombuffer(b, "<i4") for b in rows.column("features").to_pylist()]
-    truth = np.array(rows.column("toxic").to_pylist(), float)
+    truth = np.array(rows.column("toxic").to_pylist(), np.int64)
     owner = np.repeat(np.arange(len(blobs)), [len(b) for b in blobs])
     column = np.searchsorted(kept, np.concatenate(blobs))
     value = ratio[kept][column] * _scale(np.bincount(owner, minlength=len(blobs)))[owner]
-    weights, bias = _regress(owner, column, value, truth, len(kept))
+    weights, bias = _regress(owner, column, value, truth, stands_for[truth], len(kept))
     del rows, blobs, sample, held
     pa.default_memory_pool().release_unused()
     return Model(kept, weights * ratio[kept], bias)
@@ -178,15 +197,24 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def _regress(
-    owner: np.ndarray, column: np.ndarray, value: np.ndarray, truth: np.ndarray, width: int
+    owner: np.ndarray,
+    column: np.ndarray,
+    value: np.ndarray,
+    truth: np.ndarray,
+    stands_for: np.ndarray,
+    width: int,
 ) -> tuple[np.ndarray, float]:
-    """Logistic regression by full gradient steps, each coordinate at its own pace."""
+    """Logistic regression by full gradient steps, each coordinate at its own pace.
+
+    A row counts as the number of rows it stands for.
+    """
     n = len(truth)
+    part = stands_for / stands_for.mean()
     weights, bias = np.zeros(width), 0.0
     past, past_bias = np.full(width, 1e-8), 1e-8
     for _ in range(STEPS):
         z = np.bincount(owner, value * weights[column], n) + bias
-        error = _sigmoid(z) - truth
+        error = (_sigmoid(z) - truth) * part
         gradient = np.bincount(column, value * error[owner], width) / n + RIDGE * weights
         past += gradient**2
         weights -= RATE * gradient / np.sqrt(past)

@@ -79,6 +79,36 @@ def test_samples_keep_their_bounds(spark, labelled):
     assert Counter(r.toxic for r in got) == {1: 7, 0: 20}
 
 
+def test_the_bounds_of_the_sample_leave_scores_where_they_were(spark):
+    """Words of both kinds of documents; only their share tells toxic ones."""
+    r = random.Random(13)
+    found, labels = [], []
+    for i in range(1_000):
+        toxic = i % 10 == 0
+        words = phrase(r, 40).split()
+        for _ in range(3):
+            # Every sixth clean document looks like a toxic one.
+            words.insert(r.randrange(40), r.choice(BAD) if toxic or i % 6 == 1 else "plain")
+        found.append((i, " ".join(words), "en", "s"))
+        labels.append((i, int(toxic)))
+    docs = frame(spark, found)
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+
+    def scores(**bounds):
+        scored = toxicity.score(docs, toxicity.fit(docs, labels, **bounds))
+        return {row.doc_id: row.score for row in scored.collect()}
+
+    whole, few = scores(), scores(clean=200)
+    like = [i for i in range(1_000) if i % 10 == 0 or i % 6 == 1]
+    mean = lambda s: sum(s[i] for i in like) / len(like)
+    assert 0.2 < mean(whole) < 0.7
+    assert abs(mean(few) - mean(whole)) < 0.1
+    rejected = lambda s: sum(s[i] >= 0.3 for i in range(1_000) if i % 10)
+    assert abs(rejected(few) - rejected(whole)) <= 60
+    none = toxicity.fit(docs, labels.filter("toxic = 0"), clean=20)
+    assert none.bias == pytest.approx(math.log(1 / 901))
+
+
 LANGUAGES = {"aa": "abcdef ", "bb": "uvwxyz ", "cc": "abcxyz "}
 
 
