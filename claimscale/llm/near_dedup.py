@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from claimscale.llm.arrow_text import chunks, lower_ascii, mixed, word_hashes, words
 from claimscale.llm.components import components
-from claimscale.llm.rows import row_key
+from claimscale.llm.rows import row_key, with_row_ids
 from claimscale.sources.staging import stage
 
 RING = 1 << 20
@@ -239,7 +239,41 @@ def near_groups(
     component_id).  Null or empty texts have no shingles and are linked with
     nothing.  Rows with a null key take no part: component_id null, kept true.
     Rows that repeat a key are versions of one document: links of any of them
-    count.  An empty table gives no rows; other columns are not read.
+    count, and all have one component_id.  An empty table gives no rows; other columns
+    are not read.
+    """
+    read = docs.select(F.col(key).cast("long").alias("doc_id"), "text")
+    keyed, keys = read.agg(F.count("doc_id"), F.count_distinct("doc_id")).first()
+    options = {"size": size, "percent": percent, "bands": bands, "rows": rows, "seed": seed}
+    if keyed == keys:
+        return _groups(read, **options)
+    read, row = with_row_ids(read)
+    number = F.when(F.col("doc_id").isNotNull(), F.col(row))
+    groups = _groups(read.select(number.alias("doc_id"), "text"), **options)
+    groups = groups.select(F.col("doc_id").alias("row"), "n_shingles", F.col("component_id").alias("part"))
+    groups = groups.join(read.select(F.col(row).alias("row"), "doc_id"), "row", "left")
+    groups = stage(groups, "versions")
+    # Versions of one document tie the groups that they are in.
+    within = groups.filter("doc_id is not null").select("doc_id", "part").distinct()
+    first = within.groupBy("doc_id").agg(F.min("part").alias("v"))
+    tied = components(within.join(first, "doc_id").select(F.col("part").alias("u"), "v"))
+    within = within.join(tied.withColumnRenamed("node", "part"), "part", "left").select(
+        "doc_id", F.coalesce("component", "part").alias("part")
+    )
+    least = within.groupBy("part").agg(F.min("doc_id").alias("component_id"))
+    component = within.distinct().join(least, "part").select("doc_id", "component_id")
+    return groups.join(component, "doc_id", "left").select(
+        "doc_id",
+        "n_shingles",
+        "component_id",
+        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
+    )
+
+
+def _groups(
+    read: DataFrame, size: int, percent: int, bands: int, rows: int, seed: int
+) -> DataFrame:
+    """``near_groups`` of doc_id and text, where no two rows have one doc_id (but null).
 
     Equal sets are one class from the start.  Within a band's bucket a leader, the
     member that shares most buckets, is compared with all members that no link joins
@@ -250,7 +284,6 @@ def near_groups(
     compared, known to be joined or known to be too far apart, and a group of
     thousands costs comparisons by its members, not by their square.
     """
-    read = docs.select(F.col(key).cast("long").alias("doc_id"), "text")
     signed = stage(read.mapInArrow(_sign(size, bands, rows, seed), _SIGNED), "signed")
     same = ["set_a", "set_b", "n_shingles"]
     classes = stage(

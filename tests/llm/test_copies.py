@@ -107,6 +107,35 @@ def test_null_keys_take_no_part(spark, docs):
     assert near_dedup.near_groups(empty(spark)).count() == 0
 
 
+def test_links_of_all_versions_of_a_document_count(spark):
+    """Two different texts under one key, and near copies of each; keys that are leaders."""
+    r = random.Random(21)
+    found = []
+    for i in range(6):
+        for version in range(2):
+            base = phrase(r, 150).split()
+            found.append((10 * i + 5, " ".join(base), "en", "a"))
+            for j in range(3):
+                words = list(base)
+                words[40 * j + 9] = "changed"
+                # The smallest key of some groups is a version's, of others a copy's.
+                found.append((10 * i + j * 4 + version, " ".join(words), "en", "a"))
+    found.append((5, "", "en", "a"))
+    sets = [shingles(t, 2) for _, t, *_ in found]
+    links = [
+        (found[a][0], found[b][0])
+        for a in range(len(found))
+        for b in range(a)
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    ]
+    component = groups_of(links, {f[0] for f in found})
+    assert len(set(component.values())) == 6
+    got = near_dedup.near_groups(frame(spark, found), size=2).collect()
+    assert Counter((g.doc_id, g.n_shingles, g.component_id, g.kept) for g in got) == Counter(
+        (f[0], len(s), component[f[0]], component[f[0]] == f[0]) for f, s in zip(found, sets)
+    )
+
+
 def test_drop_near_copies_keeps_one_of_each_group(spark, docs):
     got = near_dedup.drop_near_copies(docs, size=2)
     assert got.columns == docs.columns
