@@ -33,6 +33,7 @@ from claimscale.sources.staging import stage
 MOST_BITS = 29  # of the bitmap: 64 MB at most, whatever the input
 LEAST_BITS = 16
 MANY_CLASSES = 2_000
+SHARD_BYTES = 4 << 20  # of contents that one call of an operator's method gets, on average
 BASE = 0x9E3779B97F4A7C15
 _PLACE = np.uint64((1 << 24) - 1)
 
@@ -274,6 +275,12 @@ def _one_window(windows: Callable[[bytes], list[bytes]]):
     return run
 
 
+def shard_count(contents: DataFrame) -> int:
+    """How many groups of anchors keep each at some SHARD_BYTES, whatever the session's width."""
+    n_bytes = contents.agg(F.sum(F.octet_length("content") + 32)).first()[0] or 0
+    return max(4 * shuffle_width(contents.sparkSession), -(-n_bytes // SHARD_BYTES))
+
+
 def stretches(
     docs: DataFrame,
     units: Units,
@@ -289,8 +296,8 @@ def stretches(
 
     ``docs`` has doc (a long, unique) and text.  With ``earlier_only`` a window
     counts when it also stands in a document of smaller number, else when it stands
-    anywhere else, its own document included.  ``resolve`` gets the contents of many
-    anchors' classes and finds the covered stretches of each by the operator's method.
+    anywhere else, its own document included.  ``resolve`` gets the contents of some
+    anchors' classes (SHARD_BYTES on average, and never less than one anchor) and finds the covered stretches of each by the operator's method.
     Anchors with more than ``many_classes`` classes are not gathered: their windows
     are grouped one by one.  Overlapping stretches are not yet merged.
     """
@@ -325,7 +332,7 @@ def stretches(
     hot = classes.filter(F.col("n_classes") > many_classes).select("anchor").distinct()
     usual = contents.join(hot, "anchor", "left_anti")
     covered = (
-        usual.withColumn("shard", F.pmod("anchor", F.lit(4 * shuffle_width(docs.sparkSession))))
+        usual.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shard_count(usual))))
         .groupBy("shard")
         .applyInArrow(lambda table: resolve(table), _FOUND)
     )

@@ -193,6 +193,37 @@ def test_later_copies_of_byte_strings_go(spark, docs, many):
     assert all(sum(e - s for s, e in zip(r.starts, r.ends)) == r.n_removed for r in got)
 
 
+def test_no_task_gets_more_contents_than_shards_hold(spark, monkeypatch):
+    """Shards follow the contents, not the session's shuffles; the rows stay."""
+    r = random.Random(31)
+    base, found = phrase(r, 1_500).split(), []
+    for i in range(8):
+        words = list(base)
+        for j in range(i, 1_500, 24):
+            words[j] = f"v{i}x{j}"
+        found.append((i, " ".join(words), "en", "a"))
+    monkeypatch.setattr(repeats, "SHARD_BYTES", 1_000, raising=False)
+    resolve = suffix_dedup._resolve
+
+    def checked(length):
+        def run(table):
+            assert sum(len(c) for c in table.column("content").to_pylist()) <= 8_000, "too much"
+            return resolve(length)(table)
+
+        return run
+
+    monkeypatch.setattr(suffix_dedup, "_resolve", checked)
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        got = suffix_dedup.remove_repeats(frame(spark, found)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+    assert Counter(
+        (r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, bytes(r.kept)) for r in got
+    ) == bytes_brute(found, 50)
+
+
 def test_byte_strings_of_another_length(spark):
     found = unique(rows(seed=4))
     got = suffix_dedup.remove_repeats(frame(spark, found), length=24, gram=8).collect()
