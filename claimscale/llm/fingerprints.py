@@ -1,8 +1,8 @@
 """Document fingerprints by winnowing.
 
-All grams of 16 bytes are hashed; of every 64 consecutive grams the one with the
+All grams of 8 bytes are hashed; of every 8 consecutive grams the one with the
 smallest hash is kept, the rightmost where hashes are equal, with its position.
-Any passage of 79 bytes that two texts share therefore leaves one hash in both,
+Any passage of 15 bytes that two texts share therefore leaves one hash in both,
 and the positions say where it stands.
 """
 
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from claimscale.llm.arrow_text import mixed
 from claimscale.session import shuffle_width
 
-GRAM = 16
-WINDOW = 64
+GRAM = 8  # bytes, one word of the machine
+WINDOW = 8
 
 _PAIRS = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string,"
@@ -40,10 +40,10 @@ def winnow(text: bytes, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     if not n:
         return np.zeros(0, np.uint32), np.zeros(0, np.uint32)
     padded = text + bytes(GRAM)
-    words = np.ndarray((n + 8,), np.dtype("<u8"), padded, 0, (1,))
     grams = max(n - GRAM + 1, 1)
-    low, high = words[:grams], words[8 : 8 + grams]
-    h = mixed(low * np.uint64(0x9E3779B97F4A7C15) ^ mixed(high + np.uint64(min(n, GRAM))))
+    words = np.ndarray((grams,), np.dtype("<u8"), padded, 0, (1,))
+    size = mixed(np.full(1, min(n, GRAM), np.uint64))
+    h = mixed(words * np.uint64(0x9E3779B97F4A7C15) ^ size)
     # Equal hashes: the larger position makes the smaller number.
     place = np.uint64(0xFFFFFFFF) - np.arange(grams, dtype=np.uint64)
     least = (h & np.uint64(0xFFFFFFFF00000000)) | place

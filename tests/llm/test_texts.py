@@ -213,6 +213,15 @@ def test_edited_likeness_against_brute_force(spark, docs):
     assert fingerprints.edited_likeness(empty(spark)).count() == 0
 
 
+def test_short_texts_that_share_their_first_half_are_alike():
+    r = random.Random(17)
+    for n in range(32, 80):
+        text, other = ("".join(r.choices("abcdefgh ", k=n)) for _ in range(2))
+        own, its = fingerprints.winnow(text.encode()), fingerprints.winnow(other.encode())
+        row = fingerprints.compare(1, text, own, other, its, fingerprints.WINDOW)
+        assert row[5] > 0
+
+
 def test_fingerprints_have_hashes_and_positions(spark, docs):
     got = fingerprints.fingerprints(docs).collect()
     assert len(got) == len(rows())
