@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimscale.llm import (
+    collocations,
     exact_dedup,
     fingerprints,
     language_id,
@@ -13,9 +14,11 @@ from claimscale.llm import (
     near_dedup,
     packing,
     phrase_automata,
+    speculative_bpe,
     suffix_dedup,
     token_files,
     toxicity,
+    vector_codes,
 )
 from claimscale.llm.shipping import ship
 from claimscale.sources.staging import fresh_path
@@ -98,6 +101,31 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_token_files(spark.read.parquet(target), checksums=True)
 
 
+def op11_speculative_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _documents(spark, folder).select("doc_id", "text")
+    encoded = speculative_bpe.encode(docs, tokenizer_path())
+    both = speculative_bpe.decode(encoded.drop("text"), tokenizer_path())
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    codes = vector_codes.compress(spark.read.parquet(f"{folder}/embeddings.parquet"))
+    digest = vector_codes.codebook_digest(codes.codebooks)
+    return vector_codes.with_label_errors(codes.rows).select(
+        "vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256")
+    )
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_documents(spark, folder))
+
+
 LLM_QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -109,4 +137,7 @@ LLM_QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_packing": op9_packing,
     "op10_token_files": op10_token_files,
+    "op11_speculative_bpe": op11_speculative_bpe,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_collocations": op13_collocations,
 }
