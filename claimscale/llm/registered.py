@@ -103,8 +103,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def op11_speculative_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = _documents(spark, folder).select("doc_id", "text")
-    encoded = speculative_bpe.encode(docs, tokenizer_path())
-    both = speculative_bpe.decode(encoded.drop("text"), tokenizer_path())
+    both = speculative_bpe.encode(docs, tokenizer_path(), decoded="decoded")
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -23,7 +23,7 @@ from claimscale.llm.arrow_text import chunks
 from claimscale.llm.spans import buffers, gather, numbered
 
 CHUNK_BYTES = 2 << 20
-REMEMBERED = 1_000_000  # words kept by a worker; then it starts anew
+REMEMBERED = 400_000  # words kept by a worker; then it starts anew
 LONG_WORD = 64  # bytes; longer words hardly come again
 NEVER = np.iinfo(np.int64).max
 
@@ -371,51 +371,63 @@ def codec(path: str) -> Codec:
     return _codecs[path]
 
 
-Run = Callable[[pa.RecordBatch, int], Iterator[tuple[pa.RecordBatch, pa.Array]]]
+Run = Callable[[pa.RecordBatch, int], Iterator[tuple[pa.RecordBatch, list[pa.Array]]]]
 
 
-def _with_mapped(df: DataFrame, source: str, target: str, kind: T.DataType, run: Run) -> DataFrame:
-    """``df`` with ``target`` as ``run`` makes it of ``source``; batches may be cut.
+def _with_mapped(df: DataFrame, source: str, targets: dict[str, T.DataType], run: Run) -> DataFrame:
+    """``df`` with ``targets`` as ``run`` makes them of ``source``; batches may be cut.
 
     Spark looks the columns of a mapped table up by name, and names may hold points, so
     they are numbered in between.
     """
-    kept = [i for i, c in enumerate(df.columns) if c != target]
+    kept = [i for i, c in enumerate(df.columns) if c not in targets]
     at = df.columns.index(source)
     plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     fields = [plain.schema.fields[i] for i in kept]
-    schema = T.StructType([*fields, T.StructField("mapped", kind)])
+    made = [T.StructField(f"m{i}", kind) for i, kind in enumerate(targets.values())]
+    schema = T.StructType([*fields, *made])
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, column in run(batch, at):
-                columns = [*(rows.column(i) for i in kept), column]
+            for rows, columns in run(batch, at):
+                columns = [*(rows.column(i) for i in kept), *columns]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return plain.mapInArrow(mapped, schema).toDF(*[df.columns[i] for i in kept], target)
+    return plain.mapInArrow(mapped, schema).toDF(*[df.columns[i] for i in kept], *targets)
 
 
-def encode(docs: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(
+    docs: DataFrame,
+    tokenizer_path: str,
+    text: str = "text",
+    ids: str = "ids",
+    decoded: str | None = None,
+) -> DataFrame:
     """``docs`` with ``ids`` (array<int>): the tokens of each whole text.
 
     They are what the tokenizers library gives for the file without adding special
     tokens; such tokens that stand in a text have their own id, as there.  The file
-    has to be a plain byte-level BPE; others are an error.  A null or empty text has
-    no ids.  Repeated rows are encoded each; other columns stay as they are, whatever
-    their names, but a column named as ``ids`` is replaced.  An empty table stays empty.
-    Nothing is shuffled, and a task holds some megabytes of text (or one text) at a time.
+    has to be a plain byte-level BPE; others are an error.  With ``decoded`` a column of
+    that name holds what the ids spell, as ``decode`` gives it, worked out in the same
+    pass.  A null or empty text has no ids and spells nothing.  Repeated rows are encoded
+    each; other columns stay as they are, whatever their names, but columns named as the
+    new ones are replaced.  An empty table stays empty.  Nothing is shuffled, and a task
+    holds some megabytes of text (or one text) at a time.
     """
+    targets = {ids: T.ArrayType(T.IntegerType())} | ({decoded: T.StringType()} if decoded else {})
 
-    def run(batch: pa.RecordBatch, at: int) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
-        encoder = codec(tokenizer_path)
+    def run(batch: pa.RecordBatch, at: int) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
+        known = codec(tokenizer_path)
         for rows, data, offsets in chunks(iter([batch]), batch.schema.names[at], CHUNK_BYTES):
-            found, bounds = encoder.encode(data, offsets)
-            lists = pa.ListArray.from_arrays(
-                pa.array(bounds, pa.int32()), pa.array(found, pa.int32())
-            )
-            yield rows, lists
+            found, bounds = known.encode(data, offsets)
+            columns = [
+                pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(found, pa.int32()))
+            ]
+            if decoded:
+                columns.append(pa.array(known.decode(found, bounds), pa.string()))
+            yield rows, columns
 
-    return _with_mapped(docs, text, ids, T.ArrayType(T.IntegerType()), run)
+    return _with_mapped(docs, text, targets, run)
 
 
 def decode(df: DataFrame, tokenizer_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -425,7 +437,7 @@ def decode(df: DataFrame, tokenizer_path: str, ids: str = "ids", text: str = "de
     null ones, give nothing; bytes that are no UTF-8 become the replacement character.
     """
 
-    def run(batch: pa.RecordBatch, at: int) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    def run(batch: pa.RecordBatch, at: int) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
         decoder = codec(tokenizer_path)
         lists = batch.column(at)
         sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
@@ -439,7 +451,7 @@ def decode(df: DataFrame, tokenizer_path: str, ids: str = "ids", text: str = "de
             piece = flat[bounds[first] : bounds[last]]
             texts = decoder.decode(piece, bounds[first : last + 1] - bounds[first])
             empty = lists.slice(first, last - first).is_null().to_numpy(zero_copy_only=False)
-            yield batch.slice(first, last - first), pa.array(texts, pa.string(), mask=empty)
+            yield batch.slice(first, last - first), [pa.array(texts, pa.string(), mask=empty)]
             first = last
 
-    return _with_mapped(df, ids, text, T.StringType(), run)
+    return _with_mapped(df, ids, {text: T.StringType()}, run)

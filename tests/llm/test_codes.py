@@ -147,6 +147,8 @@ def test_encoded_and_decoded_rows(spark, docs, library):
     assert set(encoded.columns) == set(clash.columns)
     got = speculative_bpe.decode(encoded, path).collect()
     assert len(got) == docs.count()
+    both = speculative_bpe.encode(clash, path, decoded="decoded").collect()
+    assert sorted(map(repr, both)) == sorted(repr(r) for r in got)
     for row in got:
         text = row["text"] or ""
         assert row["ids"] == library.encode(text, add_special_tokens=False).ids
