@@ -29,10 +29,10 @@ LEAST = 30
 SHARE = 80  # percent of its occurrences that a longer phrase must have to stand for a shorter
 TOP = 2000
 UNKNOWN = "und"
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 3 << 20  # of text counted at once; the arrays in use are some 40 times that
 PART_BYTES = 2 << 20
 HEAVY_SHARE = 0.002  # of all words; at most 500 prefixes are that common
-MERGE_ROWS = 1 << 21
+MERGE_ROWS = 1 << 20
 MOST_BITS, SPARE_BITS = 29, 5
 
 _BREAK, _BLANK = 0x0A, 0x20
@@ -56,7 +56,8 @@ class _Words:
         self.langs = coded.dictionary
         lang = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-        breaks = np.concatenate([[0], np.cumsum(data == _BREAK)])
+        breaks = np.zeros(len(data) + 1, np.int32)
+        np.cumsum(data == _BREAK, out=breaks[1:])
         new = np.ones(self.n, bool)
         new[1:] = (text[1:] != text[:-1]) | (breaks[starts[1:]] > breaks[ends[:-1]])
         self.piece = np.cumsum(new)
@@ -160,6 +161,8 @@ def _stripes(length: int, frequent, heavy: np.ndarray, cuts: np.ndarray):
                 ],
                 names=[f.split()[0] for f in _STRIPES.split(", ")],
             )
+            del held, followers, lists
+            pa.default_memory_pool().release_unused()
 
     return run
 
@@ -208,6 +211,7 @@ def _merged(length: int, least: int):
             waiting += open_[-1].num_rows
             if waiting >= max(MERGE_ROWS, held.num_rows if held else 0):
                 held, open_, waiting = _merge([held, *open_] if held else open_), [], 0
+                pa.default_memory_pool().release_unused()
         if open_:
             held = _merge([held, *open_] if held else open_)
         if held is None:
@@ -323,7 +327,7 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST
     texts = docs.select(lang, "text")
     n_bytes = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     width = shuffle_width(spark)
-    n = int(max(1, min(width, n_bytes // PART_BYTES), n_bytes // (8 * PART_BYTES)))
+    n = int(max(1, min(width, n_bytes // PART_BYTES), n_bytes // (4 * PART_BYTES)))
     levels, all_words, frequent = [], 0, None
     for length in range(longest):
         if not length:
