@@ -23,6 +23,11 @@ THEME_PREFIX = "UNGP"
 PREVIEW_CHARS = 5000
 MODEL_SEED = 42
 
+# --- fixed values: scores from which a learned sentence rule counts (published 2006) ---
+ABBREVIATION_SCORE = 0.3
+STARTER_SCORE = 30
+PAIR_SCORE = 7.88
+
 # --- fixed values: paragraph patterns, in the order of their use --------------
 # Java syntax; (?d) makes "." and "$" treat only \n as the end of a line.
 HEADER_NUMBER = r"(?d)^\s?\d+(.*)$"
@@ -58,6 +63,40 @@ FILE_KEY = r"([\w-]+)\.[^./]*$"
 TOKEN_BREAK = r"[^\p{L}\p{M}\p{N}]+"
 MIN_TOKEN_CHARS = 4
 
+# --- fixed values: suffix rules of English stems (published 1980) ---------------
+# Per step: (suffix, what takes its place, condition on what is left of the word).
+# Conditions: "" none, "m0" more than no vowel-consonant sequence, "m1" more than
+# one, "v" a vowel, "st" more than one sequence and s or t at the end.
+# Of a step the longest suffix of a word decides, whether its condition holds or not.
+STEM_PLURALS = [("sses", "ss", ""), ("ies", "i", ""), ("ss", "ss", ""), ("s", "", "")]
+STEM_STEP_2 = [
+    ("ational", "ate", "m0"), ("tional", "tion", "m0"), ("enci", "ence", "m0"),
+    ("anci", "ance", "m0"), ("izer", "ize", "m0"), ("abli", "able", "m0"),
+    ("alli", "al", "m0"), ("entli", "ent", "m0"), ("eli", "e", "m0"), ("ousli", "ous", "m0"),
+    ("ization", "ize", "m0"), ("ation", "ate", "m0"), ("ator", "ate", "m0"),
+    ("alism", "al", "m0"), ("iveness", "ive", "m0"), ("fulness", "ful", "m0"),
+    ("ousness", "ous", "m0"), ("aliti", "al", "m0"), ("iviti", "ive", "m0"),
+    ("biliti", "ble", "m0"),
+]
+STEM_STEP_3 = [
+    ("icate", "ic", "m0"), ("ative", "", "m0"), ("alize", "al", "m0"), ("iciti", "ic", "m0"),
+    ("ical", "ic", "m0"), ("ful", "", "m0"), ("ness", "", "m0"),
+]
+STEM_STEP_4 = [
+    ("al", "", "m1"), ("ance", "", "m1"), ("ence", "", "m1"), ("er", "", "m1"),
+    ("ic", "", "m1"), ("able", "", "m1"), ("ible", "", "m1"), ("ant", "", "m1"),
+    ("ement", "", "m1"), ("ment", "", "m1"), ("ent", "", "m1"), ("ion", "", "st"),
+    ("ou", "", "m1"), ("ism", "", "m1"), ("ate", "", "m1"), ("iti", "", "m1"),
+    ("ous", "", "m1"), ("ive", "", "m1"), ("ize", "", "m1"),
+]
+
+# --- fixed values: endings of inflected English words, and of their base forms ----
+LEMMA_ENDINGS = [
+    ("s", ""), ("ses", "s"), ("xes", "x"), ("zes", "z"), ("ches", "ch"), ("shes", "sh"),
+    ("men", "man"), ("ies", "y"), ("es", "e"), ("es", ""), ("ed", "e"), ("ed", ""),
+    ("ing", "e"), ("ing", ""), ("er", ""), ("est", ""), ("er", "e"), ("est", "e"),
+]
+
 # Common English words of four letters or more; shorter ones fall to
 # MIN_TOKEN_CHARS.  A default only: every caller may pass another list.
 STOP_WORDS = [

@@ -7,7 +7,7 @@ clean paragraphs and statements inside the task that read it.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -98,32 +98,41 @@ def explode_paragraphs(
     ).withColumn("paragraph", join_lines(F.col("paragraph")))
 
 
+def explode_clean_paragraphs(
+    df: DataFrame, text: str, keep: Sequence[str], min_chars: int = 0
+) -> DataFrame:
+    """One row per clean paragraph.  Those with fewer than ``min_chars`` raw signs may go."""
+    # No step lengthens a text: what is too short now would be too short later.
+    long_enough = explode_paragraphs(df, text, keep).filter(
+        F.length("paragraph") >= min_chars
+    )
+    return reduce(
+        lambda rows, step: rows.withColumn("paragraph", step(F.col("paragraph"))),
+        CLEANING,
+        long_enough,
+    )
+
+
 def explode_statements(
     df: DataFrame,
     text: str,
     keep: Sequence[str],
     min_chars: int = fixed.MIN_STATEMENT_CHARS,
+    split: Callable[[Column], Column] = split_sentences,
 ) -> DataFrame:
     """One row per statement of at least ``min_chars`` characters.
 
     Rows are exploded before they are cleaned, so the patterns run as generated
     code on single strings.  (``paragraph_no``, ``sentence_no``) identifies a
-    statement within its document.
+    statement within its document.  ``split`` cuts a clean paragraph into sentences,
+    by the fixed rule or by a learned one (``sentences.split_learned``).
     """
     min_chars = max(min_chars, 1)
-    # No step lengthens a text: what is too short now would be too short later.
-    long_enough = explode_paragraphs(df, text, keep).filter(
-        F.length("paragraph") >= min_chars
-    )
-    cleaned = reduce(
-        lambda rows, step: rows.withColumn("paragraph", step(F.col("paragraph"))),
-        CLEANING,
-        long_enough,
-    )
+    cleaned = explode_clean_paragraphs(df, text, keep, min_chars)
     return (
         explode_computed(
             cleaned,
-            split_sentences(F.col("paragraph")),
+            split(F.col("paragraph")),
             [*keep, "paragraph_no"],
             "sentence_no",
             "statement",

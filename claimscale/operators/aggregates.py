@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from claimscale import fixed
 from claimscale.functions.topics import Labels, name_positions, ordered_labels
+from claimscale.operators.compute import with_computed
 
 
 def explode_topics(df: DataFrame, column: str = "probabilities") -> DataFrame:
@@ -58,12 +59,18 @@ def _per_topic(
     return df.groupBy(*by).agg(*sums).select(*by, F.inline(F.array(*rows)))
 
 
-def _positions(distribution: Column, labels: Labels) -> list[Column]:
-    """The probability at each label; a longer distribution is an error, not a loss."""
+def _with_positions(
+    df: DataFrame, distribution: Column, keep: Sequence[str], labels: Labels
+) -> tuple[DataFrame, list[Column]]:
+    """``keep`` and the distribution, worked out and tested once; the probability at each label.
+
+    A distribution longer than the labels is an error, not a loss.
+    """
     k = len(labels)
-    message = f"a distribution has more positions than the {k} labels"
-    whole = F.when(F.size(distribution) > k, F.raise_error(F.lit(message))).otherwise(distribution)
-    return [F.get(whole, F.lit(i)) for i in range(k)]
+    message = F.lit(f"a distribution has more positions than the {k} labels")
+    fits = F.when(F.size("_p") > k, F.raise_error(message).cast("boolean")).otherwise(F.size("_p") > 0)
+    rows = with_computed(df.select(*keep, distribution.alias("_given")), "_p", F.col("_given"))
+    return rows.filter(fits), [F.get("_p", F.lit(i)) for i in range(k)]
 
 
 def topic_mass(
@@ -74,9 +81,8 @@ def topic_mass(
     labels: Labels = fixed.TOPIC_LABELS,
 ) -> DataFrame:
     """Sum of probability per (group, topic) of a plain distribution."""
-    p = F.col(distribution)
-    columns = _positions(p, labels)
-    return _per_topic(df.filter(p.isNotNull()), by, {mass: columns}, labels)
+    rows, columns = _with_positions(df, F.col(distribution), by, labels)
+    return _per_topic(rows, by, {mass: columns}, labels)
 
 
 def weighted_tone(
@@ -87,13 +93,12 @@ def weighted_tone(
     labels: Labels = fixed.TOPIC_LABELS,
 ) -> DataFrame:
     """Mean tone per (group, topic), weighted by the topic's probability."""
-    p = F.col(distribution)
-    weights = _positions(p, labels)
+    rows, weights = _with_positions(df, F.col(distribution), [*by, tone], labels)
     measures = {
         "weightedTone": [w * F.col(tone) for w in weights],
         "weights": weights,
     }
-    return _per_topic(df.filter(F.size(p) > 0), by, measures, labels).withColumn(
+    return _per_topic(rows, by, measures, labels).withColumn(
         "esg", F.try_divide("weightedTone", "weights")
     )
 

@@ -45,7 +45,9 @@ def lookup_join(
 
     The lookup side is broadcast only after its size was measured.  Beyond
     ``max_bytes`` both sides are shuffled, heavy keys split over many tasks.  A
-    stream cannot be measured for heavy keys: it then takes a plain join.
+    stream cannot be measured for heavy keys: it then takes a plain join, so a stream
+    with a large lookup side is better joined batch by batch
+    (``streaming.ingest.drain_joined``).
     """
     on = list(on)
     if held_bytes(lookup) <= max_bytes:
@@ -80,19 +82,24 @@ def split_join(
     on: Sequence[str],
     share: float = HEAVY_SHARE,
     fraction: float = 1.0,
+    staged: bool = False,
 ) -> DataFrame:
     """Inner equi-join in which the rows of each heavy key go to many tasks.
 
     A key gets as many of the shuffle's partitions as its share of the rows asks for
     (two at least), so a key with a third of all rows fills a third of the tasks.
-    Only lookup rows of heavy keys are replicated.  The salt comes from a row id, so
-    rows that are equal in all columns spread too, and no other column is read;
-    ``facts`` should come from storage, so that a task that runs again numbers its
-    rows alike.  Which keys count as heavy changes only who does the work, never the
-    result: a ``fraction`` of the rows can decide.  The decision is staged, because
-    both sides have to follow the same one.
+    Only lookup rows of heavy keys are replicated.  The salt comes from the place of a
+    row in its task, so rows that are equal in all columns spread too.  A task that runs
+    again, because its executor was lost, has to give its rows the same salts: so the
+    facts are written first and read from there, unless they are ``staged``, that is
+    read from files with nothing but projections, filters and explodes in between.
+    Which keys count as heavy changes only who does the work, never the result: a
+    ``fraction`` of the rows can decide.  The decision is staged, because both sides
+    have to follow the same one.
     """
     on = list(on)
+    if not staged:
+        facts = stage(facts, "facts")
     width = shuffle_width(facts.sparkSession)
     salts = F.greatest(F.ceil(F.col("_share") * width), F.lit(2)).cast("int")
     # Bounded by 1/share rows, whatever the size of the facts.

@@ -1,4 +1,9 @@
-"""Topic model: vocabulary, LDA fit, distributions, inspection, persistence."""
+"""Topic model: vocabulary, fit, distributions, inspection, persistence.
+
+``fit_topics`` fits Spark's own LDA, whose matrix the driver holds; ``bayes_topics.fit``
+passes over every text and keeps the matrix as a table.  What scores, describes and
+saves a model takes either kind.
+"""
 
 from __future__ import annotations
 
@@ -8,14 +13,17 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import CountVectorizerModel, SQLTransformer
 from pyspark.ml.functions import vector_to_array
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimscale import fixed
 from claimscale.functions.text import token_sql
 from claimscale.functions.topics import Labels, ordered_labels, top_probability, top_topic
-from claimscale.operators.compute import explode_computed, with_computed
-from claimscale.operators.ranking import rank_within
+from claimscale.operators import bayes_topics
+from claimscale.operators.bayes_topics import BayesTopics
+from claimscale.operators.compute import with_computed
+from claimscale.operators.dictionary import ranked_terms, term_counts  # noqa: F401
 from claimscale.sources.staging import stage
 
 MODEL_INPUT = "_text"
@@ -24,22 +32,7 @@ MAX_CELLS = 250_000_000  # topics x terms; the driver holds some copies of that
 LABEL_SCHEMA = "topic_id int, topic string, policy string"
 
 
-def term_counts(tokens: DataFrame, column: str = "tokens") -> DataFrame:
-    """Occurrences of each term; a frequent term is combined on the map side."""
-    terms = explode_computed(tokens, F.col(column), [], "at", "term")
-    return terms.groupBy("term").count()
-
-
-def ranked_terms(
-    tokens: DataFrame, column: str = "tokens", size: int | None = None
-) -> DataFrame:
-    """All terms, or the ``size`` most frequent ones, ties in alphabetical order.
-
-    A total order makes the vocabulary, and with it the model, the same on every run.
-    """
-    order = [F.desc("count"), F.asc("term")]
-    ranked = rank_within(term_counts(tokens, column), [], order)
-    return ranked if size is None else ranked.filter(F.col("rank") <= size)
+Model = PipelineModel | BayesTopics
 
 
 def vocabulary(
@@ -98,13 +91,14 @@ def fit_topics(
     )
     texts = documents.select(*order, F.col(text).alias(MODEL_INPUT))
     tokens = stage(tokenise.transform(texts).select(*order, "tokens"), "tokens")
-    counts = count_vectors(vocabulary(tokens, size=vocabulary_size))
-    terms = len(counts.vocabulary)
+    terms = term_counts(tokens).count()
+    terms = terms if vocabulary_size is None else min(terms, vocabulary_size)
     if topics * terms > max_cells:
         raise ValueError(
             f"{topics} topics x {terms} terms are more than {max_cells} cells: "
-            "limit vocabulary_size or raise max_cells"
+            "limit vocabulary_size, raise max_cells, or fit with bayes_topics"
         )
+    counts = count_vectors(vocabulary(tokens, size=vocabulary_size))
     place = F.xxhash64(*order) if order else F.xxhash64("tokens")
     features = counts.transform(tokens.withColumn("_place", place))
     features = stage(features.select(*order, "_place", "features"), "features")
@@ -124,7 +118,7 @@ def fit_topics(
 
 
 def score_topics(
-    model: PipelineModel, documents: DataFrame, text: str = "statement"
+    model: Model, documents: DataFrame, text: str = "statement"
 ) -> DataFrame:
     """Add probabilities, probability and topic_id to each row.
 
@@ -145,12 +139,14 @@ def with_best_topic(df: DataFrame, distribution: str = "probabilities") -> DataF
 
 
 def distributions(
-    model: PipelineModel, documents: DataFrame, text: str = "statement"
+    model: Model, documents: DataFrame, text: str = "statement"
 ) -> DataFrame:
     """Add the topic distribution as array<double> ``probabilities``.
 
     A text without a known word has the flat distribution 1/k.
     """
+    if isinstance(model, BayesTopics):
+        return bayes_topics.distributions(model, documents, text)
     rows = documents.withColumn(MODEL_INPUT, F.col(text))
     scored = model.transform(rows).select(*documents.columns, "distribution")
     # Inference is by far the dearest step; a filter must not repeat it.
@@ -161,8 +157,10 @@ def distributions(
     return plain.withColumn("probabilities", known).drop("distribution", "_plain")
 
 
-def topic_terms(model: PipelineModel, n: int = 10) -> DataFrame:
+def topic_terms(model: Model, n: int = 10) -> DataFrame:
     """The ``n`` heaviest terms per topic: topic_id, rank, term, weight."""
+    if isinstance(model, BayesTopics):
+        return bayes_topics.topic_terms(model, n)
     counts, lda = _parts(model)
     described = lda.describeTopics(n)
     # At most n terms per topic; only those are fetched from the vocabulary.
@@ -193,18 +191,21 @@ def _parts(model: PipelineModel) -> tuple[CountVectorizerModel, LDAModel]:
     return counts, lda
 
 
-def check_labels(model: PipelineModel, labels: Labels) -> None:
+def check_labels(model: Model, labels: Labels) -> None:
     """Labels stand for positions: as many as topics, or names would be wrong."""
-    k = _parts(model)[1].getK()
+    k = model.topics if isinstance(model, BayesTopics) else _parts(model)[1].getK()
     if len(ordered_labels(labels)) != k:
         raise ValueError(f"{len(labels)} labels for {k} topics")
 
 
-def save_model(model: PipelineModel, path: str, labels: Labels | None = None) -> None:
+def save_model(model: Model, path: str, labels: Labels | None = None) -> None:
     """Save the model and, next to it, the labels of its topics."""
     if labels is not None:
         check_labels(model, labels)
-    model.write().overwrite().save(path)
+    if isinstance(model, BayesTopics):
+        bayes_topics.save(model, path)
+    else:
+        model.write().overwrite().save(path)
     if labels is not None:
         rows = [(x["topic_id"], x["topic"], x["policy"]) for x in ordered_labels(labels)]
         frame = SparkSession.active().createDataFrame(rows, LABEL_SCHEMA)
@@ -217,12 +218,16 @@ def load_labels(path: str) -> list[dict]:
     return ordered_labels([row.asDict() for row in rows])
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> Model:
+    """A saved model of either kind."""
+    try:
+        return bayes_topics.load(path)
+    except AnalysisException:  # no such file there
+        return PipelineModel.load(path)
 
 
 def register_scored_view(
-    spark: SparkSession, model: PipelineModel, table: str, view: str
+    spark: SparkSession, model: Model, table: str, view: str
 ) -> None:
     """Offer a table together with its topic distributions to SQL text."""
     distributions(model, spark.table(table)).createOrReplaceTempView(view)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +13,7 @@ from claimscale.functions.topics import Labels
 from claimscale.operators.aggregates import topic_mass
 from claimscale.operators.joins import lookup_join
 from claimscale.operators.ranking import rank_score, top_per_key
-from claimscale.operators.topic_model import score_topics
+from claimscale.operators.topic_model import Model, score_topics
 
 
 def clean_statements(
@@ -26,7 +25,7 @@ def clean_statements(
     return explode_statements(documents, text, keep, min_chars)
 
 
-def topic_statements(model: PipelineModel, statements: DataFrame) -> DataFrame:
+def topic_statements(model: Model, statements: DataFrame) -> DataFrame:
     return score_topics(model, statements, "statement")
 
 

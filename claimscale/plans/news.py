@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +14,7 @@ from claimscale.operators.aggregates import label_distribution, weighted_tone
 from claimscale.operators.compute import with_computed
 from claimscale.operators.joins import lookup_join
 from claimscale.operators.ranking import rank_score, top_per_key
-from claimscale.operators.topic_model import distributions
+from claimscale.operators.topic_model import Model, distributions
 from claimscale.sources.staging import stage
 
 NEWS_COLUMNS = ("date", "organisation", "url", "tone", "title")
@@ -65,7 +64,7 @@ def latest_per_key(
 
 
 def classify_news(
-    model: PipelineModel,
+    model: Model,
     news: DataFrame,
     labels: Labels = fixed.TOPIC_LABELS,
     columns: Sequence[str] = NEWS_COLUMNS,

@@ -212,6 +212,206 @@ _LONG = f"length(statement) >= {fixed.MIN_STATEMENT_CHARS}"
 
 
 
+# --- stems -----------------------------------------------------------------------
+
+_V, _C = "[aeiouy]", "[b-df-hj-np-tv-xzY]"
+_MEASURES = {
+    "": "",
+    "v": _V,
+    "m0": f"{_V}{_C}",
+    "m1": f"{_V}{_C}.*{_V}{_C}",
+}
+
+
+def _holds(left: str, condition: str) -> str:
+    if condition == "st":
+        return f"({_holds(left, 'm1')} AND right({left}, 1) IN ('s', 't'))"
+    return f"regexp_matches({left}, '{_MEASURES[condition]}')" if condition else "true"
+
+
+def _stem_case(rules: list[tuple[str, str, str]]) -> str:
+    """The first suffix of a step that a word ends in, the longest first."""
+    cases = []
+    for suffix, new, condition in sorted(rules, key=lambda r: -len(r[0])):
+        left = f"left(w, length(w) - {len(suffix)})"
+        cases.append(
+            f"WHEN ends_with(w, '{suffix}') THEN CASE WHEN {_holds(left, condition)} "
+            f"THEN {left} || '{new}' ELSE w END"
+        )
+    return f"CASE {' '.join(cases)} ELSE w END"
+
+
+_CUT = "left(w, length(w) - 1)"
+_SHORT = f"regexp_matches({{0}}, '^{_C}+{_V}[b-df-hj-np-tvz]$')"
+_DOUBLE = "|".join(c * 2 for c in "bcdfghjkmnpqrtvwx")
+_PAST = f"""CASE
+  WHEN ends_with(w, 'eed') THEN CASE WHEN regexp_matches(left(w, length(w) - 3), '{_V}{_C}')
+    THEN {_CUT} ELSE w END
+  WHEN ends_with(w, 'ed') AND regexp_matches(left(w, length(w) - 2), '{_V}')
+    THEN left(w, length(w) - 2) || '#'
+  WHEN ends_with(w, 'ing') AND regexp_matches(left(w, length(w) - 3), '{_V}')
+    THEN left(w, length(w) - 3) || '#'
+  ELSE w END"""
+_MENDED = f"""CASE
+  WHEN NOT ends_with(w, '#') THEN w
+  WHEN regexp_matches(w, '(at|bl|iz)#$') THEN {_CUT} || 'e'
+  WHEN regexp_matches(w, '({_DOUBLE}|YY)#$') THEN left(w, length(w) - 2)
+  WHEN {_SHORT.format(_CUT)} THEN {_CUT} || 'e'
+  ELSE {_CUT} END"""
+_FINAL_Y = f"CASE WHEN regexp_matches(w, '{_V}.*[yY]$') AND regexp_matches({_CUT}, '{_V}') THEN {_CUT} || 'i' ELSE w END"
+_FINAL_E = f"""CASE
+  WHEN NOT ends_with(w, 'e') THEN w
+  WHEN regexp_matches({_CUT}, '{_MEASURES["m1"]}') THEN {_CUT}
+  WHEN regexp_matches({_CUT}, '{_MEASURES["m0"]}') AND NOT {_SHORT.format(_CUT)} THEN {_CUT}
+  ELSE w END"""
+_FINAL_L = f"CASE WHEN ends_with(w, 'll') AND regexp_matches({_CUT}, '{_MEASURES['m1']}') THEN {_CUT} ELSE w END"
+
+
+def _stems(terms: str) -> str:
+    """Steps as tables of their own over ``terms`` (term); the last is stemmed (term, base)."""
+    steps = [
+        _stem_case(fixed.STEM_PLURALS), _PAST, _MENDED, _FINAL_Y, _stem_case(fixed.STEM_STEP_2),
+        _stem_case(fixed.STEM_STEP_3), _stem_case(fixed.STEM_STEP_4), _FINAL_E, _FINAL_L,
+    ]
+    sql = rf"""stem0 AS (
+      SELECT term, regexp_replace(regexp_replace(term, '(^|[aeiou])y', '\1Y', 'g'),
+                                  'Yyy', 'YyY', 'g') AS w
+      FROM {terms} WHERE regexp_matches(term, '^[a-z][a-z][a-z]+$'))"""
+    for i, step in enumerate(steps):
+        sql += f", stem{i + 1} AS (SELECT term, {step} AS w FROM stem{i})"
+    return f"""{sql}, stemmed AS (
+      SELECT t.term, coalesce(lower(s.w), t.term) AS base
+      FROM {terms} t LEFT JOIN stem{len(steps)} s USING (term))"""
+
+
+_TERMS = f"""occurring AS (SELECT doc_id, lang, unnest({_tokens('text')}) AS term FROM documents),
+terms AS (SELECT term, count(*) AS count FROM occurring GROUP BY term)"""
+
+_OFFERS = " UNION ALL ".join(
+    f"SELECT term, {i} AS rule_no, left(term, length(term) - {len(old)}) || '{new}' AS base "
+    f"FROM terms WHERE ends_with(term, '{old}')"
+    for i, (old, new) in enumerate(fixed.LEMMA_ENDINGS)
+)
+
+# --- learned sentences -------------------------------------------------------------
+
+
+def _bare(word: str) -> str:
+    return f"regexp_replace(regexp_replace(lower({word}), '^[^a-z0-9]+', ''), '[^a-z0-9.]+$', '')"
+
+
+def _type(word: str) -> str:
+    return f"regexp_replace({_bare(word)}, '[.]$', '')"
+
+
+def _log_of(share: str) -> str:
+    return f"ln(least(greatest({share}, 1e-12), 1 - 1e-12))"
+
+
+def _told(hits: str, tries: str, share: str) -> str:
+    return f"({hits} * {_log_of(share)} + ({tries} - {hits}) * {_log_of(f'(1 - ({share}))')})"
+
+
+def _ratio(a: str, b: str, both: str, n: str) -> str:
+    p, p1, p2 = f"{b}::DOUBLE / {n}", f"{both}::DOUBLE / {a}", f"({b} - {both})::DOUBLE / ({n} - {a})"
+    return (
+        f"-2 * ({_told(both, a, p)} + {_told(f'({b} - {both})', f'({n} - {a})', p)}"
+        f" - CASE WHEN {a} = {both} THEN 0 ELSE {_told(both, a, p1)} END"
+        f" - CASE WHEN {b} = {both} THEN 0 ELSE {_told(f'({b} - {both})', f'({n} - {a})', p2)} END)"
+    )
+
+
+_PLACES = f"""{_PARAGRAPHS},
+cleaned AS (SELECT doc_id, paragraph_no, {_cleaned('paragraph')} AS p FROM paragraphs),
+lists AS (SELECT list_filter(string_split(p, ' '), lambda w: w <> '') AS ws FROM cleaned),
+raw_places AS (SELECT unnest(ws) AS w, unnest(list_append(ws[2:], NULL)) AS following
+               FROM lists WHERE len(ws) > 0),
+places AS (SELECT {_type('w')} AS word, ends_with({_bare('w')}, '.') AS stopped,
+                  {_type('following')} AS next FROM raw_places),
+stops AS (SELECT word, count_if(stopped)::BIGINT AS stopped, count_if(NOT stopped)::BIGINT AS open
+          FROM places GROUP BY word),
+sizes AS (SELECT sum(stopped + open)::BIGINT AS n, sum(stopped)::BIGINT AS n_stopped FROM stops),
+signs AS (SELECT *, length(replace(word, '.', '')) AS signs FROM stops, sizes
+          WHERE stopped > 0 AND regexp_matches(word, '[a-z]')),
+scored AS (
+  SELECT word, stopped, open,
+         -2 * ({_told('stopped', '(stopped + open)', 'n_stopped::DOUBLE / n')}
+               - {_told('stopped', '(stopped + open)', '0.99')})
+         * exp(-signs) * (length(word) - signs + 1) * pow(signs::DOUBLE, -open) AS score
+  FROM signs)"""
+
+_LEARNED = f"""{_PLACES},
+shortened AS (SELECT word FROM scored WHERE score >= {fixed.ABBREVIATION_SCORE}),
+starts AS (
+  SELECT next AS word, count(*) AS at_start FROM places
+  WHERE stopped AND next IS NOT NULL AND NOT regexp_matches(word, '^[a-z]$')
+    AND word NOT IN (SELECT word FROM shortened)
+  GROUP BY next),
+all_ends AS (SELECT sum(at_start)::BIGINT AS ends FROM starts),
+starters AS (
+  SELECT * FROM (
+    SELECT s.word, at_start, stopped + open AS tries,
+           {_ratio('ends', '(stopped + open)', 'at_start', 'n')} AS score
+    FROM starts s JOIN stops USING (word), sizes, all_ends
+    WHERE regexp_matches(s.word, '[a-z]') AND at_start * n > (stopped + open) * ends)
+  WHERE score >= {fixed.STARTER_SCORE}),
+near AS (
+  SELECT word, next, count(*) AS together FROM places
+  WHERE stopped AND regexp_matches(next, '[a-z]')
+    AND (word IN (SELECT word FROM shortened) OR regexp_matches(word, '^[a-z]$'))
+    AND next NOT IN (SELECT word FROM starters)
+  GROUP BY word, next HAVING count(*) > 1),
+fixed_pairs AS (
+  SELECT word, next FROM (
+    SELECT r.word, r.next, r.together, x.stopped + x.open AS a, y.stopped + y.open AS b, n
+    FROM near r JOIN stops x ON r.word = x.word JOIN stops y ON r.next = y.word, sizes)
+  WHERE together * n > a * b AND {_ratio('a', 'b', 'together', 'n')} >= {fixed.PAIR_SCORE})"""
+
+_LEARNED_STATEMENTS = rf"""{_LEARNED},
+pieces AS (
+  SELECT doc_id, paragraph_no, unnest(parts) AS piece, generate_subscripts(parts, 1) AS piece_no
+  FROM (SELECT doc_id, paragraph_no,
+               string_split(regexp_replace(p, '([.!?])\s+', '\1' || chr(10), 'g'), chr(10)) AS parts
+        FROM cleaned)),
+met AS (
+  SELECT *, regexp_extract(piece, '(\S+)$', 1) AS last_word,
+         regexp_extract(lead(piece) OVER w, '^(\S+)', 1) AS first_word,
+         lead(piece) OVER w IS NOT NULL AS has_next
+  FROM pieces WINDOW w AS (PARTITION BY doc_id, paragraph_no ORDER BY piece_no)),
+judged AS (
+  SELECT *, {_type('last_word')} AS word, {_type('first_word')} AS next FROM met),
+decided AS (
+  SELECT *, has_next AND ends_with(piece, '.') AND (
+    regexp_matches(word, '^[a-z]$')
+    OR (word IN (SELECT word FROM shortened) AND NOT (
+          next IN (SELECT word FROM starters) AND regexp_matches(first_word, '^[^a-z]*[A-Z]')
+          AND (word, next) NOT IN (SELECT (word, next) FROM fixed_pairs)))) AS goes_on
+  FROM judged),
+grouped AS (
+  SELECT *, coalesce(sum(CASE WHEN goes_on THEN 0 ELSE 1 END) OVER (
+    PARTITION BY doc_id, paragraph_no ORDER BY piece_no
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sentence_no
+  FROM decided),
+learned AS (
+  SELECT doc_id, paragraph_no, CAST(sentence_no AS INTEGER) AS sentence_no,
+         trim(string_agg(piece, ' ' ORDER BY piece_no), {_WHITE}) AS statement
+  FROM grouped GROUP BY doc_id, paragraph_no, sentence_no)"""
+
+_BY_LANGUAGE = ", ".join(f"count_if(lang = '{x}') + 0.25::DOUBLE AS w{i}" for i, x in enumerate(("de", "en", "es", "fr")))
+_MATRIX = f"""{_TERMS},
+matrix AS (SELECT term, count(*) AS count, {_BY_LANGUAGE} FROM occurring GROUP BY term),
+lengths AS (SELECT sum(count) AS n, {", ".join(f"sum(w{i}) AS t{i}" for i in range(4))} FROM matrix)"""
+
+
+def _apart(a: int, b: int) -> str:
+    p, q = f"(w{a} / t{a})", f"(w{b} / t{b})"
+    return (
+        f"SELECT {a}::INTEGER AS topic_a, {b}::INTEGER AS topic_b, round(sqrt(sum("
+        f"({p} * log2({p} / (({p} + {q}) / 2)) + {q} * log2({q} / (({p} + {q}) / 2))) / 2)), 6)"
+        " AS distance FROM matrix, lengths"
+    )
+
+
 def _markup(column: str) -> str:
     sql = (
         f"regexp_replace({column}, '<(script|style)\\b.*?</(script|style)>', "
@@ -232,9 +432,9 @@ def _markup(column: str) -> str:
 
 _DOCUMENT_FILES = f"""
 WITH bound AS (
-  SELECT page_id // 100 AS ticker,
+  SELECT page_id // 10 AS ticker,
          string_agg({_markup('html')}, chr(10) ORDER BY page_id) AS pdf_content
-  FROM pages GROUP BY page_id // 100
+  FROM pages GROUP BY page_id // 10
 )
 SELECT d.source AS organisation, b.pdf_content, CAST(b.ticker AS VARCHAR) AS ticker,
        d.lang AS description
@@ -358,6 +558,53 @@ ORACLES: dict[str, str] = {
         ranked AS (SELECT *, row_number() OVER (ORDER BY count DESC, term) AS rank
                    FROM counted)
         SELECT term, count, rank FROM ranked""",
+    "word_stems": f"""WITH {_TERMS}, {_stems('terms')} SELECT term, base FROM stemmed""",
+    "stem_dictionary": f"""WITH {_TERMS}, {_stems('terms')},
+        bases AS (SELECT base, sum(count)::BIGINT AS count, min(term) AS first
+                  FROM stemmed JOIN terms USING (term) GROUP BY base),
+        ranked AS (SELECT *, row_number() OVER (ORDER BY count DESC, base) - 1 AS term_id FROM bases)
+        SELECT term_id, term, base, count, term = first AS is_first
+        FROM stemmed JOIN ranked USING (base)""",
+    "word_lemmas": f"""WITH {_TERMS}, offers AS ({_OFFERS}),
+        fitting AS (SELECT o.term, o.base, row_number() OVER (PARTITION BY o.term ORDER BY rule_no) AS place
+                    FROM offers o JOIN terms k ON o.base = k.term WHERE length(o.base) >= 3)
+        SELECT t.term, coalesce(f.base, t.term) AS base
+        FROM terms t LEFT JOIN fitting f ON t.term = f.term AND f.place = 1""",
+    "folded_terms": """
+        SELECT term, strip_accents(lower(term)) AS base FROM (
+          SELECT DISTINCT unnest(string_split_regex(text, '[^\\pL\\pM\\pN]+')) AS term
+          FROM documents) WHERE term <> ''""",
+    "term_bags": f"""WITH {_TERMS},
+        ranked AS (SELECT term, row_number() OVER (ORDER BY count DESC, term) - 1 AS term_id FROM terms)
+        SELECT doc_id, term_id, count(*) AS n FROM occurring JOIN ranked USING (term)
+        GROUP BY doc_id, term_id""",
+    "word_stops": f"WITH {_PLACES} SELECT word, stopped, open FROM stops",
+    "abbreviations": f"WITH {_PLACES} SELECT word, stopped, open, round(CASE WHEN score > 0 THEN score ELSE 0 END, 6) AS score FROM scored",
+    "sentence_starters": f"""WITH {_LEARNED}
+        SELECT word, at_start, tries, round(score, 6) AS score FROM starters""",
+    "learned_statements": f"""WITH {_LEARNED_STATEMENTS}
+        SELECT doc_id, paragraph_no, sentence_no, statement FROM learned WHERE {_LONG}""",
+    "relevant_terms": f"""WITH {_MATRIX},
+        shares AS ({" UNION ALL ".join(
+            f"SELECT {i}::INTEGER AS topic_id, term, w{i} / t{i} AS share, "
+            f"(w{i} / t{i}) / (count / n) AS lift FROM matrix, lengths" for i in range(4))}),
+        scored AS (SELECT *, round(0.6 * ln(share) + 0.4 * ln(lift), 9) AS relevance FROM shares),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY topic_id
+                     ORDER BY relevance DESC, term) AS rank FROM scored)
+        SELECT topic_id, CAST(rank AS INTEGER) AS rank, term, round(share, 6) AS share,
+               round(lift, 6) AS lift, round(relevance, 6) AS relevance
+        FROM ranked WHERE rank <= 20""",
+    "topic_distances": f"WITH {_MATRIX} " + " UNION ALL ".join(
+        _apart(a, b) for a in range(4) for b in range(a + 1, 4)
+    ),
+    "clustered_by_several": """
+        SELECT l_orderkey, l_linenumber, l_suppkey, l_shipdate FROM lineitem""",
+    "topic_model_fit": f"""WITH {_STATEMENTS}, found AS (
+          SELECT unnest({_tokens('statement')}) AS term FROM statements WHERE {_LONG}),
+        counted AS (SELECT term, count(*) AS c, sum(count(*)) OVER () AS n FROM found GROUP BY term)
+        SELECT count(*) AS terms, sum(c)::BIGINT AS tokens,
+               round(-sum(c / n * ln(c / n)), 6) AS entropy,
+               true AS is_better, true AS is_rising FROM counted""",
     "distribution_mass": f"""WITH {_STATEMENTS}
         SELECT doc_id, paragraph_no, sentence_no, CAST(5 AS INTEGER) AS topics,
                1.0::DOUBLE AS mass
@@ -438,6 +685,7 @@ ORACLES: dict[str, str] = {
         SELECT vec_id, topic_id, topic, policy FROM scored JOIN topics USING (topic_id)""",
     "binary_scan": _DOCUMENT_FILES,
     "stream_ingest": _DOCUMENT_FILES,
+    "stream_large_metadata": _DOCUMENT_FILES,
     "logo_metadata": """
         SELECT CAST(s_suppkey AS VARCHAR) AS ticker, s_name AS logo_content,
                lower(s_name) AS organisation, n_name AS description

@@ -12,13 +12,22 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimscale import fixed
+from claimscale.functions import folding, sentences, stems
 from claimscale.functions import text as T
 from claimscale.functions import topics as P
-from claimscale.operators import aggregates, joins, ranking, topic_model
+from claimscale.operators import (
+    aggregates,
+    bayes_topics,
+    dictionary,
+    joins,
+    ranking,
+    topic_map,
+    topic_model,
+)
 from claimscale.operators.compute import with_computed
 from claimscale.plans import compare, disclosure, news, standins
 from claimscale.plans.standins import table
-from claimscale.sources import exports, files, tables
+from claimscale.sources import bundles, exports, files, tables
 from claimscale.sources.files import spread
 from claimscale.sources.staging import fresh_path, stage
 from claimscale.streaming import ingest
@@ -295,6 +304,76 @@ def ranked_terms(spark: SparkSession, folder: str) -> DataFrame:
     return topic_model.ranked_terms(tokens)
 
 
+def _terms(spark: SparkSession, folder: str) -> DataFrame:
+    """The distinct tokens of all documents."""
+    split = spread(table(spark, folder, "documents")).select(T.tokens("text").alias("tokens"))
+    return dictionary.term_counts(split)
+
+
+def word_stems(spark: SparkSession, folder: str) -> DataFrame:
+    return stems.stems(_terms(spark, folder).select("term"))
+
+
+def word_lemmas(spark: SparkSession, folder: str) -> DataFrame:
+    return stems.lemmas(_terms(spark, folder).select("term"))
+
+
+def folded_terms(spark: SparkSession, folder: str) -> DataFrame:
+    """Words as they stand in the texts, and without accents and compatibility forms."""
+    word = F.explode(F.split("text", fixed.TOKEN_BREAK)).alias("term")
+    words = spread(table(spark, folder, "documents")).select(word).filter(F.col("term") != "")
+    return folding.folded_terms(words.distinct())
+
+
+def stem_dictionary(spark: SparkSession, folder: str) -> DataFrame:
+    """Every term with its stem, and the number of the stem by its count."""
+    split = spread(table(spark, folder, "documents")).select(T.tokens("text").alias("tokens"))
+    known = dictionary.dictionary(stage(split, "tokens"), bases=stems.stems)
+    return known.select("term_id", "term", "base", "count", "is_first")
+
+
+def term_bags(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_id, term_id, n: documents as numbered terms, by the distributed dictionary."""
+    split = spread(table(spark, folder, "documents")).select("doc_id", T.tokens("text").alias("tokens"))
+    split = stage(split, "tokens")
+    known = stage(dictionary.dictionary(split), "dictionary")
+    bags = dictionary.term_bags(split, known, ["doc_id"])
+    return bags.select("doc_id", F.inline("bag"))
+
+
+# --- learned sentences ------------------------------------------------------------
+
+
+def _clean_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
+    documents = spread(table(spark, folder, "documents"))
+    return stage(T.explode_clean_paragraphs(documents, "text", ["doc_id"]), "paragraphs")
+
+
+def word_stops(spark: SparkSession, folder: str) -> DataFrame:
+    return sentences.word_stops(sentences.word_places(_clean_paragraphs(spark, folder), "paragraph"))
+
+
+def abbreviations(spark: SparkSession, folder: str) -> DataFrame:
+    """Words by how surely they are abbreviations, all that stand before a full stop."""
+    places = sentences.word_places(_clean_paragraphs(spark, folder), "paragraph")
+    scored = sentences.abbreviation_scores(stage(sentences.word_stops(places), "stops"))
+    return _rounded(scored.withColumn("score", F.when(F.col("score") > 0, F.col("score")).otherwise(0.0)), "score")
+
+
+def sentence_starters(spark: SparkSession, folder: str) -> DataFrame:
+    _, starters, _ = sentences.scores(_clean_paragraphs(spark, folder))
+    return _rounded(starters, "score")
+
+
+def learned_statements(spark: SparkSession, folder: str) -> DataFrame:
+    """Statements as clean_statements, with sentence ends learned from these documents."""
+    known = sentences.train(_clean_paragraphs(spark, folder))
+    documents = spread(table(spark, folder, "documents"))
+    return T.explode_statements(
+        documents, "text", ["doc_id"], split=lambda p: sentences.split_learned(p, known)
+    ).select("doc_id", "paragraph_no", "sentence_no", "statement")
+
+
 def page_titles(spark: SparkSession, folder: str) -> DataFrame:
     return (
         table(spark, folder, "pages")
@@ -372,6 +451,7 @@ def split_key_join(spark: SparkSession, folder: str) -> DataFrame:
         orders.select("c_custkey", "o_orderkey"),
         customers.select("c_custkey", "c_name", "c_mktsegment"),
         ["c_custkey"],
+        staged=True,
     )
     return joined
 
@@ -542,6 +622,16 @@ def clustered_write(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def clustered_by_several(spark: SparkSession, folder: str) -> DataFrame:
+    """Clustered so that readers can skip files by supplier and by day."""
+    path = fresh_path(spark, "clustered")
+    lines = table(spark, folder, "lineitem")
+    columns, spread_by = ["l_suppkey", "l_shipdate"], ["l_orderkey", "l_linenumber"]
+    placed = files.clustered_by(lines, columns, spread_by, target_bytes=8 * 1024 * 1024)
+    files.replace_path(placed, path)
+    return files.read_path(spark, path).select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate")
+
+
 def json_dimension(spark: SparkSession, folder: str) -> DataFrame:
     """Topic labels read back from JSON, joined to the best topic of each row."""
     path = fresh_path(spark, "labels")
@@ -554,11 +644,12 @@ def json_dimension(spark: SparkSession, folder: str) -> DataFrame:
 # --- documents as files ----------------------------------------------------------
 
 
-PAGES_PER_DOCUMENT = 100
+PAGES_PER_DOCUMENT = 10
+BUNDLE_BYTES = 4 * 1024 * 1024
 
 
 def _document_files(spark: SparkSession, folder: str) -> tuple[str, str]:
-    """Pages bound to documents of a hundred pages, one file each."""
+    """Pages bound to documents of ten pages, many of these in a file."""
     number = F.col("page_id") % PAGES_PER_DOCUMENT
     page = F.when(number == 0, F.col("html")).otherwise(
         F.concat(F.lit(fixed.PAGE_BREAK), "html")
@@ -569,7 +660,7 @@ def _document_files(spark: SparkSession, folder: str) -> tuple[str, str]:
         page.alias("page"),
     )
     path = fresh_path(spark, "documents")
-    return path, files.write_document_files(pages, "ticker", "page", path, ["page_id"])
+    return path, bundles.write_bundles(pages, "ticker", "page", path, ["page_id"], BUNDLE_BYTES)
 
 
 def _document_metadata(spark: SparkSession, folder: str) -> DataFrame:
@@ -583,7 +674,7 @@ def _document_metadata(spark: SparkSession, folder: str) -> DataFrame:
 def binary_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as files, read in batch and joined with their metadata."""
     path, key = _document_files(spark, folder)
-    scanned = files.read_binary(spark, path, "*.txt")
+    scanned = bundles.documents_in(files.read_binary(spark, path, "*.txt"))
     return ingest.join_metadata(scanned, _document_metadata(spark, folder), key)
 
 
@@ -591,17 +682,28 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as files, drained through a stream into a table."""
     name = f"{tables.fresh_schema(spark)}.raw_documents"
     path, key = _document_files(spark, folder)
-    stream = ingest.file_stream(spark, path, glob="*.txt")
+    stream = bundles.documents_in(ingest.file_stream(spark, path, glob="*.txt"))
     joined = ingest.join_metadata(stream, _document_metadata(spark, folder), key)
     ingest.drain_to_table(joined, name, fresh_path(spark, "checkpoint"))
     return spark.table(name)
 
 
+def stream_large_metadata(spark: SparkSession, folder: str) -> DataFrame:
+    """The same stream, joined batch by batch as metadata beyond any broadcast ask for."""
+    name = f"{tables.fresh_schema(spark)}.raw_documents"
+    path, key = _document_files(spark, folder)
+    stream = bundles.documents_in(ingest.file_stream(spark, path, glob="*.txt", files_per_batch=4))
+    metadata = _document_metadata(spark, folder)
+    checkpoint = fresh_path(spark, "checkpoint")
+    ingest.drain_joined(stream, metadata, name, checkpoint, key, max_bytes=0)
+    return spark.table(name).drop("batch")
+
+
 def logo_metadata(spark: SparkSession, folder: str) -> DataFrame:
     """Logos as binary files ⋈ the organisations they belong to."""
     suppliers = table(spark, folder, "supplier")
     path = fresh_path(spark, "logos")
-    key = files.write_document_files(suppliers, "s_suppkey", "s_name", path)
+    key = bundles.write_bundles(suppliers, "s_suppkey", "s_name", path)
     nations = table(spark, folder, "nation")
     organisations = suppliers.join(
         nations, F.col("s_nationkey") == F.col("n_nationkey")
@@ -610,23 +712,79 @@ def logo_metadata(spark: SparkSession, folder: str) -> DataFrame:
         F.lower("s_name").alias("organisation"),
         F.col("n_name").alias("description"),
     )
-    logos = files.read_binary(spark, path, "*.txt")
+    logos = bundles.documents_in(files.read_binary(spark, path, "*.txt"))
     joined = ingest.organisation_metadata(logos, organisations, key)
     return joined.withColumn("logo_content", T.strip(F.decode("logo_content", "UTF-8")))
 
 
+# --- topics of a term table -----------------------------------------------------
+
+LANGUAGES = ["de", "en", "es", "fr"]
+LANGUAGE_PRIOR = 0.25
+
+
+def _language_terms(spark: SparkSession, folder: str) -> DataFrame:
+    """Terms of the documents with their occurrences by language, as a matrix of topics."""
+    split = spread(table(spark, folder, "documents")).select("lang", F.explode(T.tokens("text")).alias("term"))
+    counts = [F.count_if(F.col("lang") == code) + LANGUAGE_PRIOR for code in LANGUAGES]
+    grouped = split.groupBy("term").agg(F.count(F.lit(1)).alias("count"), F.array(*counts).alias("weights"))
+    return stage(grouped, "matrix")
+
+
+def relevant_terms(spark: SparkSession, folder: str) -> DataFrame:
+    rows = topic_map.relevant_terms(_language_terms(spark, folder), len(LANGUAGES), 20)
+    return _rounded(rows, "share", "lift", "relevance")
+
+
+def topic_distances(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(topic_map.topic_distances(_language_terms(spark, folder), len(LANGUAGES)), "distance")
+
+
 # --- topic model -----------------------------------------------------------------
 
 STATEMENT_ID = ("doc_id", "paragraph_no", "sentence_no")
-MAX_ITERATIONS = 10
+PASSES = 10
+
+_fits: dict[tuple[str, str], tuple[str, DataFrame]] = {}
 
 
 def _fitted(spark: SparkSession, folder: str):
-    statements = stage(clean_statements(spark, folder), "statements")
-    model = topic_model.fit_topics(
-        statements, order=STATEMENT_ID, max_iterations=MAX_ITERATIONS
+    """The model of a folder's statements, and these; fitted once per session."""
+    known = (spark.sparkContext.applicationId, folder)
+    if known not in _fits:
+        statements = stage(clean_statements(spark, folder), "statements")
+        path = fresh_path(spark, "model")
+        model = bayes_topics.fit(statements, order=STATEMENT_ID, passes=PASSES, path=path)
+        topic_model.save_model(model, path, fixed.TOPIC_LABELS)
+        _fits[known] = path, statements
+    path, statements = _fits[known]
+    return topic_model.load_model(path), statements
+
+
+def topic_model_fit(spark: SparkSession, folder: str) -> DataFrame:
+    """How well the model tells the texts' words, against their plain frequencies.
+
+    The entropy is what a word costs by frequencies alone; a model that has learned
+    topics needs less, and every pass raises the bound of the likelihood.
+    """
+    model, statements = _fitted(spark, folder)
+    told = bayes_topics.log_likelihood(model, statements)
+    counts = model.matrix().filter("is_first").select("count")
+    n = counts.select(F.sum("count")).scalar()
+    share = F.col("count") / n
+    usual = counts.agg(
+        F.count(F.lit(1)).alias("terms"), F.round(-F.sum(share * F.log(share)), DIGITS).alias("entropy")
+    )
+    rises = all(b - a > -1e-6 * abs(a) for a, b in zip(model.bounds, model.bounds[1:]))
+    needed = -told.select(F.col("log_likelihood") / F.col("tokens")).scalar()
+    tokens = told.select("tokens").scalar()
+    return usual.select(
+        "terms",
+        tokens.alias("tokens"),
+        "entropy",
+        (needed < F.col("entropy") - 0.05).alias("is_better"),
+        F.lit(rises and len(model.bounds) > 1).alias("is_rising"),
     )
-    return model, statements
 
 
 def topic_model_scores(spark: SparkSession, folder: str) -> DataFrame:
@@ -753,6 +911,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         tokens,
         term_counts,
         ranked_terms,
+        word_stems,
+        word_lemmas,
+        folded_terms,
+        stem_dictionary,
+        term_bags,
+        word_stops,
+        abbreviations,
+        sentence_starters,
+        learned_statements,
+        relevant_terms,
+        topic_distances,
         page_titles,
         page_text,
         joined_pages,
@@ -773,10 +942,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         shared_table_sql,
         sum_per_key_desc,
         clustered_write,
+        clustered_by_several,
         json_dimension,
         binary_scan,
         stream_ingest,
+        stream_large_metadata,
         logo_metadata,
+        topic_model_fit,
         topic_model_scores,
         distribution_mass,
         topic_terms,

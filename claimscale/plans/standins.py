@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimscale.operators.compute import with_computed
+
 TOPICS = 5
 DIMENSIONS = 64
 
@@ -13,31 +15,34 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def sharpened_shares(embedding: str, n: int = TOPICS, size: int = DIMENSIONS) -> Column:
-    """All values of a vector folded into ``n`` groups, as shares.
+def with_shares(
+    df: DataFrame, embedding: str, name: str, n: int = TOPICS, size: int = DIMENSIONS
+) -> DataFrame:
+    """``df`` with all values of a vector folded into ``n`` groups, as shares.
 
     A group is the sum of the squares of every n-th value; the eighth powers of the
-    groups, divided by their sum, make some shares large.
+    groups, divided by their sum, make some shares large.  Each step is worked out once.
     """
 
     def group(i: int) -> str:
         values = [f"CAST({embedding}[{j}] AS DOUBLE)" for j in range(i, size, n)]
         return " + ".join(f"({v} * {v})" for v in values)
 
-    powers = F.expr(f"array({', '.join(group(i) for i in range(n))})")
+    powers = F.col("_groups")
     for _ in range(3):
         powers = F.transform(powers, lambda x: x * x)
-    total = F.aggregate(powers, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(powers, lambda x: x / total)
+    grouped = with_computed(df, "_groups", F.expr(f"array({', '.join(group(i) for i in range(n))})"))
+    raised = with_computed(grouped, "_powers", powers)
+    total = sum((F.get("_powers", F.lit(i)) for i in range(n)), F.lit(0.0))
+    shares = F.array(*[F.get("_powers", F.lit(i)) / total for i in range(n)])
+    return with_computed(raised, name, shares).drop("_groups", "_powers")
 
 
 def disclosures(spark: SparkSession, folder: str) -> DataFrame:
     """Scored statements: (vec_id, organisation, probabilities)."""
-    return table(spark, folder, "embeddings").select(
-        "vec_id",
-        F.concat(F.lit("Org_"), F.col("label").cast("string")).alias("organisation"),
-        sharpened_shares("embedding").alias("probabilities"),
-    )
+    organisation = F.concat(F.lit("Org_"), F.col("label").cast("string")).alias("organisation")
+    rows = with_shares(table(spark, folder, "embeddings"), "embedding", "probabilities")
+    return rows.select("vec_id", organisation, "probabilities")
 
 
 def news(spark: SparkSession, folder: str) -> DataFrame:
@@ -56,9 +61,8 @@ def classified_news(spark: SparkSession, folder: str) -> DataFrame:
     """Articles with a distribution: each takes that of one embedding."""
     vectors = table(spark, folder, "embeddings")
     size = vectors.select(F.count(F.lit(1)).alias("n")).scalar()
-    distributions = vectors.select(
-        "vec_id", sharpened_shares("embedding").alias("probabilities")
-    )
+    distributions = with_shares(vectors, "embedding", "probabilities")
+    distributions = distributions.select("vec_id", "probabilities")
     return (
         news(spark, folder)
         .withColumn("vec_id", F.col("event_id") % size)

@@ -6,17 +6,16 @@ it also cuts the lineage.
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from claimscale import fixed
 from claimscale.functions.topics import Labels
-from claimscale.operators import topic_model
+from claimscale.operators import bayes_topics, topic_model
 from claimscale.plans import compare, disclosure, news
 from claimscale.sources.files import clustered, spread, topic_dimension
 from claimscale.sources.staging import stage
 from claimscale.sources.tables import replace_table
-from claimscale.streaming.ingest import drain_to_table, file_stream, join_metadata
+from claimscale.streaming.ingest import drain_joined, file_stream
 
 RAW = "raw_documents"
 STATEMENTS = "clean_sentences"
@@ -46,8 +45,8 @@ def ingest_documents(
     # Every micro-batch reads the metadata, so it is computed only once.
     known = stage(metadata, "metadata")
     stream = file_stream(spark, path, glob=glob, files_per_batch=files_per_batch)
-    drain_to_table(join_metadata(stream, known, pattern), table, checkpoint, timeout)
-    return spark.table(table)
+    drain_joined(stream, known, table, checkpoint, pattern, timeout)
+    return spark.table(table).drop("batch")
 
 
 def build_statements(
@@ -65,9 +64,12 @@ def train(
     model_path: str,
     labels: Labels = fixed.TOPIC_LABELS,
     **options,
-) -> PipelineModel:
-    """Fit as many topics as there are labels; save the model with its labels."""
-    model = topic_model.fit_topics(
+) -> topic_model.Model:
+    """Fit as many topics as there are labels; save the model with its labels.
+
+    Every statement counts in every pass, and no matrix is held by the driver.
+    """
+    model = bayes_topics.fit(
         spark.table(f"{schema}.{STATEMENTS}"),
         order=STATEMENT_ID,
         topics=len(labels),
@@ -77,7 +79,7 @@ def train(
     return model
 
 
-def _model_with_labels(path: str) -> tuple[PipelineModel, Labels]:
+def _model_with_labels(path: str) -> tuple[topic_model.Model, Labels]:
     """A saved model and its own labels; they cannot part."""
     model, labels = topic_model.load_model(path), topic_model.load_labels(path)
     topic_model.check_labels(model, labels)

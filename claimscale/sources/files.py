@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
 from claimscale import fixed
 from claimscale.functions.text import file_key
 from claimscale.functions.topics import Labels, ordered_labels
+from claimscale.operators.compute import with_computed
+from claimscale.operators.joins import held_bytes
 from claimscale.session import shuffle_width
 
+CLUSTER_BITS = 8  # per column: 256 shares of its rows
+CLUSTER_SAMPLE = 100_000  # rows that the shares are cut by
+CLUSTER_BYTES = 256 * 1024 * 1024
+
 BINARY_SCHEMA = (
     "path string, modificationTime timestamp, length bigint, content binary"
 )
@@ -117,6 +123,84 @@ def clustered(
     return df.repartitionByRange(files, *by).sortWithinPartitions(*by)
 
 
+def value_borders(df: DataFrame, columns: Sequence[str], bits: int = CLUSTER_BITS) -> list[list]:
+    """Per column the values that cut its rows into 2 ** ``bits`` shares, from a bounded sample."""
+    rows = df.count()
+    fraction = min(1.0, CLUSTER_SAMPLE / max(rows, 1))
+    seen = df.select(*columns)
+    seen = seen.sample(fraction, seed=1) if fraction < 1 else seen
+    shares = 1 << bits
+    picked = [
+        F.expr(
+            f"transform(sequence(1, {shares - 1}), "
+            f"i -> get(array_sort(collect_list(`{c}`)), CAST(i * count(`{c}`) DIV {shares} AS INT)))"
+        ).alias(f"b{n}")
+        for n, c in enumerate(columns)
+    ]
+    found = seen.agg(*picked).first()
+    return [sorted({v for v in found[i] or [] if v is not None}) for i in range(len(columns))]
+
+
+def _share_of(value: Column, borders: list, kind: DataType) -> Column:
+    """How many of the sorted borders are not above the value: first by every 16th, then within."""
+    if not borders:
+        return F.lit(0)
+
+    def at_most(values: Column) -> Column:
+        return F.size(F.filter(values, lambda b: b <= value))
+
+    parts = [borders[i : i + 16] for i in range(0, len(borders), 16)]
+    told = [F.array(*[F.lit(b).cast(kind) for b in part]) for part in parts]
+    part = at_most(F.array(*[F.lit(p[0]).cast(kind) for p in parts]))
+    within = at_most(F.get(F.array(*told), part - 1))
+    return F.when(part == 0, 0).otherwise((part - 1) * 16 + within)
+
+
+def with_curve(
+    df: DataFrame, columns: Sequence[str], name: str, bits: int = CLUSTER_BITS
+) -> DataFrame:
+    """``df`` with a key of the bits of every column's share, one of each in turn.
+
+    Rows that are near in all columns have near keys.  Nulls count as the least value.
+    At most 63 bits together.
+    """
+    if bits * len(columns) > 63:
+        raise ValueError(f"{len(columns)} columns of {bits} bits are more than 63")
+    shares = []
+    for c, borders in zip(columns, value_borders(df, columns, bits)):
+        share = _share_of(F.col(c), borders, df.schema[c].dataType)
+        shares.append(F.when(F.col(c).isNull(), 0).otherwise(share).cast("long"))
+    keyed = with_computed(df, name, F.array(*shares))
+    key = F.lit(0).cast("long")
+    for i in range(len(columns)):
+        share = F.get(name, F.lit(i))
+        for bit in range(bits):
+            one = F.shiftright(share, bit).bitwiseAND(F.lit(1).cast("long"))
+            key = key.bitwiseOR(F.shiftleft(one, bit * len(columns) + len(columns) - 1 - i))
+    return keyed.withColumn(name, key)
+
+
+def clustered_by(
+    df: DataFrame,
+    columns: Sequence[str],
+    spread: Sequence[str],
+    files: int | None = None,
+    target_bytes: int = CLUSTER_BYTES,
+    bits: int = CLUSTER_BITS,
+) -> DataFrame:
+    """Cluster rows by several columns at once, so that a reader can skip files by each.
+
+    Files follow a curve through the columns' quantiles.  ``spread`` tells rows apart
+    that are equal in them, so a value with very many rows becomes several files.
+    Without ``files`` there are as many as the rows' size asks for.
+    """
+    if files is None:
+        files = max(1, -(-held_bytes(df) // target_bytes))
+    keyed = with_curve(df, columns, "_curve", bits)
+    placed = keyed.repartitionByRange(files, "_curve", *spread)
+    return placed.sortWithinPartitions("_curve", *spread).drop("_curve")
+
+
 def with_file_key(
     files: DataFrame, key: str = "ticker", pattern: str = fixed.FILE_KEY
 ) -> DataFrame:

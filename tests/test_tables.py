@@ -185,3 +185,43 @@ def test_moving_an_external_table_keeps_its_partitions(spark, schema, numbers):
     assert spark.table(f"{schema}.new").select("part", "id").exceptAll(numbers).count() == 0
     assert spark.table(f"{schema}.new").count() == 100
     tables.register_files(spark, f"{schema}.new", path)
+
+
+def _files_that_may_hold(spark, path, column, value):
+    """Files whose least and greatest value admit ``value``."""
+    name = F.input_file_name().alias("file")
+    ranges = spark.read.parquet(path).select(name, column).groupBy("file")
+    ranges = ranges.agg(F.min(column).alias("low"), F.max(column).alias("high"))
+    return ranges.filter((F.col("low") <= F.lit(value)) & (F.col("high") >= F.lit(value))).count()
+
+
+def test_a_reader_skips_files_by_each_of_several_columns(spark):
+    rows = spark.range(0, 40000, 1, 4).select(
+        "id",
+        (F.col("id") * 7919 % 1000).alias("number"),
+        F.concat(F.lit("key-"), F.lpad((F.col("id") * 104729 % 997).cast("string"), 4, "0")).alias("ticker"),
+        F.timestamp_seconds(F.col("id") * 15485863 % 100000).cast("timestamp_ntz").alias("day"),
+    )
+    rows = rows.withColumn("number", F.when(F.col("id") % 50 != 0, F.col("number")))
+    several, one = fresh_path(spark, "several"), fresh_path(spark, "one")
+    files.replace_path(files.clustered_by(rows, ["number", "ticker"], ["id"], files=64), several)
+    files.replace_path(files.clustered(rows, "number", ["id"], files=64), one)
+    assert sorted(spark.read.parquet(several).collect()) == sorted(rows.collect())
+    for column, value in (("number", 500), ("number", 3), ("ticker", "key-0500"), ("ticker", "key-0003")):
+        assert _files_that_may_hold(spark, several, column, value) <= 20
+    assert _files_that_may_hold(spark, one, "ticker", "key-0500") > 55
+    third = fresh_path(spark, "third")
+    files.replace_path(files.clustered_by(rows, ["day", "ticker", "number"], ["id"], files=64), third)
+    day = rows.agg(F.expr("percentile_approx(id, 0.5)")).first()[0]
+    value = rows.filter(F.col("id") == day).first()["day"]
+    assert _files_that_may_hold(spark, third, "day", value) <= 32
+
+
+def test_clustering_of_odd_tables(spark):
+    same = spark.range(5000).select("id", F.lit("x").alias("a"), F.lit(None).cast("int").alias("b"))
+    placed = files.clustered_by(same, ["a", "b"], ["id"], files=8)
+    sizes = placed.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 1 and placed.count() == 5000  # one value, several files
+    assert files.clustered_by(same.limit(0), ["a", "b"], ["id"]).count() == 0
+    with pytest.raises(ValueError):
+        files.clustered_by(same, ["a"] * 8, ["id"], files=2)

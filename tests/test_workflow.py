@@ -33,7 +33,7 @@ def test_whole_workflow(spark, folder, schema):
     assert statements.count() > 0
     assert statements.filter(F.length("statement") < 100).count() == 0
 
-    workflow.train(spark, schema, model, max_iterations=3)
+    workflow.train(spark, schema, model, passes=3)
     talk = workflow.build_disclosure_scores(spark, schema, model, min_probability=0.3)
     assert talk.filter("score <= 0 or score > 100").count() == 0
     chosen = spark.table(f"{schema}.{workflow.INITIATIVES}")
