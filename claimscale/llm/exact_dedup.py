@@ -21,6 +21,7 @@ from claimscale.session import shuffle_width
 from claimscale.sources.staging import stage
 
 TABLE_BYTES = 48 << 20
+ENTRY_BYTES = 100  # of a table, besides the content
 MAX_LEVELS = 60
 
 _SPILL = (
@@ -57,7 +58,7 @@ class ContentTable:
         entry = len(self.hashes)
         self.hashes.append(h)
         self.contents.append(content)
-        self.bytes += len(content) + 100
+        self.bytes += len(content) + ENTRY_BYTES
         self._place(h, entry)
         return entry
 
@@ -151,6 +152,11 @@ def _bucket(table_bytes: int):
     return run
 
 
+def bucket_count(n_bytes: int, table_bytes: int, width: int) -> int:
+    """Buckets whose share of all contents fills half a table, a shuffle's width at least."""
+    return max(width, -(-2 * n_bytes // table_bytes))
+
+
 def exact_groups(
     docs: DataFrame,
     key: str = "doc_id",
@@ -186,6 +192,7 @@ def exact_groups(
         F.xxhash64(content).alias("h"),
         content.cast("binary").alias("content"),
     ).mapInArrow(_collapse(table_bytes), _SPILL)
+    n_bytes = docs.agg(F.coalesce(F.sum(F.octet_length(content) + ENTRY_BYTES), F.lit(0))).first()[0]
     placed = None
     for level in range(MAX_LEVELS):
         # Contents go to their bucket; rows without one have met an equal already
@@ -195,7 +202,7 @@ def exact_groups(
         ).otherwise(F.xxhash64("row_key", "nth", "part"))
         found = stage(
             records.withColumn("place", place)
-            .repartition(shuffle_width(spark) << min(level, 6), "place")
+            .repartition(bucket_count(n_bytes, table_bytes, shuffle_width(spark)), "place")
             .drop("place")
             .mapInArrow(_bucket(table_bytes), _SPILL),
             "grace",
@@ -203,7 +210,8 @@ def exact_groups(
         done = found.filter("content is null").drop("content")
         placed = done if placed is None else placed.unionByName(done)
         records = found.filter("content is not null")
-        if records.isEmpty():
+        left, n_bytes = records.agg(F.count(F.lit(1)), F.sum(F.octet_length("content") + ENTRY_BYTES)).first()
+        if not left:
             break
     else:
         raise RuntimeError(f"buckets still overflow after {MAX_LEVELS} levels")
@@ -245,4 +253,4 @@ def drop_exact_copies(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFr
     docs, row = row_key(docs)
     groups = exact_groups(docs, row_id=F.col(row), table_bytes=table_bytes)
     kept = groups.filter("kept").select(F.col("row_id").alias(row))
-    return docs.join(kept, row, "left_semi").select(*columns)
+    return docs.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in columns])
