@@ -17,7 +17,6 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 _MULTIPLIER = np.uint64(0xD6E8FEB86659FD93)
-_BASE = 0x9E3779B97F4A7C15
 _SHIFT = np.uint64(32)
 
 
@@ -84,24 +83,30 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return starts, np.flatnonzero(ends) + 1, np.searchsorted(starts, offsets)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1), modulo 2 ** 64."""
-    out = np.ones(max(n, 1), np.uint64)
-    out[1:] = np.uint64(base)
-    return np.multiply.accumulate(out)
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # masks of the first bytes
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def word_hashes(
     data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0
 ) -> np.ndarray:
-    """A 64-bit hash of each word: a polynomial in its bytes, then mixed."""
+    """A 64-bit hash of each word; other seeds give independent ones.
+
+    Each eight bytes are mixed together with their place before they are summed up, so
+    no arrangement of equal parts makes different words alike.
+    """
     if not len(starts):
         return np.zeros(0, np.uint64)
-    base = (_BASE + 2 * seed * 0x5851F42D4C957F2D) % (1 << 64) | 1
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(
-        (data.astype(np.uint64) + np.uint64(1)) * _powers(base, len(data)), out=sums[1:]
-    )
-    unshift = _powers(pow(base, -1, 1 << 64), len(data))
-    h = (sums[ends] - sums[starts]) * unshift[starts]
-    return mixed(h + (ends - starts).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D))
+    sizes = ends - starts
+    pieces = np.maximum((sizes + 7) >> 3, 1)
+    first = np.cumsum(pieces) - pieces
+    place = np.arange(int(pieces.sum())) - np.repeat(first, pieces)
+    at = np.repeat(starts, pieces) + 8 * place
+    left = np.minimum(np.repeat(sizes, pieces) - 8 * place, 8)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)]).tobytes()
+    loads = np.ndarray((len(data) + 1,), np.dtype("<u8"), padded, 0, (1,))
+    value = loads[at] & _FIRST[left]
+    salt = np.uint64(seed * 0x5851F42D4C957F2D % (1 << 64))
+    value += (place + 1).astype(np.uint64) * _STEP + salt
+    sums = np.add.reduceat(mixed(value), first)
+    return mixed(sums ^ mixed(sizes.astype(np.uint64) + salt))

@@ -222,4 +222,4 @@ def mix(
     found = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
     first = F.array_join(F.slice(found, F.lit(1), F.col(words).cast("int")), " ")
     text = F.when(F.col(words).isNull(), F.col("text")).otherwise(first)
-    return taken.withColumn("text", text).select(*columns)
+    return taken.withColumn("text", text).select(*[F.col(f"`{c}`") for c in columns])

@@ -42,7 +42,9 @@ def _permutations(seed: int, shifts: int) -> tuple[np.ndarray, np.ndarray]:
     return scatter, np.lib.stride_tricks.sliding_window_view(ring, shifts)
 
 
-def shingle_hashes(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[np.ndarray]:
+def shingle_hashes(
+    data: np.ndarray, offsets: np.ndarray, size: int, seed: int = 0
+) -> Iterator[np.ndarray]:
     """For each text the distinct 64-bit hashes of its shingles of ``size`` words.
 
     Words are lower-cased in A-Z.  A text with fewer words is one shingle, one
@@ -50,7 +52,7 @@ def shingle_hashes(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator
     """
     data = lower_ascii(data)
     starts, ends, first = words(data, offsets)
-    h = word_hashes(data, starts, ends)
+    h = word_hashes(data, starts, ends, seed)
     joined = h.copy()
     for i in range(1, size):
         joined[:-i] = mixed(joined[:-i] * np.uint64(0x9FB21C651E98DF25) + h[i:])
@@ -92,7 +94,9 @@ def _sign(size: int, bands: int, rows: int, seed: int):
                 keys = mixed(keys * np.uint64(0x9FB21C651E98DF25) + signed[:, r::rows])
             counts = np.array([len(s) for s in sets])
             a = np.array([np.add.reduce(s, dtype=np.uint64) for s in sets], np.uint64)
-            b = np.array([np.bitwise_xor.reduce(mixed(s.copy())) for s in sets], np.uint64)
+            # Other hashes of the same shingles: both together tell sets apart by 128 bits.
+            again = shingle_hashes(data, offsets, size, seed=1)
+            b = np.array([np.bitwise_xor.reduce(mixed(s)) for s in again], np.uint64)
             lists = pa.ListArray.from_arrays(
                 pa.array(np.arange(0, keys.size + 1, bands), pa.int32()),
                 pa.array(keys.ravel().view(np.int64)),
@@ -389,4 +393,4 @@ def drop_near_copies(docs: DataFrame, size: int = 5, **options) -> DataFrame:
     docs, row = row_key(docs)
     groups = near_groups(docs, key=row, size=size, **options)
     kept = groups.filter("kept").select(F.col("doc_id").alias(row))
-    return docs.join(kept, row, "left_semi").select(*columns)
+    return docs.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in columns])

@@ -41,6 +41,8 @@ _SEGMENTS = "anchor long, seg long, doc long, first int, last int"
 _CONTENTS = "anchor long, seg long, doc long, members long, content binary"
 _FOUND = "anchor long, seg long, starts array<int>, ends array<int>"
 
+_OTHER = np.uint64(0x2545F4914F6CDD1D)
+
 # Turns bytes and offsets of texts into unit hashes and offsets of units.
 Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
@@ -86,6 +88,8 @@ def segments(units: np.ndarray, offsets: np.ndarray, window: int, gram: int) ->
     head[1:] = (found[1:] != found[:-1]) | (text[1:] != text[:-1])
     head = np.flatnonzero(head)
     first, last = at[head], at[np.append(head[1:], len(at)) - 1] if len(at) else at
+    # The content's hash is of other units than the anchor's: both together are 128 bits.
+    np.cumsum(mixed(units ^ _OTHER) * powers[:n], out=sums[1:])
     content = mixed((sums[last + window] - sums[first]) * back[first])
     content += (last - first).astype(np.uint64)
     place = _PLACE - (found[head] & _PLACE)
