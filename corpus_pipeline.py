@@ -37,6 +37,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it; cut texts get their own length."""
     ship(spark)
     mixed = mixing.mix(docs)
+    if "n_chars" not in mixed.columns:
+        return mixed
     return mixed.withColumn("n_chars", F.least("n_chars", F.length("text").cast("long")))
 
 
