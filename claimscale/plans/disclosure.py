@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimscale import fixed
-from claimscale.functions.text import explode_statements
+from claimscale.functions.text import explode_statements, split_sentences
 from claimscale.functions.topics import Labels
 from claimscale.operators.aggregates import topic_mass
 from claimscale.operators.joins import lookup_join
@@ -21,8 +21,9 @@ def clean_statements(
     text: str = "pdf_content",
     keep: Sequence[str] = ("ticker", "organisation"),
     min_chars: int = fixed.MIN_STATEMENT_CHARS,
+    split: Callable[[Column], Column] = split_sentences,
 ) -> DataFrame:
-    return explode_statements(documents, text, keep, min_chars)
+    return explode_statements(documents, text, keep, min_chars, split)
 
 
 def topic_statements(model: Model, statements: DataFrame) -> DataFrame:

@@ -6,12 +6,20 @@ it also cuts the lineage.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from claimscale import fixed
+from claimscale.functions import sentences
+from claimscale.functions.text import explode_clean_paragraphs, split_sentences
 from claimscale.functions.topics import Labels
 from claimscale.operators import bayes_topics, topic_model
+from claimscale.operators.joins import held_bytes
 from claimscale.plans import compare, disclosure, news
+from claimscale.session import INITIAL_PARTITIONS, size_shuffles
 from claimscale.sources.files import clustered, spread, topic_dimension
 from claimscale.sources.staging import stage
 from claimscale.sources.tables import replace_table
@@ -29,6 +37,25 @@ WALK = "news_scores"
 STATEMENT_ID = ("ticker", "paragraph_no", "sentence_no")
 
 
+@contextmanager
+def sized_shuffles(*inputs: DataFrame) -> Iterator[int]:
+    """Shuffles wide enough for what the inputs hold, while the block runs.
+
+    Their sizes are measured by one aggregate each; afterwards the session has its own
+    width again.
+    """
+    spark = inputs[0].sparkSession
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    width = size_shuffles(spark, sum(held_bytes(df) for df in inputs))
+    try:
+        yield width
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL_PARTITIONS)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS, before)
+
+
 def ingest_documents(
     spark: SparkSession,
     path: str,
@@ -50,11 +77,24 @@ def ingest_documents(
 
 
 def build_statements(
-    spark: SparkSession, schema: str, min_chars: int = fixed.MIN_STATEMENT_CHARS
+    spark: SparkSession,
+    schema: str,
+    min_chars: int = fixed.MIN_STATEMENT_CHARS,
+    learned: bool = False,
 ) -> DataFrame:
-    raw = spread(spark.table(f"{schema}.{RAW}"))
-    cleaned = disclosure.clean_statements(raw, min_chars=min_chars)
-    replace_table(cleaned, f"{schema}.{STATEMENTS}")
+    """Clean statements of the raw documents.
+
+    Sentences end by the fixed rule, or, if ``learned``, by what the documents themselves
+    say about abbreviations and sentence openings.
+    """
+    table = spark.table(f"{schema}.{RAW}")
+    with sized_shuffles(table.select("pdf_content")):
+        raw, split = spread(table), split_sentences
+        if learned:
+            known = sentences.train(stage(explode_clean_paragraphs(raw, "pdf_content", []), "paragraphs"))
+            split = partial(sentences.split_learned, known=known)
+        cleaned = disclosure.clean_statements(raw, min_chars=min_chars, split=split)
+        replace_table(cleaned, f"{schema}.{STATEMENTS}")
     return spark.table(f"{schema}.{STATEMENTS}")
 
 
@@ -69,12 +109,11 @@ def train(
 
     Every statement counts in every pass, and no matrix is held by the driver.
     """
-    model = bayes_topics.fit(
-        spark.table(f"{schema}.{STATEMENTS}"),
-        order=STATEMENT_ID,
-        topics=len(labels),
-        **options,
-    )
+    statements = spark.table(f"{schema}.{STATEMENTS}")
+    with sized_shuffles(statements):
+        model = bayes_topics.fit(
+            statements, order=STATEMENT_ID, topics=len(labels), path=model_path, **options
+        )
     topic_model.save_model(model, model_path, labels)
     return model
 
@@ -107,9 +146,10 @@ def build_disclosure_scores(
 ) -> DataFrame:
     """Score statements, choose initiatives and rank the organisations."""
     model, labels = _model_with_labels(model_path)
-    statements = spread(spark.table(f"{schema}.{STATEMENTS}"))
-    scored = disclosure.topic_statements(model, statements)
-    replace_table(scored, f"{schema}.{SCORED}")
+    statements = spark.table(f"{schema}.{STATEMENTS}")
+    with sized_shuffles(statements):
+        scored = disclosure.topic_statements(model, spread(statements))
+        replace_table(scored, f"{schema}.{SCORED}")
     chosen = disclosure.initiatives(
         spark.table(f"{schema}.{SCORED}"),
         topic_dimension(spark, labels),
@@ -131,8 +171,9 @@ def build_news_scores(
 ) -> DataFrame:
     """Classify articles with the model of the disclosures and rank by tone."""
     model, labels = _model_with_labels(model_path)
-    classified = news.classify_news(model, articles, labels)
-    replace_table(classified, f"{schema}.{NEWS_TOPICS}")
+    with sized_shuffles(articles):
+        classified = news.classify_news(model, articles, labels)
+        replace_table(classified, f"{schema}.{NEWS_TOPICS}")
     scores = news.news_scores(spark.table(f"{schema}.{NEWS_TOPICS}"), labels)
     replace_table(scores, f"{schema}.{WALK}")
     return spark.table(f"{schema}.{WALK}")

@@ -130,14 +130,14 @@ def value_borders(df: DataFrame, columns: Sequence[str], bits: int = CLUSTER_BIT
     seen = df.select(*columns)
     seen = seen.sample(fraction, seed=1) if fraction < 1 else seen
     shares = 1 << bits
+    held = seen.agg(*[F.array_sort(F.collect_list(c)).alias(f"b{n}") for n, c in enumerate(columns)])
     picked = [
         F.expr(
-            f"transform(sequence(1, {shares - 1}), "
-            f"i -> get(array_sort(collect_list(`{c}`)), CAST(i * count(`{c}`) DIV {shares} AS INT)))"
-        ).alias(f"b{n}")
-        for n, c in enumerate(columns)
+            f"transform(sequence(1, {shares - 1}), i -> get(b{n}, CAST(i * size(b{n}) DIV {shares} AS INT)))"
+        )
+        for n in range(len(columns))
     ]
-    found = seen.agg(*picked).first()
+    found = held.select(*picked).first()
     return [sorted({v for v in found[i] or [] if v is not None}) for i in range(len(columns))]
 
 

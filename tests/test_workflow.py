@@ -33,6 +33,10 @@ def test_whole_workflow(spark, folder, schema):
     assert statements.count() > 0
     assert statements.filter(F.length("statement") < 100).count() == 0
 
+    fixed_rule = statements.count()
+    learned = workflow.build_statements(spark, schema, min_chars=100, learned=True)
+    assert 0 < learned.count() and abs(learned.count() - fixed_rule) < fixed_rule / 2
+
     workflow.train(spark, schema, model, passes=3)
     talk = workflow.build_disclosure_scores(spark, schema, model, min_probability=0.3)
     assert talk.filter("score <= 0 or score > 100").count() == 0
@@ -85,3 +89,11 @@ def test_prepared_news(spark):
     assert a == [(i, 150 - i) for i in range(1, 100)]
     assert [(r["date"], r["tone"], r["rank"]) for r in got if r["ticker"] == "B"] == [(5, 1.5, 1)]
     assert {r["ticker"] for r in got} == {"A", "B"}
+
+
+def test_shuffles_are_sized_while_a_step_runs(spark):
+    before = spark.conf.get(workflow.INITIAL_PARTITIONS, None)
+    rows = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("text"))
+    with workflow.sized_shuffles(rows) as width:
+        assert width == 8 and spark.conf.get(workflow.INITIAL_PARTITIONS) == "8"
+    assert spark.conf.get(workflow.INITIAL_PARTITIONS, None) == before
