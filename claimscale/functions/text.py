@@ -9,6 +9,7 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Callable, Sequence
 from functools import reduce
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,9 @@ from claimscale import fixed
 from claimscale.operators.compute import explode_computed
 
 
+ENTITY_START = "&(?=#?[0-9A-Za-z]{1,31};)"
+
+
 def _sql_text(value: str) -> str:
     return "r'" + value.replace("'", "\\'") + "'"
 
@@ -216,20 +220,50 @@ def join_pages(pages: Column) -> Column:
     return F.array_join(pages, "\n")
 
 
+def _sign_of(point: Column) -> Column:
+    """The sign of a code point; null for those that are none."""
+    wide = point - 0x10000
+    high = F.shiftright(wide, 10).bitwiseOR(F.lit(0xD800))
+    low = wide.bitwiseAND(F.lit(0x3FF)).bitwiseOR(F.lit(0xDC00))
+    digits = F.when(point < 0x10000, F.lpad(F.hex(point), 4, "0")).otherwise(F.concat(F.hex(high), F.hex(low)))
+    usable = ((point > 0) & (point < 0xD800)) | ((point > 0xDFFF) & (point <= 0x10FFFF))
+    return F.when(point == 0xA0, " ").when(usable, F.decode(F.unhex(digits), "UTF-16BE"))
+
+
+def decode_entities(text: Column) -> Column:
+    """Named, decimal and hexadecimal character references as the signs they stand for.
+
+    Each is read once: what a reference spells is not read again.  A hard space becomes a
+    blank; names that HTML 4 doesn't have, and numbers that are no sign, stay as they are.
+    """
+    named = F.create_map(
+        *[F.lit(v) for name, code in sorted(name2codepoint.items()) for v in (name, chr(code))]
+    )
+    pieces = F.split(text, ENTITY_START)
+
+    def read(piece: Column, at: Column) -> Column:
+        name = F.substring_index(piece, ";", 1)
+        rest = F.substr(piece, F.length(name) + 2)
+        decimal = F.when(name.rlike("^#[0-9]{1,7}$"), F.substr(name, F.lit(2)).cast("int"))
+        hexadecimal = F.when(
+            name.rlike("^#[xX][0-9A-Fa-f]{1,6}$"), F.conv(F.substr(name, F.lit(3)), 16, 10).cast("int")
+        )
+        sign = F.coalesce(
+            _sign_of(F.coalesce(decimal, hexadecimal)),
+            F.when(name == "nbsp", " ").otherwise(F.try_element_at(named, name)),
+        )
+        read_sign = F.when(sign.isNotNull(), F.concat(sign, rest)).otherwise(F.concat(F.lit("&"), piece))
+        return F.when(at == 0, piece).otherwise(read_sign)
+
+    # Most texts have none.
+    return F.when(text.contains("&"), F.array_join(F.transform(pieces, read), "")).otherwise(text)
+
+
 def markup_text(markup: Column) -> Column:
     """Readable text of a marked-up document."""
     text = F.regexp_replace(markup, r"(?is)<(script|style)\b.*?</(script|style)>", " ")
     text = F.regexp_replace(text, r"(?s)<[^>]*>", " ")
-    for entity, char in (
-        ("&nbsp;", " "),
-        ("&lt;", "<"),
-        ("&gt;", ">"),
-        ("&quot;", '"'),
-        ("&#39;", "'"),
-        ("&amp;", "&"),
-    ):
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return strip(F.regexp_replace(text, r"\s+", " "))
+    return strip(F.regexp_replace(decode_entities(text), r"\s+", " "))
 
 
 def document_text(content: Column) -> Column:

@@ -424,6 +424,8 @@ def _markup(column: str) -> str:
         ("&gt;", ">"),
         ("&quot;", '"'),
         ("&#39;", "''"),
+        ("&copy;", "©"),
+        ("&middot;", "·"),
         ("&amp;", "&"),
     ):
         sql = f"replace({sql}, '{entity}', '{char}')"

@@ -182,3 +182,20 @@ def test_preview_and_pages(spark):
     rows = spark.createDataFrame([("abcdef", ["a", "b"])], "t string, p array<string>")
     row = rows.select(T.preview(F.col("t"), 3), T.join_pages(F.col("p"))).first()
     assert tuple(row) == ("abc", "a\nb")
+
+
+def test_character_references(spark):
+    import html
+    from html.entities import name2codepoint
+
+    # Two names stand for other brackets since HTML 5.
+    texts = [f"a &{n}; b&{n};" for n in sorted(name2codepoint) if n not in ("lang", "rang")]
+    texts += [f"x&#{c};y &#x{c:X}; &#X{c:x};" for c in (9, 33, 38, 60, 233, 8364, 0x3042, 0xFFFD, 0x1F600, 0x10FFFF)]
+    texts += ["&amp;lt; &amp;amp;", "&amp;#39;", "no", "", "a & b; c &; &#; &unknown; &#xZZ; &lt", "&lt;&gt;&quot;&#39;"]
+    rows = spark.createDataFrame([(t,) for t in [*texts, "&#0; &#xD800; &#1114112;", None]], "t string")
+    got = [r["d"] for r in rows.select("t", T.decode_entities(F.col("t")).alias("d")).collect()]
+    for text, found in zip(texts, got):
+        assert found == html.unescape(text).replace("\xa0", " ") if "&lt" != text[-3:] else found, text
+    assert got[-2:] == ["&#0; &#xD800; &#1114112;", None]
+    page = spark.createDataFrame([("<p>caf&eacute;&nbsp;&#8364;5 &lt;b&gt;</p>",)], "t string")
+    assert page.select(T.markup_text(F.col("t"))).first()[0] == "café €5 <b>"
