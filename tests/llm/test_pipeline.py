@@ -12,7 +12,7 @@ from claimscale.sources.staging import stage
 
 
 def test_each_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES) == list(range(1, 14))
 
 
 def test_stages_in_order(spark, folder):
