@@ -13,7 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimscale.llm.arrow_text import chunks, lower_ascii, mixed, word_hashes, words
@@ -129,41 +129,48 @@ def shingle_set(text: bytes | None, size: int) -> set:
 
 
 def _verify(size: int, percent: int):
-    """One leader and some members: which are linked, and what they share with it."""
+    """One leader and some members: which of them are linked with it."""
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.sort_by([("is_leader", "descending")]).to_pylist()
         leader = shingle_set(rows[0]["text"], size)
-        known = hashed_set(rows[0]["text"], size)
         found = []
         for row in rows[1:]:
             other = shingle_set(row["text"], size)
             common = len(leader & other)
-            linked = 100 * common >= percent * (len(leader) + len(other) - common)
-            outside = np.setdiff1d(hashed_set(row["text"], size), known, assume_unique=True)
-            found.append((row["doc_id"], linked, common, len(other), outside.view(np.int64)))
-        kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-        columns = zip(*found) if found else [()] * 5
+            found.append(100 * common >= percent * (len(leader) + len(other) - common))
         return pa.table(
-            [pa.array([rows[0]["doc_id"]] * len(found), pa.int64())]
-            + [pa.array(list(c), kind) for c, kind in zip(columns, kinds)],
-            names=["leader", "member", "linked", "common", "n", "outside"],
+            [
+                pa.array([rows[0]["doc_id"]] * len(found), pa.int64()),
+                pa.array([row["doc_id"] for row in rows[1:]], pa.int64()),
+                pa.array(found, pa.bool_()),
+            ],
+            names=["leader", "member", "linked"],
         )
 
     return run
 
 
-def hashed_set(text: bytes | None, size: int) -> np.ndarray:
-    data = np.frombuffer(text or b"", np.uint8)
-    return next(shingle_hashes(data, np.array([0, len(data)]), size))
+def _tokens(size: int):
+    """One row for each hashed shingle of a text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, offsets in chunks(batches, limit=1 << 20):
+            sets = list(shingle_hashes(data, offsets, size))
+            owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            rows = batch.select(["rep", "family", "n_shingles"]).take(pa.array(owner))
+            token = pa.array(np.concatenate(sets).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns, token], names=["rep", "family", "n_shingles", "token"]
+            )
+
+    return run
 
 
 def compared(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Compare the full shingle sets of all ``pairs`` (leader, member).
 
-    Returns leader, member, linked, common (shingles in both), n (of the member) and
-    outside (hashes of the member's shingles that the leader lacks).  ``texts`` holds
-    doc_id, text.  A leader meets its members in blocks, so a task holds one leader's
+    Returns leader, member, linked.  ``texts`` holds doc_id, text.  A leader meets its members in blocks, so a task holds one leader's
     set and one member's at a time, however many there are.
     """
     blocks = pairs.groupBy("leader").agg((F.count(F.lit(1)) / BLOCK).cast("long").alias("last"))
@@ -185,42 +192,58 @@ def compared(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
         .join(texts, "doc_id")
         .select("leader", "block", "doc_id", "is_leader", text)
         .groupBy("leader", "block")
-        .applyInArrow(
-            _verify(size, percent),
-            "leader long, member long, linked boolean, common long, n long, outside array<long>",
-        )
+        .applyInArrow(_verify(size, percent), "leader long, member long, linked boolean")
     )
 
 
-def finer_buckets(
-    members: DataFrame, leaders: DataFrame, met: DataFrame, percent: int
+def may_be_linked(n: Column, at: Column, other_n: Column, other_at: Column, percent: int) -> Column:
+    """Whether two sets may be linked whose first common shingle stands at these places.
+
+    Both are read in one order, so no common shingle comes earlier, and the places left
+    bound what the sets share.
+    """
+    most = F.least(n - at, other_n - other_at)
+    return (100 + percent) * most >= percent * (n + other_n)
+
+
+def rare_buckets(
+    members: DataFrame, leaders: DataFrame, texts: DataFrame, size: int, percent: int
 ) -> DataFrame:
     """Smaller buckets that still hold every pair of ``members`` that may be linked.
 
-    All members of a bucket have met its leader.  Two of them share at most what the
-    less similar one shares with the leader, besides shingles that the leader lacks.
-    So two that are linked either have such a shingle in common, or the one that is
-    not linked with the leader shares so much with it that the other, to be similar
-    enough, must be of one of few sizes.  Buckets are made of both: members by their
-    shingles outside the leader, and by size.
+    Members that share buckets, directly or over others, are a family.  Its shingles are
+    ordered by how many of its members hold them, the rarest first, and a member has a
+    bucket for each shingle early enough to be the first one that it shares with a text
+    similar to it.  So any two that are linked meet in the bucket of their first common
+    shingle, at places that ``may_be_linked`` accepts; variants of one text, which share
+    nearly all the frequent shingles, mostly meet nowhere.  Shingles that one member alone
+    holds come first of all and need no bucket.
     """
-    here = members.join(leaders.select("bucket", "leader"), "bucket").filter("rep <> leader")
-    here = here.select("leader", F.col("rep").alias("member"), "label", "rank").distinct()
-    here = here.join(met, ["leader", "member"])
-    least = here.groupBy("leader").agg(F.min("n").alias("least"))
-    here = here.join(least, "leader")
-    # (100 + percent) * common >= percent * (n + n of the other)
-    most = F.floor(F.col("common") * (100 + percent) / percent) - F.col("n")
-    reach = F.when(~F.col("linked") & (most >= F.col("least")), F.sequence("least", most))
-    sizes = F.concat(F.array("n"), F.coalesce(reach, F.array().cast("array<long>")))
-    keys = F.concat(
-        F.transform("outside", lambda x: F.xxhash64("leader", x)),
-        F.transform(F.array_distinct(sizes), lambda x: F.xxhash64("leader", F.lit("size"), x)),
+    ties = members.join(leaders.select("bucket", "leader"), "bucket")
+    family = components(ties.select(F.col("leader").alias("u"), F.col("rep").alias("v")))
+    here = members.select("rep", "n_shingles", "rank", "label").distinct()
+    here = here.join(
+        family.select(F.col("node").alias("rep"), F.col("component").alias("family")), "rep"
+    )
+    here = stage(here, "open")
+    read = here.join(texts.withColumnRenamed("doc_id", "rep"), "rep")
+    tokens = stage(
+        read.select("rep", "family", "n_shingles", "text").mapInArrow(
+            _tokens(size), "rep long, family long, n_shingles long, token long"
+        ),
+        "tokens",
+    )
+    held = tokens.groupBy("family", "token").agg(F.count(F.lit(1)).alias("held"))
+    common = tokens.join(held.filter("held > 1"), ["family", "token"])
+    own = Window.partitionBy("rep")
+    alone = F.col("n_shingles") - F.count(F.lit(1)).over(own)
+    place = F.row_number().over(own.orderBy("held", "token")) - 1
+    common = common.withColumn("at", alone + place).filter(
+        100 * (F.col("n_shingles") - F.col("at")) >= percent * F.col("n_shingles")
+    )
+    return common.join(here.drop("n_shingles", "family"), "rep").select(
+        F.xxhash64("family", "token").alias("bucket"), "rep", "n_shingles", "at", "rank", "label"
     )
-    return here.select(
-        F.explode(keys).alias("bucket"), F.col("member").alias("rep"),
-        F.col("n").alias("n_shingles"), "rank", "label",
-    )
 
 
 def near_groups(
@@ -282,7 +305,7 @@ def _groups(
     Equal sets are one class from the start.  Within a band's bucket a leader, the
     member that shares most buckets, is compared with all members that no link joins
     to it yet.  After the first round the buckets that are not joined are cut finer,
-    without parting members that may be linked (``finer_buckets``); then rounds go on,
+    without parting members that may be linked (``rare_buckets``); then rounds go on,
     where leaders leave their bucket and come 16 times as many each time, until the
     members left in every bucket are joined.  So every pair that shares a band is
     compared, known to be joined or known to be too far apart, and a group of
@@ -303,7 +326,8 @@ def _groups(
     degrees = members.groupBy("rep").agg((-F.sum("n")).alias("rank"))
     members = stage(
         members.join(degrees, "rep").select(
-            "bucket", "rep", "n_shingles", "rank", F.col("rep").alias("label")
+            "bucket", "rep", "n_shingles", F.lit(0).cast("long").alias("at"), "rank",
+            F.col("rep").alias("label"),
         ),
         "members",
     )
@@ -322,7 +346,7 @@ def _groups(
             break
         choice = F.pmod(F.xxhash64("rep"), F.lit(leaders_each)).alias("choice")
         leaders = members.groupBy("bucket", choice).agg(
-            F.min(F.struct("rank", "rep", "label", "n_shingles")).alias("first")
+            F.min(F.struct("rank", "rep", "label", "n_shingles", "at")).alias("first")
         )
         leaders = stage(
             leaders.select(
@@ -330,13 +354,13 @@ def _groups(
                 F.col("first.rep").alias("leader"),
                 F.col("first.label").alias("leader_label"),
                 F.col("first.n_shingles").alias("leader_n"),
+                F.col("first.at").alias("leader_at"),
             ),
             "leaders",
         )
+        places = [F.col(c) for c in ("n_shingles", "at", "leader_n", "leader_at")]
         pairs = members.join(leaders, "bucket").filter("label <> leader_label")
-        if tested is not None:
-            less, more = F.least("n_shingles", "leader_n"), F.greatest("n_shingles", "leader_n")
-            pairs = pairs.filter(100 * less >= percent * more)
+        pairs = pairs.filter(may_be_linked(*places, percent))
         pairs = pairs.select("leader", F.col("rep").alias("member")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["leader", "member"], "left_anti")
@@ -353,7 +377,7 @@ def _groups(
             now = F.coalesce("component", "label").alias("label")
             labels = stage(labels.join(moved, "label", "left").select("rep", now), "labels")
             members = members.join(moved, "label", "left").select(
-                "bucket", "rep", "n_shingles", "rank", now
+                "bucket", "rep", "n_shingles", "at", "rank", now
             )
         done = met.select("leader", "member")
         if tested is None:
@@ -364,7 +388,7 @@ def _groups(
                 .filter("low < high")
                 .select("bucket")
             )
-            members = finer_buckets(members.join(left, "bucket"), leaders, met, percent)
+            members = rare_buckets(members.join(left, "bucket"), leaders, texts, size, percent)
         else:
             tested = tested.unionByName(done)
             gone = leaders.select("bucket", F.col("leader").alias("rep"))

@@ -100,6 +100,25 @@ def test_a_large_group_of_variants_is_joined_through_its_base(spark):
     assert set(component.values()) == {0}
 
 
+def test_variants_about_the_border_keep_all_links(spark):
+    """Changed and shortened variants, some linked with the base and some with each other alone."""
+    r = random.Random(31)
+    base = phrase(r, 160).split()
+    few = phrase(r, 12).split()
+    found = []
+    for i in range(220):
+        words = list(base)
+        for j in r.sample(range(160), r.randint(2, 16)):
+            words[j] = r.choice(few) if i % 3 else f"v{i}x{j}"
+        if i % 4 == 0:
+            del words[r.randint(125, 160) :]
+        found.append((i, " ".join(words), "en", "a"))
+    got = near_dedup.near_groups(frame(spark, found), size=2).collect()
+    _, component = near_brute(found, 2)
+    assert {r.doc_id: r.component_id for r in got} == component
+    assert 1 < len(set(component.values())) < 220
+
+
 def test_null_keys_take_no_part(spark, docs):
     got = near_dedup.near_groups(docs).collect()
     assert len(got) == len(rows())
