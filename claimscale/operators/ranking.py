@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimscale.operators.joins import BROADCAST_BYTES, held_bytes
@@ -15,6 +15,11 @@ ONE_TASK_ROWS = 1_000_000
 GROUP_LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
+def group_limit(spark: SparkSession) -> int:
+    """The most rows per key that Spark cuts to before a shuffle."""
+    return int(spark.conf.get(GROUP_LIMIT_SETTING, "1000"))
+
+
 def top_per_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -29,8 +34,7 @@ def top_per_key(
     of the table still sends only ``n`` rows per map task.  It does so up to a
     configured ``n``; above it the ranking is done by ranges instead.
     """
-    limit = int(df.sparkSession.conf.get(GROUP_LIMIT_SETTING, "1000"))
-    if n > limit:
+    if n > group_limit(df.sparkSession):
         ranked = rank_within(df, keys, order, rank)  # ranks are long there
     else:
         window = Window.partitionBy(*keys).orderBy(*order)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimscale import fixed
@@ -13,7 +13,7 @@ from claimscale.functions.topics import Labels, any_starts_with
 from claimscale.operators.aggregates import label_distribution, weighted_tone
 from claimscale.operators.compute import with_computed
 from claimscale.operators.joins import lookup_join
-from claimscale.operators.ranking import rank_score, top_per_key
+from claimscale.operators.ranking import group_limit, rank_score, top_per_key
 from claimscale.operators.topic_model import Model, distributions
 from claimscale.sources.staging import stage
 
@@ -56,11 +56,26 @@ def prepare_news(
 
 
 def latest_per_key(
-    df: DataFrame, key: str, date: str, n: int = fixed.LATEST_PER_TICKER
+    df: DataFrame,
+    key: str,
+    date: str,
+    n: int = fixed.LATEST_PER_TICKER,
+    many_copies: bool = True,
 ) -> DataFrame:
-    """Distinct rows, the ``n`` latest per key; all other columns break ties."""
+    """Distinct rows, the ``n`` latest per key; all other columns break ties.
+
+    Two ways to the same rows.  With ``many_copies`` copies meet within each map task and
+    every distinct row crosses the network once per task, however hot one row is.  Else
+    each map task first cuts a key to its ``n`` latest distinct rows (a dense rank over
+    all columns) and one shuffle by key brings those; all copies of a row that is kept
+    come along into the key's task, so this is for tables with few copies of a row.
+    """
     rest = [F.asc(c) for c in df.columns if c not in (key, date)]
-    return top_per_key(df.distinct(), [key], [F.desc(date), *rest], n)
+    order = [F.desc(date), *rest]
+    if many_copies or n > group_limit(df.sparkSession):
+        return top_per_key(df.distinct(), [key], order, n)
+    place = F.dense_rank().over(Window.partitionBy(key).orderBy(*order))
+    return df.withColumn("rank", place).filter(F.col("rank") <= n).distinct()
 
 
 def classify_news(

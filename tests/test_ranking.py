@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from claimscale.operators import ranking as R
+from claimscale.plans.news import latest_per_key
 from conftest import plan_of
 
 
@@ -99,3 +100,38 @@ def test_rank_score(spark):
         got = {(r["organisation"], r["topic_id"]): r["score"] for r in scored}
         assert got == want
         assert all(0 < s <= 100 for s in got.values())
+
+
+@pytest.fixture(scope="module")
+def copied(spark):
+    """Rows with copies in every task, equal dates, null dates and a null key."""
+    made = spark.range(0, 6_000, 1, 6).select(
+        F.when(F.col("id") % 5 < 4, F.concat(F.lit("k"), F.col("id") % 3)).alias("key"),
+        F.when(F.col("id") % 11 > 0, F.pmod(F.hash("id"), F.lit(9))).alias("date"),
+        F.pmod(F.col("id"), F.lit(40)).alias("url"),
+    )
+    return made.unionByName(made.filter("url < 7"))
+
+
+@pytest.mark.parametrize("n", [1, 30])
+def test_latest_distinct_rows_both_ways(copied, n):
+    first = latest_per_key(copied, "key", "date", n).collect()
+    cut = latest_per_key(copied, "key", "date", n, many_copies=False)
+    assert sorted(map(str, cut.collect())) == sorted(map(str, first))
+    assert cut.columns == ["key", "date", "url", "rank"]
+    # By hand: the distinct rows of a key in order, latest first, nulls last.
+    rows = {tuple(r) for r in copied.filter("key = 'k1'").collect()}
+    wanted = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[2]))[:n]
+    assert [tuple(r)[:3] for r in sorted(first, key=lambda r: r["rank"]) if r.key == "k1"] == wanted
+
+
+def test_few_copies_are_cut_before_the_only_shuffle(copied):
+    plan = plan_of(latest_per_key(copied, "key", "date", 3, many_copies=False))
+    plan = plan[plan.index("== Physical Plan ==") :]
+    assert plan.count("Exchange ") == 1
+    assert "WindowGroupLimit" in plan[plan.index("Exchange ") :]
+
+
+def test_beyond_the_group_limit_both_ways_are_one(copied):
+    many = latest_per_key(copied, "key", "date", 1_001, many_copies=False)
+    assert many.count() == copied.distinct().count()
