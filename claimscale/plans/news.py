@@ -27,14 +27,14 @@ def prepare_news(
     latest: int = fixed.LATEST_PER_TICKER,
     prefix: str = fixed.THEME_PREFIX,
     title_tag: str = fixed.TITLE_TAG,
+    many_copies: bool = True,
 ) -> DataFrame:
     """The latest titled articles on a theme, per ticker.
 
     Theme and title filters need only the article, so they come before the join,
     and each title is looked for once.  Raw rows that bring a ``title`` keep it: where
     many articles share a page, the title is best taken from the page beforehand.
-    Copies are removed first: distinct combines them on the map side, and the
-    ranking then sees each article once.
+    ``many_copies`` says how copies go (``latest_per_key``).
     """
     on_theme = raw.filter(any_starts_with(F.col("themes"), prefix))
     if "title" not in raw.columns:
@@ -52,7 +52,7 @@ def prepare_news(
     )
     articles = lookup_join(titled, organisations.select("ticker", *keep), ["ticker"])
     columns = ["date", "ticker", "url", "tone", "source", "title", *keep]
-    return latest_per_key(articles.select(columns), "ticker", "date", latest)
+    return latest_per_key(articles.select(columns), "ticker", "date", latest, many_copies)
 
 
 def latest_per_key(

@@ -530,6 +530,12 @@ ORACLES: dict[str, str] = {
             PARTITION BY organisation ORDER BY date DESC, tone) AS rank FROM articles)
         SELECT date, organisation, round(tone, 6) AS tone, CAST(rank AS INTEGER) AS rank
         FROM ranked WHERE rank <= {fixed.LATEST_PER_TICKER}""",
+    "latest_n_cut_first": f"""
+        WITH ranked AS (SELECT ts AS date, 'org_' || (user_id % 10) AS organisation,
+                 value - 100 AS tone, dense_rank() OVER (PARTITION BY user_id % 10
+                     ORDER BY ts DESC, value - 100) AS rank FROM events)
+        SELECT DISTINCT date, organisation, round(tone, 6) AS tone, CAST(rank AS INTEGER) AS rank
+        FROM ranked WHERE rank <= {fixed.LATEST_PER_TICKER}""",
     "prefix_theme": """
         SELECT event_id, event_type, user_id FROM events
         WHERE len(list_filter([event_type, 'tag_' || event_type],

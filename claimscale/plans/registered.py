@@ -203,6 +203,12 @@ def latest_n_per_key(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(latest, "tone")
 
 
+def latest_n_cut_first(spark: SparkSession, folder: str) -> DataFrame:
+    articles = standins.news(spark, folder).drop("event_id")
+    latest = news.latest_per_key(articles, "organisation", "date", many_copies=False)
+    return _rounded(latest, "tone")
+
+
 def prefix_theme(spark: SparkSession, folder: str) -> DataFrame:
     themes = F.array(F.col("event_type"), F.concat(F.lit("tag_"), F.col("event_type")))
     return (
@@ -901,6 +907,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         rows_per_key,
         distinct_rows,
         latest_n_per_key,
+        latest_n_cut_first,
         prefix_theme,
         prepared_news,
         prepared_news_latest_20,
