@@ -170,8 +170,9 @@ def _tokens(size: int):
 def compared(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Compare the full shingle sets of all ``pairs`` (leader, member).
 
-    Returns leader, member, linked.  ``texts`` holds doc_id, text.  A leader meets its members in blocks, so a task holds one leader's
-    set and one member's at a time, however many there are.
+    Returns leader, member, linked.  ``texts`` holds doc_id, text.  A leader meets its
+    members in blocks, so a task holds one leader's set and one member's at a time,
+    however many there are.
     """
     blocks = pairs.groupBy("leader").agg((F.count(F.lit(1)) / BLOCK).cast("long").alias("last"))
     members = pairs.join(blocks, "leader").select(
