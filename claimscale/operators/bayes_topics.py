@@ -1,8 +1,8 @@
 """Topic model by full passes of variational Bayes; the topic matrix is a table.
 
-A pass joins the terms of every text with their rows of the matrix, infers each text's
-topics in the task that holds it, and sums what the texts add to each term.  Only one
-number per topic and the bound of the likelihood reach the driver.
+A bucket of texts gets the matrix's row of each of its terms once, whatever the number of
+texts that hold it, infers their topics, and gives one row per term back.  Only one number
+per topic and the bound of the likelihood reach the driver.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,22 +21,26 @@ from pyspark.sql import types as T
 from claimscale import fixed
 from claimscale.functions.text import tokens as text_tokens
 from claimscale.operators.dictionary import dictionary, term_bags
-from claimscale.operators.joins import BROADCAST_BYTES, split_join
+from claimscale.operators.joins import BROADCAST_BYTES
 from claimscale.operators.ranking import top_per_key
 from claimscale.operators.variational import digamma, log_gamma, settle, text_bounds
 from claimscale.session import shuffle_width
 from claimscale.shipping import ship
 from claimscale.sources.staging import fresh_path, stage
 
-# Texts fall into buckets of a few thousand; beyond some hundred buckets these grow.
-ROWS_PER_BUCKET, MANY_BUCKETS, MOST_PER_BUCKET = 2_000, 256, 50_000
+# Texts fall into buckets: enough for the tasks, and beyond that by what a task may hold.
+ROWS_PER_BUCKET, MANY_BUCKETS, MOST_TOKENS = 2_000, 24, 2_000_000
+MOST_ROWS = 50_000
 BLOCK_ROWS = 1 << 16
 PASSES = 20
 TOLERANCE = 1e-4  # of the bound, relative: the passes end there
 EXACT = "decimal(38, 18)"  # sums of these do not depend on the order of the rows
 
-_SUMS = "term_id long, s array<double>"
-_MATRIX = "term_id long, weights array<double>, logs array<double>, parts array<double>"
+_SUMS = "bucket int, term_id long, s array<double>"
+_MATRIX = "term_id long, weights array<double>, buckets array<int>"
+_LOGS = "term_id long, logs array<double>, buckets array<int>"
+_PARTS = "term_id long, weights array<double>, parts array<double>"
+_TOLD = "tokens long, log_likelihood double"
 _META = "meta string"
 
 
@@ -73,24 +78,64 @@ def _lists(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds), pa.array(values.ravel()))
 
 
+def _rows(column: pa.ChunkedArray | pa.Array, k: int) -> np.ndarray:
+    """A column of lists of ``k`` numbers as a matrix."""
+    return column.combine_chunks().flatten().to_numpy().reshape(-1, k)
+
+
 def _matrix_rows(eta: float):
-    """Sums of what texts add to each term become the matrix's next rows.
+    """Sums of what the buckets add to each term, in their order, become the matrix's rows.
 
-    Below no term stand the sums of the texts' bounds, which pass through.
+    Below no term stand the sums of the texts' bounds, which pass through.  A row
+    remembers the buckets that hold its term.
     """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _whole(batches, "term_id"):
+            term = block.column("term_id").to_numpy()
+            first = _starts(term)
+            sums = block.column("s").flatten().to_numpy().reshape(len(term), -1)
+            sums = np.add.reduceat(sums, first)
+            weights = np.where(term[first][:, None] >= 0, sums + eta, sums)
+            ends = pa.array(np.append(first, len(term)).astype(np.int32))
+            buckets = pa.ListArray.from_arrays(ends, block.column("bucket"))
+            columns = [pa.array(term[first]), _lists(weights), buckets]
+            yield pa.RecordBatch.from_arrays(columns, names=["term_id", "weights", "buckets"])
+
+    return run
+
+
+def _log_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``weights`` become ``logs``, the exponentials of their digamma."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        weights = batch.column("weights").flatten().to_numpy().reshape(batch.num_rows, -1)
+        at = batch.schema.get_field_index("weights")
+        yield batch.set_column(at, "logs", _lists(np.exp(digamma(weights))))
+
+
+def _with_logs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Weights and, beside them, their ``logs``."""
+    for batch in batches:
+        for logs in _log_rows(iter([batch.select(["weights"])])):
+            columns = [batch.column("term_id"), batch.column("weights"), logs.column("logs")]
+            yield pa.RecordBatch.from_arrays(columns, names=["term_id", "weights", "logs"])
+
+
+def _part_rows(eta: float):
+    """Adds what each term's weights add to the bound."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             term = batch.column("term_id").to_numpy()
-            sums = batch.column("s").flatten().to_numpy().reshape(len(term), -1)
-            weights = np.where(term[:, None] >= 0, sums + eta, sums)
+            weights = batch.column("weights").flatten().to_numpy().reshape(len(term), -1)
             safe = np.where(term[:, None] >= 0, weights, 1.0)
-            logs = digamma(safe)
-            parts = (eta - safe) * logs + log_gamma(safe)
-            columns = [batch.column("term_id"), _lists(weights), _lists(np.exp(logs)), _lists(parts)]
-            yield pa.RecordBatch.from_arrays(columns, names=["term_id", "weights", "logs", "parts"])
+            parts = (eta - safe) * digamma(safe) + log_gamma(safe)
+            columns = [batch.column("term_id"), batch.column("weights"), _lists(parts)]
+            yield pa.RecordBatch.from_arrays(columns, names=["term_id", "weights", "parts"])
 
     return run
 
@@ -121,15 +166,19 @@ def _starts(keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _added(term: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of rows by term."""
-    order = np.argsort(term, kind="stable")
-    first = _starts(term[order])
-    return term[order][first], np.add.reduceat(rows[order], first)
+def _blocks(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of texts with about ``BLOCK_ROWS`` terms, as (first, behind the last)."""
+    ends = np.cumsum(sizes)
+    a = 0
+    while a < len(sizes):
+        done = ends[a - 1] if a else 0
+        b = max(int(np.searchsorted(ends, done + BLOCK_ROWS, "right")), a + 1)
+        yield a, b
+        a = b
 
 
 def _pass_over_texts(alpha: float, factors: Sequence[float]):
-    """What the texts of a bucket add to each term; under -1 their bounds.
+    """What the texts of a bucket add to each of its terms; under -1 their bounds.
 
     Sums are made per bucket, whose texts are in a fixed order, so they don't depend on
     how buckets fall into tasks.
@@ -137,32 +186,30 @@ def _pass_over_texts(alpha: float, factors: Sequence[float]):
     factor = np.array(factors)
     k = len(factor)
 
-    def flushed(held: list[tuple[np.ndarray, np.ndarray]], bound: float) -> pa.RecordBatch:
-        term, sums = _added(*(np.concatenate(part) for part in zip(*held)))
-        first = np.zeros((1, k))
-        first[0, 0] = bound
-        columns = [pa.array(np.append(term, -1)), _lists(np.concatenate([sums, first]))]
-        return pa.RecordBatch.from_arrays(columns, names=["term_id", "s"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, held, bound = None, [], 0.0
-        for block in _whole(batches, "row"):
-            buckets = block.column("bucket").to_numpy()
-            edges = np.append(_starts(buckets), len(buckets))
-            for a, b in zip(edges, edges[1:]):
-                if bucket is not None and buckets[a] != bucket:
-                    yield flushed(held, bound)
-                    held, bound = [], 0.0
-                bucket = buckets[a]
-                part = block.slice(a, b - a)
-                n = part.column("n").to_numpy().astype(np.float64)
-                terms = part.column("logs").flatten().to_numpy().reshape(-1, k) * factor
-                first = _starts(part.column("row").to_numpy())
-                weights, adds = settle(n, terms, first, alpha)
-                bound += float(text_bounds(n, terms, first, weights, alpha).sum())
-                held.append(_added(part.column("term_id").to_numpy(), adds))
-        if held:
-            yield flushed(held, bound)
+    def run(texts: pa.Table, logs: pa.Table) -> pa.Table:
+        bucket = texts.column("bucket")[0].as_py()
+        order = np.lexsort((texts.column("row").to_numpy(), texts.column("place").to_numpy()))
+        texts = texts.take(pa.array(order))
+        terms, counts = (texts.column(c).combine_chunks() for c in ("terms", "counts"))
+        sizes = pc.list_value_length(terms).to_numpy()
+        ends = np.append(0, np.cumsum(sizes))
+        logs = logs.sort_by("term_id")
+        ids = logs.column("term_id").to_numpy()
+        rows = _rows(logs.column("logs"), k) * factor
+        at = np.searchsorted(ids, terms.flatten().to_numpy())
+        n = counts.flatten().to_numpy().astype(np.float64)
+        sums, bound = np.zeros((len(ids) + 1, k)), 0.0
+        for a, b in _blocks(sizes):
+            part = slice(ends[a], ends[b])
+            first = ends[a:b] - ends[a]
+            weights, adds = settle(n[part], rows[at[part]], first, alpha)
+            bound += float(text_bounds(n[part], rows[at[part]], first, weights, alpha).sum())
+            for i in range(k):
+                sums[:-1, i] += np.bincount(at[part], adds[:, i], len(ids))
+        sums[-1, 0] = bound
+        names = ["bucket", "term_id", "s"]
+        columns = [pa.array(np.full(len(sums), bucket, np.int32)), pa.array(np.append(ids, -1)), _lists(sums)]
+        return pa.Table.from_arrays(columns, names=names)
 
     return run
 
@@ -182,32 +229,27 @@ def _topic_bound(parts: np.ndarray, totals: np.ndarray, terms: int, eta: float)
     return float((found + log_gamma(terms * eta) - terms * log_gamma(eta)).sum())
 
 
-def _totals(matrix: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray, float]:
+def _totals(matrix: DataFrame, k: int, eta: float) -> tuple[np.ndarray, np.ndarray, float]:
     """Per topic the sums of weights and of the bound's parts; and the texts' bound."""
     aggregates = _exact_sums("weights", k, "term_id >= 0") + _exact_sums("parts", k, "term_id >= 0")
     texts = F.sum(F.when(F.col("term_id") < 0, F.get("weights", F.lit(0))))
-    row = matrix.agg(*aggregates, F.coalesce(texts, F.lit(0.0))).first()
+    parts = matrix.select("term_id", "weights").mapInArrow(_part_rows(eta), _PARTS)
+    row = parts.agg(*aggregates, F.coalesce(texts, F.lit(0.0))).first()
     return np.array(row[:k]), np.array(row[k : 2 * k]), row[2 * k]
 
 
-def _random_start(known: DataFrame, k: int, seed: int) -> DataFrame:
+def _random_start(known: DataFrame, k: int, seed: int, eta: float) -> DataFrame:
     """Weights that depend on nothing but the term, the topic and the seed."""
     hashed = [F.xxhash64("base", F.lit(i), F.lit(seed)) for i in range(k)]
-    unit = [0.5 + F.pmod(h, F.lit(1 << 32)) / float(1 << 32) for h in hashed]
-    return known.filter("is_first").select("term_id", F.array(*unit).alias("s"))
+    unit = [0.5 + F.pmod(h, F.lit(1 << 32)) / float(1 << 32) + F.lit(float(eta)) for h in hashed]
+    return known.filter("is_first").select("term_id", F.array(*unit).alias("weights"))
 
 
-def _with_matrix(bags: DataFrame, matrix: DataFrame, small: bool, buckets: int) -> DataFrame:
-    """The texts' terms with their rows of the matrix, texts together and in order."""
-    terms = bags.select("bucket", "place", "row", F.explode("bag").alias("b"))
-    terms = terms.select("bucket", "place", "row", "b.term_id", "b.n")
-    logs = matrix.filter(F.col("term_id") >= 0).select("term_id", "logs")
-    if small:
-        joined = terms.join(F.broadcast(logs), "term_id")
-    else:
-        joined = split_join(terms, logs, ["term_id"], staged=True).repartitionById(buckets, F.col("bucket"))
-    columns = ["bucket", "row", "term_id", "n", "logs", "place"]
-    return joined.select(columns).sortWithinPartitions("bucket", "place", "row", "term_id")
+def _logs(matrix: DataFrame) -> DataFrame:
+    """bucket, term_id, logs: for each bucket the rows of its own terms."""
+    rows = matrix.filter(F.col("term_id") >= 0).select("term_id", "weights", "buckets")
+    rows = rows.mapInArrow(_log_rows, _LOGS)
+    return rows.select(F.explode("buckets").alias("bucket"), "term_id", "logs")
 
 
 def fit(
@@ -231,12 +273,12 @@ def fit(
     less than ``tolerance`` of itself.  All terms count unless ``vocabulary_size`` limits
     them; ``bases`` (see ``dictionary``) makes base forms of them, and other texts are then
     scored by the forms that were seen; the priors are 1 / topics unless given.  Texts are dealt to buckets by a hash
-    of ``order``, columns that identify a row (without them: of the text's terms); sums
-    are exact decimals of sums per bucket, so the model depends on neither the cluster
+    of ``order``, columns that identify a row (without them: of the text's terms); a term's
+    sum is made in the order of the buckets, so the model depends on neither the cluster
     nor the order of the rows.  Texts without terms take no part.
 
-    While the matrix is small it is broadcast and no text moves; else its rows are
-    joined by term, frequent terms spread over tasks.
+    In a pass a row of numbers per term and bucket goes each way, and the texts' term
+    numbers go to their buckets.
     """
     spark = documents.sparkSession
     ship(spark)
@@ -250,32 +292,38 @@ def fit(
     forms, terms = known.agg(F.count(F.lit(1)), F.count_if("is_first")).first()
     if not terms:
         raise ValueError("the texts hold no terms to learn from")
-    rows = listed.count()
-    buckets = max(min(rows // ROWS_PER_BUCKET, MANY_BUCKETS), rows // MOST_PER_BUCKET) + 1
+    rows, n_tokens = listed.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("tokens")), F.lit(0))).first()
+    buckets = max(min(rows // ROWS_PER_BUCKET, MANY_BUCKETS), n_tokens // MOST_TOKENS) + 1
     bucket = F.pmod("place", F.lit(buckets)).cast("int")
     bags = term_bags(listed, known, ["place", "row"]).withColumn("bucket", bucket)
-    bags = bags.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("place", "row")
-    bags = stage(bags, "bags")
-    matrix = _random_start(known, topics, seed).mapInArrow(_matrix_rows(eta), _MATRIX)
-    matrix = stage(matrix, "matrix")
+    bags = stage(
+        bags.select(
+            "bucket", "place", "row", F.col("bag.term_id").alias("terms"), F.col("bag.n").alias("counts")
+        ),
+        "bags",
+    )
+    held = bags.select("bucket", F.explode("terms").alias("term_id")).distinct()
+    held = held.groupBy("term_id").agg(F.collect_list("bucket").alias("buckets"))
+    matrix = stage(_random_start(known, topics, seed, eta).join(held, "term_id"), "matrix")
     model = BayesTopics(path or fresh_path(spark, "topics"), topics, terms, alpha, eta, forms, [])
-    totals, parts, _ = _totals(matrix, topics)
+    totals, parts, _ = _totals(matrix, topics, eta)
+    width = shuffle_width(spark)
     for _ in range(passes):
         model.totals = totals.tolist()
         of_topics = _topic_bound(parts, totals, terms, eta)
-        rows = _with_matrix(bags, matrix, model.is_small(), buckets)
-        added = rows.mapInArrow(_pass_over_texts(alpha, model.factors()), _SUMS)
-        sums = added.groupBy("term_id").agg(*_exact_sums("s", topics))
-        sums = sums.select("term_id", F.array(*[f"s{i}" for i in range(topics)]).alias("s"))
+        met = bags.groupBy("bucket").cogroup(_logs(matrix).groupBy("bucket"))
+        added = met.applyInArrow(_pass_over_texts(alpha, model.factors()), _SUMS)
+        sums = added.repartition(width, "term_id").sortWithinPartitions("term_id", "bucket")
         matrix = stage(sums.mapInArrow(_matrix_rows(eta), _MATRIX), "matrix")
-        totals, parts, of_texts = _totals(matrix, topics)
+        totals, parts, of_texts = _totals(matrix, topics, eta)
         model.bounds.append(of_topics + of_texts)
         if len(model.bounds) > 1:
             before, now = model.bounds[-2:]
             if now - before < tolerance * abs(before):
                 break
     model.totals = totals.tolist()
-    rows = matrix.filter(F.col("term_id") >= 0).select("term_id", "weights", "logs")
+    rows = matrix.filter(F.col("term_id") >= 0).select("term_id", "weights")
+    rows = rows.mapInArrow(_with_logs, "term_id long, weights array<double>, logs array<double>")
     rows.join(known, "term_id").write.mode("overwrite").parquet(f"{model.path}/terms")
     return model
 
@@ -319,6 +367,78 @@ def _inferred(alpha: float, factors: Sequence[float], kept: Sequence[str], names
     return run
 
 
+def _beside_terms(model: BayesTopics, rows: DataFrame, *columns: str):
+    """Chunks of written rows (row, tokens), each with the matrix's rows of its own terms.
+
+    A chunk is of rows that were written by one task, so its distinct terms are found
+    before they move; each of them is looked up once a chunk.
+    """
+    n, n_tokens = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("tokens")), F.lit(0))).first()
+    size = max(1, min(MOST_ROWS, MOST_TOKENS * n // max(n_tokens, 1)))
+    task, at = F.shiftright("row", 33), F.col("row").bitwiseAND(F.lit((1 << 33) - 1))
+    rows = rows.withColumn("chunk", F.concat_ws("-", task, F.floor(at / size)))
+    terms = rows.select(F.col("chunk").alias("of"), F.explode("tokens").alias("term")).distinct()
+    known = terms.join(model.matrix().select("term", *columns), "term")
+    return rows.groupBy("chunk").cogroup(known.groupBy("of"))
+
+
+def _known_places(rows: pa.Table, terms: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """For each known token of the rows the number of its row and of its term's row."""
+    tokens = rows.column("tokens").combine_chunks()
+    sizes = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy()
+    found = pc.index_in(tokens.flatten(), value_set=terms.column("term").combine_chunks())
+    known = found.is_valid().to_numpy(zero_copy_only=False)
+    of = np.repeat(np.arange(len(sizes)), sizes)[known]
+    return of, found.drop_null().to_numpy().astype(np.int64)
+
+
+def _settled(of: np.ndarray, at: np.ndarray, logs: np.ndarray, alpha: float, n: int) -> np.ndarray:
+    """Topic weights of ``n`` texts; ``alpha`` for those without a known term."""
+    weights = np.full((n, logs.shape[1]), alpha)
+    sizes = np.bincount(of, minlength=n)
+    texts = np.flatnonzero(sizes)
+    sizes = sizes[texts]
+    ends = np.append(0, np.cumsum(sizes))
+    for a, b in _blocks(sizes):
+        part = at[ends[a] : ends[b]]
+        weights[texts[a:b]], _ = settle(np.ones(len(part)), logs[part], ends[a:b] - ends[a], alpha)
+    return weights
+
+
+def _scored_chunk(alpha: float, factors: Sequence[float]):
+    """The rows of a chunk with their distributions."""
+    factor = np.array(factors)
+
+    def run(rows: pa.Table, terms: pa.Table) -> pa.Table:
+        of, at = _known_places(rows, terms)
+        logs = _rows(terms.column("logs"), len(factor)) * factor
+        weights = _settled(of, at, logs, alpha, rows.num_rows)
+        shares = _lists(weights / weights.sum(1)[:, None])
+        return pa.Table.from_arrays([rows.column("held"), shares], names=["held", "shares"])
+
+    return run
+
+
+def _told_chunk(alpha: float, factors: Sequence[float], totals: Sequence[float]):
+    """Known tokens of a chunk, and the logarithm of their likelihood."""
+    factor, total = np.array(factors), np.array(totals)
+    k = len(factor)
+
+    def run(rows: pa.Table, terms: pa.Table) -> pa.Table:
+        of, at = _known_places(rows, terms)
+        weights = _settled(of, at, _rows(terms.column("logs"), k) * factor, alpha, rows.num_rows)
+        shares = weights / weights.sum(1)[:, None]
+        words = _rows(terms.column("weights"), k) / total
+        told = 0.0
+        for a in range(0, len(of), BLOCK_ROWS):
+            part = slice(a, a + BLOCK_ROWS)
+            told += float(np.log((shares[of[part]] * words[at[part]]).sum(1)).sum())
+        columns = [pa.array([len(of)], pa.int64()), pa.array([told if len(of) else None], pa.float64())]
+        return pa.Table.from_arrays(columns, names=["tokens", "log_likelihood"])
+
+    return run
+
+
 def distributions(
     model: BayesTopics, documents: DataFrame, text: str = "statement", stop_words: Sequence[str] = fixed.STOP_WORDS
 ) -> DataFrame:
@@ -326,8 +446,8 @@ def distributions(
 
     Every row stays; a text without a known term has the flat distribution 1/k.  A
     column named ``probabilities`` is replaced.  With a broadcast matrix no row moves:
-    a row travels with the first of its terms.  Beyond that terms are joined by
-    shuffling, and the distributions come back to the written rows by their numbers.
+    a row travels with the first of its terms.  Beyond that chunks of the written rows
+    meet the matrix's rows of their terms.
     """
     spark = documents.sparkSession
     ship(spark)
@@ -335,9 +455,9 @@ def distributions(
     columns = [c for c in documents.columns if c != "probabilities"]
     held = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
     rows = split.select(held.alias("held"), "_tokens", F.monotonically_increasing_id().alias("row"))
-    logs = model.matrix().select("term", "logs")
     kind = T.ArrayType(T.DoubleType())
     if model.is_small():
+        logs = model.matrix().select("term", "logs")
         terms = rows.select("row", "held", F.posexplode_outer("_tokens").alias("at", "term"))
         first = F.coalesce("at", F.lit(0)) == 0
         terms = terms.withColumn("held", F.when(first, F.col("held")))
@@ -346,14 +466,10 @@ def distributions(
         schema = T.StructType([joined.schema["held"], T.StructField("shares", kind)])
         found = joined.mapInArrow(_inferred(model.alpha, model.factors(), ["held"], ["held"]), schema)
     else:
-        rows = stage(rows, "to-score")
-        terms = rows.select("row", F.explode("_tokens").alias("term"))
-        joined = split_join(terms, logs, ["term"], staged=True)
-        joined = joined.repartition(shuffle_width(spark), "row").sortWithinPartitions("row", "term")
-        schema = T.StructType([joined.schema["row"], T.StructField("shares", kind)])
-        inferred = joined.mapInArrow(_inferred(model.alpha, model.factors(), ["row"], ["row"]), schema)
-        flat = F.array(*[F.lit(1.0 / model.topics)] * model.topics)
-        found = rows.join(inferred, "row", "left").withColumn("shares", F.coalesce("shares", flat))
+        rows = stage(rows.withColumnRenamed("_tokens", "tokens"), "to-score")
+        schema = T.StructType([rows.schema["held"], T.StructField("shares", kind)])
+        met = _beside_terms(model, rows, "logs")
+        found = met.applyInArrow(_scored_chunk(model.alpha, model.factors()), schema)
     out = [F.col(f"held.c{i}").alias(c) for i, c in enumerate(columns)]
     return found.select(*out, F.col("shares").alias("probabilities"))
 
@@ -373,14 +489,18 @@ def topic_terms(model: BayesTopics, n: int = 10) -> DataFrame:
 
 def log_likelihood(model: BayesTopics, documents: DataFrame, text: str = "statement") -> DataFrame:
     """tokens, log_likelihood: of the known terms of all texts, by their own distributions."""
+    if not model.is_small():
+        ship(documents.sparkSession)
+        tokens = F.array_sort(text_tokens(f"`{text}`")).alias("tokens")
+        rows = stage(documents.select(tokens, F.monotonically_increasing_id().alias("row")), "to-tell")
+        met = _beside_terms(model, rows, "logs", "weights")
+        told = met.applyInArrow(_told_chunk(model.alpha, model.factors(), model.totals), _TOLD)
+        return told.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.sum("log_likelihood").alias("log_likelihood"))
     scored = distributions(model, documents.select(F.col(f"`{text}`").alias("_scored")), "_scored")
     rows = scored.select(F.col("probabilities").alias("p"), F.explode(text_tokens("_scored")).alias("term"))
     totals = [F.lit(t) for t in model.totals]
     weights = model.matrix().select("term", "weights")
-    if model.is_small():
-        joined = rows.join(F.broadcast(weights), "term")
-    else:
-        joined = split_join(rows, weights, ["term"])
+    joined = rows.join(F.broadcast(weights), "term")
     share = sum(
         (F.get("p", F.lit(i)) * F.get("weights", F.lit(i)) / totals[i] for i in range(model.topics)),
         F.lit(0.0),

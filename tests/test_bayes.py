@@ -245,3 +245,40 @@ def test_the_model_does_not_depend_on_the_cores():
         )
         found.append(json.loads(done.stdout.strip().splitlines()[-1]))
     assert found[0] == found[1]
+
+
+def test_a_bucket_gets_and_gives_a_row_per_term_and_no_more(spark, monkeypatch):
+    monkeypatch.setattr(B, "BROADCAST_BYTES", 1)
+    docs = spark.range(600).selectExpr("id", "concat('water energy word', id % 7) AS statement")
+    met = []
+    plain = B._pass_over_texts
+
+    def seen(*given):
+        rows = spark.sparkContext.accumulator(0)
+        met.append(rows)
+        run = plain(*given)
+
+        def counted(texts, logs):
+            rows.add(logs.num_rows)
+            return run(texts, logs)
+
+        return counted
+
+    monkeypatch.setattr(B, "_pass_over_texts", seen)
+    B.fit(docs, order=["id"], topics=2, passes=2, tolerance=0)
+    # Nine terms in one bucket of 600 texts, where the texts' 1,800 terms met a row each before.
+    assert [rows.value for rows in met] == [9, 9]
+
+
+def test_known_words_are_told_alike_by_chunks(spark, statements, model, monkeypatch):
+    whole = B.log_likelihood(model, statements).first()
+    monkeypatch.setattr(B, "BROADCAST_BYTES", 1)
+    monkeypatch.setattr(B, "MOST_ROWS", 7)
+    monkeypatch.setattr(B, "BLOCK_ROWS", 40)
+    plan = B.distributions(model, statements)._jdf.queryExecution().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "SortMergeJoin" not in plan.split("FlatMapCoGroupsInArrow")[0]
+    chunks = B.log_likelihood(model, statements).first()
+    assert chunks["tokens"] == whole["tokens"]
+    assert chunks["log_likelihood"] == pytest.approx(whole["log_likelihood"], rel=1e-9)
+    nothing = B.log_likelihood(model, statements.filter("id > 499")).first()
+    assert tuple(nothing) == (0, None)
