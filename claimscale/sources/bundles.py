@@ -68,10 +68,12 @@ def documents_in(bundles: DataFrame) -> DataFrame:
     size = F.expr(f"CAST(decode(substring(content, 1, {HEAD_DIGITS}), 'US-ASCII') AS INT)")
     head = F.expr(f"decode(substring(content, {HEAD_DIGITS + 1}, _size), 'UTF-8')")
     opened = bundles.select("path", "content", size.alias("_size"))
-    opened = opened.select("path", "content", "_size", F.from_json(head, INDEX_SCHEMA).alias("_index"))
+    opened = opened.select("path", "content", F.from_json(head, INDEX_SCHEMA).alias("_index"))
+    # As a value of an array the bundle is not copied once for each of its documents.
     cut = F.expr(
-        "transform(_index, d -> struct(d.key AS key, substring(content, "
-        f"CAST({HEAD_DIGITS} + _size + 2 + d.start AS INT), CAST(d.length AS INT)) AS content))"
+        "transform(array(content), b -> transform(_index, d -> struct(d.key AS key, substring(b, "
+        f"CAST({HEAD_DIGITS} + CAST(decode(substring(b, 1, {HEAD_DIGITS}), 'US-ASCII') AS INT) + 2 + d.start "
+        "AS INT), CAST(d.length AS INT)) AS content)))[0]"
     )
     documents = explode_computed(opened, cut, ["path"], "_at", "_document")
     return documents.select(

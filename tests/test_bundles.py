@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import time
 
 from pyspark.sql import functions as F
 
@@ -60,3 +61,13 @@ def test_bundles_as_a_stream(spark):
 def test_nothing_to_bundle(spark):
     path = fresh_path(spark, "bundles")
     bundles.write_bundles(spark.createDataFrame([], "k string, t string"), "k", "t", path)
+
+
+def test_a_bundle_is_not_copied_for_each_of_its_documents(spark):
+    pages = spark.range(20000).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 1500).alias("t"))
+    path = fresh_path(spark, "bundles")
+    bundles.write_bundles(pages, "k", "t", path)
+    begun = time.monotonic()
+    found = bundles.documents_in(files.read_binary(spark, path, "*.txt"))
+    assert tuple(found.agg(F.count(F.lit(1)), F.sum(F.length("content"))).first()) == (20000, 30000000)
+    assert time.monotonic() - begun < 40  # three copies of 30 MB a document took minutes
