@@ -44,18 +44,37 @@ def word_type(word: Column) -> Column:
 
 
 def word_places(paragraphs: DataFrame, text: str) -> DataFrame:
-    """word, stopped, next: every word, whether it has a full stop, and the one after it."""
-    words = F.filter(F.split(F.col(text), " "), lambda w: w != "")
-    listed = explode_computed(paragraphs, F.array(words), [], "_at", "words")
-    place = F.transform(
-        "words",
-        lambda w, i: F.struct(
-            word_type(w).alias("word"),
-            bare(w).endswith(".").alias("stopped"),
-            word_type(F.get("words", i + 1)).alias("next"),
-        ),
-    )
-    return explode_computed(listed, place, [], "_at", "place").select("place.*")
+    """word, stopped, next: every word, whether it has a full stop, and the one after it.
+
+    Signs around words go from a whole paragraph at a time (as ``bare`` and ``word_type``
+    do from a word), so each pattern runs once a paragraph and not several times a word.
+    """
+    line = F.btrim(F.regexp_replace(F.lower(F.col(text)), " {2,}", " "), F.lit(" "))
+    line = F.regexp_replace(line, "(?<![^ ])[^a-z0-9 ]+", "")
+    # Within a run of signs the pattern gives up at once, as the run was tried from its start.
+    line = F.regexp_replace(line, "[^a-z0-9. ](?<![^a-z0-9. ]{2})[^a-z0-9. ]*+(?![^ ])", "")
+    # A text without words has no pieces; a word of nothing but signs is an empty one.
+    has_words = F.length(F.replace(F.col(text), F.lit(" "), F.lit(""))) > 0
+    lines = explode_computed(paragraphs.filter(has_words), F.array(line), [], "_at", "line")
+    words = F.split(F.regexp_replace("line", r"\.(?![^ ])", ""), " ")
+    stopped = F.transform(F.split("line", " "), lambda w: w.endswith("."))
+    lists = explode_computed(lines, F.array(F.struct(words.alias("words"), stopped.alias("stopped"))), [], "_at", "l")
+    following = F.slice("l.words", 2, F.greatest(F.size("l.words") - 1, F.lit(0)))
+    place = F.arrays_zip(F.col("l.words"), F.col("l.stopped"), following)
+    rows = explode_computed(lists, place, [], "_at", "place")
+    return rows.select(*[F.col(f"place.`{n}`").alias(c) for n, c in zip(("words", "stopped", "2"), ("word", "stopped", "next"))])
+
+
+def place_counts(places: DataFrame) -> DataFrame:
+    """word, stopped, next, n: equal places as one row; what follows counts behind full stops only."""
+    following = F.when(F.col("stopped"), F.col("next")).alias("next")
+    return places.groupBy("word", "stopped", following).agg(F.count(F.lit(1)).alias("n"))
+
+
+def stops_of(counted: DataFrame) -> DataFrame:
+    """``word_stops`` from counted places."""
+    n = F.when(F.col("stopped"), F.col("n")).otherwise(0), F.when(F.col("stopped"), 0).otherwise(F.col("n"))
+    return counted.groupBy("word").agg(F.sum(n[0]).alias("stopped"), F.sum(n[1]).alias("open"))
 
 
 def word_stops(places: DataFrame) -> DataFrame:
@@ -106,14 +125,14 @@ def _joined_counts(rows: DataFrame, counts: DataFrame, key: str, name: str) -> D
     return lookup_join(rows, named, [key])
 
 
-def starter_scores(places: DataFrame, counts: DataFrame, shortened: DataFrame) -> DataFrame:
+def starter_scores(counted: DataFrame, counts: DataFrame, shortened: DataFrame) -> DataFrame:
     """word, at_start, tries, score: words by how much sentence starts attract them.
 
     A full stop ends a sentence here if its word is neither an abbreviation nor a letter.
     """
-    ends = places.filter(F.col("stopped") & F.col("next").isNotNull() & ~F.col("word").rlike("^[a-z]$"))
+    ends = counted.filter(F.col("stopped") & F.col("next").isNotNull() & ~F.col("word").rlike("^[a-z]$"))
     ends = ends.join(F.broadcast(shortened.select("word")), "word", "left_anti")
-    starts = ends.groupBy(F.col("next").alias("word")).agg(F.count(F.lit(1)).alias("at_start"))
+    starts = ends.groupBy(F.col("next").alias("word")).agg(F.sum("n").alias("at_start"))
     starts = stage(starts, "starts")
     n = counts.select(F.sum("tries")).scalar()
     all_ends = starts.select(F.sum("at_start")).scalar()
@@ -124,13 +143,13 @@ def starter_scores(places: DataFrame, counts: DataFrame, shortened: DataFrame) -
 
 
 def pair_scores(
-    places: DataFrame, counts: DataFrame, shortened: DataFrame, starters: DataFrame
+    counted: DataFrame, counts: DataFrame, shortened: DataFrame, starters: DataFrame
 ) -> DataFrame:
     """word, next, together, score: pairs around the full stop of an abbreviation or a letter."""
-    held = places.filter("stopped").filter(F.col("next").rlike("[a-z]"))
+    held = counted.filter("stopped").filter(F.col("next").rlike("[a-z]"))
     short = F.broadcast(shortened.select("word", F.lit(True).alias("short")))
     held = held.join(short, "word", "left").filter(F.col("short") | F.col("word").rlike("^[a-z]$"))
-    held = held.groupBy("word", "next").agg(F.count(F.lit(1)).alias("together"))
+    held = held.groupBy("word", "next").agg(F.sum("n").alias("together"))
     opens = F.broadcast(starters.select(F.col("word").alias("next")))
     held = held.filter(F.col("together") > 1).join(opens, "next", "left_anti")
     rows = _joined_counts(_joined_counts(held, counts, "word", "a"), counts, "next", "b")
@@ -145,11 +164,12 @@ def scores(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Written tables of abbreviations, starters and pairs that reach their thresholds.
 
-    Words and pairs are counted with partial sums in every task; the lists are what may
-    grow with the corpus, and of each the ``most`` best entries stay.
+    The paragraphs are read once: words, and pairs behind full stops, are counted with
+    partial sums in every task, and all three lists come from these counts.  The lists are
+    what may grow with the corpus, and of each the ``most`` best entries stay.
     """
-    places = word_places(paragraphs, text)
-    stops = stage(word_stops(places), "stops")
+    counted = stage(place_counts(word_places(paragraphs, text)), "places")
+    stops = stage(stops_of(counted), "stops")
     counts = stops.select("word", (F.col("stopped") + F.col("open")).alias("tries"))
     order = [F.desc("score"), F.asc("word")]
 
@@ -158,8 +178,8 @@ def scores(
         return stage(kept, "learned")
 
     shortened = best(abbreviation_scores(stops), fixed.ABBREVIATION_SCORE)
-    starters = best(starter_scores(places, counts, shortened), fixed.STARTER_SCORE)
-    pairs = pair_scores(places, counts, shortened, starters)
+    starters = best(starter_scores(counted, counts, shortened), fixed.STARTER_SCORE)
+    pairs = pair_scores(counted, counts, shortened, starters)
     return shortened, starters, best(pairs, fixed.PAIR_SCORE, "next")
 
 
@@ -175,7 +195,7 @@ def train(paragraphs: DataFrame, text: str = "paragraph", most: int = MOST) -> S
 
 def _goes_on(piece: Column, following: Column, known: Sentences) -> Column:
     """Whether the full stop at the end of a piece ends no sentence."""
-    last, first = F.regexp_extract(piece, r"(\S+)$", 1), F.regexp_extract(following, r"^(\S+)", 1)
+    last, first = F.regexp_extract(piece, r"(?<!\S)(\S+)$", 1), F.regexp_extract(following, r"^(\S+)", 1)
     word, after = word_type(last), word_type(first)
     letter = word.rlike("^[a-z]$")
     short = word.isin(list(known.abbreviations)) if known.abbreviations else F.lit(False)
@@ -193,17 +213,22 @@ def split_learned(paragraph: Column, known: Sentences) -> Column:
     (initials) and abbreviations.  An abbreviation ends one where a word follows that
     opens sentences, with a capital, unless the two are a fixed pair.
     """
+
+    def marked(pieces: Column) -> Column:
+        return F.transform(
+            pieces,
+            lambda p, i: F.concat(
+                p,
+                F.when(i + 1 >= F.size(pieces), "")
+                .when(_goes_on(p, F.get(pieces, i + 1), known), " ")
+                .otherwise("\n"),
+            ),
+        )
+
+    # As a value of an array the pieces are cut once, not once for each of them.
     pieces = F.split(paragraph, fixed.SENTENCE_BREAK)
-    marked = F.transform(
-        pieces,
-        lambda p, i: F.concat(
-            p,
-            F.when(i + 1 >= F.size(pieces), "")
-            .when(_goes_on(p, F.get(pieces, i + 1), known), " ")
-            .otherwise("\n"),
-        ),
-    )
-    return F.split(F.array_join(marked, ""), "\n")
+    joined = F.transform(F.array(pieces), lambda cut: F.array_join(marked(cut), ""))
+    return F.split(F.get(joined, F.lit(0)), "\n")
 
 
 def save(known: Sentences, path: str) -> None:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -116,3 +117,29 @@ def test_statements_by_learned_sentences(spark, known):
 
 def test_nothing_to_learn_from(spark, paragraphs):
     assert S.train(paragraphs.limit(0)) == S.Sentences()
+
+
+def test_paragraphs_are_counted_once_and_without_patterns_per_word(spark):
+    rows = [("",), (None,), ("  ",), ("a",), (" ... Inc. (the) e.g.  --- x--y-- .",), ("..",), ("É. a-. (B.)",)]
+    places = S.word_places(spark.createDataFrame(rows, "t string"), "t")
+    got = sorted((r["word"], r["stopped"], r["next"] or "") for r in places.collect())
+    words = [["a"], ["", "inc.", "the", "e.g.", "", "x--y", ""], [""], ["", "a-.", "b."]]
+    want = []
+    for line in words:
+        types = [w.removesuffix(".") for w in line]
+        want += [(t, w.endswith("."), n) for t, w, n in zip(types, line, [*types[1:], ""])]
+    assert got == sorted(want)
+    plan = places._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 4  # a word had eight or more of its own
+
+
+def test_counted_places_say_what_places_say(paragraphs):
+    places = S.word_places(paragraphs, "paragraph")
+    assert sorted(S.stops_of(S.place_counts(places)).collect()) == sorted(S.word_stops(places).collect())
+
+
+def test_a_long_paragraph_is_cut_once(spark, known):
+    text = " ".join(f"Firm {i} paid well and so did the other firms, St. Mary said." for i in range(8000))
+    begun = time.monotonic()
+    assert len(cut(spark, text, known)) == 8000
+    assert time.monotonic() - begun < 30  # each piece cut the whole paragraph again, in the square of its length
