@@ -222,6 +222,26 @@ def test_bags_hold_the_counts_of_known_terms(spark):
     assert got == {1: [(0, 1), (1, 2)], 2: [(2, 1)], 4: [(0, 1)]}
 
 
+def test_repeated_and_null_keys_are_one_text_each(spark):
+    rows = [(1, "x", ["b", "a", "b", None]), (1, "x", ["a", "c"]), (None, "y", ["a"]), (None, "y", ["b", "a"]),
+            (2, None, ["c"]), (3, "z", []), (4, "z", ["unknown"]), (5, "q", None)]
+    tokens = spark.createDataFrame(rows, "id int, o string, tokens array<string>").repartition(3)
+    known = spark.createDataFrame([("a", 0), ("b", 1), ("c", 1), ("a", 5)], "term string, term_id long")
+    bags = dictionary.term_bags(tokens, known, ["id", "o"]).collect()
+    got = {(r["id"], r["o"]): [tuple(x) for x in r["bag"]] for r in bags}
+    assert got == {(1, "x"): [(0, 2), (1, 3), (5, 2)], (None, "y"): [(0, 2), (1, 1), (5, 2)], (2, None): [(1, 1)]}
+    assert len(bags) == 3
+
+
+def test_terms_of_a_text_move_at_most_once(spark):
+    tokens = spark.range(300).selectExpr("id", "split(concat('water energy word', id % 7), ' ') AS tokens")
+    known = dictionary.dictionary(tokens)
+    for keys in (["id"], ["id", "tokens"]):
+        plan = dictionary.term_bags(tokens, known, keys)._jdf.queryExecution().executedPlan().toString()
+        # Rows and their terms meet by chunk; texts with keys of their own move no more after that.
+        assert "Exchange" not in plan.split("FlatMapCoGroupsInArrow")[0] and "hashpartitioning(chunk" in plan
+
+
 FIT = """
 import json, sys
 from claimscale.session import local_session
