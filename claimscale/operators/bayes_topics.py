@@ -14,13 +14,14 @@ from dataclasses import asdict, dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimscale import fixed
 from claimscale.functions.text import tokens as text_tokens
-from claimscale.operators.dictionary import dictionary, term_bags
+from claimscale.operators.dictionary import by_chunks, dictionary, term_bags, terms_of_chunks
 from claimscale.operators.joins import BROADCAST_BYTES
 from claimscale.operators.ranking import top_per_key
 from claimscale.operators.variational import digamma, log_gamma, settle, text_bounds
@@ -29,8 +30,9 @@ from claimscale.shipping import ship
 from claimscale.sources.staging import fresh_path, stage
 
 # Texts fall into buckets: enough for the tasks, and beyond that by what a task may hold.
-ROWS_PER_BUCKET, MANY_BUCKETS, MOST_TOKENS = 2_000, 24, 2_000_000
-MOST_ROWS = 50_000
+# Each term costs a row of numbers per bucket and pass, so these are large.
+ROWS_PER_BUCKET, MANY_BUCKETS, BUCKET_TOKENS = 2_000, 24, 8_000_000
+MOST_ROWS, MOST_TOKENS = 50_000, 2_000_000  # of a chunk to score
 BLOCK_ROWS = 1 << 16
 PASSES = 20
 TOLERANCE = 1e-4  # of the bound, relative: the passes end there
@@ -277,8 +279,8 @@ def fit(
     sum is made in the order of the buckets, so the model depends on neither the cluster
     nor the order of the rows.  Texts without terms take no part.
 
-    In a pass a row of numbers per term and bucket goes each way, and the texts' term
-    numbers go to their buckets.
+    In a pass a row of numbers per term and bucket goes each way.  The texts' term numbers
+    go to their buckets once, before the passes, and stay on disk there.
     """
     spark = documents.sparkSession
     ship(spark)
@@ -293,9 +295,9 @@ def fit(
     if not terms:
         raise ValueError("the texts hold no terms to learn from")
     rows, n_tokens = listed.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("tokens")), F.lit(0))).first()
-    buckets = max(min(rows // ROWS_PER_BUCKET, MANY_BUCKETS), n_tokens // MOST_TOKENS) + 1
+    buckets = max(min(rows // ROWS_PER_BUCKET, MANY_BUCKETS), n_tokens // BUCKET_TOKENS) + 1
     bucket = F.pmod("place", F.lit(buckets)).cast("int")
-    bags = term_bags(listed, known, ["place", "row"]).withColumn("bucket", bucket)
+    bags = term_bags(listed, known, ["place", "row"], unique=True).withColumn("bucket", bucket)
     bags = stage(
         bags.select(
             "bucket", "place", "row", F.col("bag.term_id").alias("terms"), F.col("bag.n").alias("counts")
@@ -308,19 +310,24 @@ def fit(
     model = BayesTopics(path or fresh_path(spark, "topics"), topics, terms, alpha, eta, forms, [])
     totals, parts, _ = _totals(matrix, topics, eta)
     width = shuffle_width(spark)
-    for _ in range(passes):
-        model.totals = totals.tolist()
-        of_topics = _topic_bound(parts, totals, terms, eta)
-        met = bags.groupBy("bucket").cogroup(_logs(matrix).groupBy("bucket"))
-        added = met.applyInArrow(_pass_over_texts(alpha, model.factors()), _SUMS)
-        sums = added.repartition(width, "term_id").sortWithinPartitions("term_id", "bucket")
-        matrix = stage(sums.mapInArrow(_matrix_rows(eta), _MATRIX), "matrix")
-        totals, parts, of_texts = _totals(matrix, topics, eta)
-        model.bounds.append(of_topics + of_texts)
-        if len(model.bounds) > 1:
-            before, now = model.bounds[-2:]
-            if now - before < tolerance * abs(before):
-                break
+    placed = bags.repartition(width, "bucket").sortWithinPartitions("bucket").persist(StorageLevel.DISK_ONLY)
+    try:
+        placed.count()  # a plan knows how a table is placed once that is done
+        for _ in range(passes):
+            model.totals = totals.tolist()
+            of_topics = _topic_bound(parts, totals, terms, eta)
+            met = placed.groupBy("bucket").cogroup(_logs(matrix).groupBy("bucket"))
+            added = met.applyInArrow(_pass_over_texts(alpha, model.factors()), _SUMS)
+            sums = added.repartition(width, "term_id").sortWithinPartitions("term_id", "bucket")
+            matrix = stage(sums.mapInArrow(_matrix_rows(eta), _MATRIX), "matrix")
+            totals, parts, of_texts = _totals(matrix, topics, eta)
+            model.bounds.append(of_topics + of_texts)
+            if len(model.bounds) > 1:
+                before, now = model.bounds[-2:]
+                if now - before < tolerance * abs(before):
+                    break
+    finally:
+        placed.unpersist()
     model.totals = totals.tolist()
     rows = matrix.filter(F.col("term_id") >= 0).select("term_id", "weights")
     rows = rows.mapInArrow(_with_logs, "term_id long, weights array<double>, logs array<double>")
@@ -368,17 +375,9 @@ def _inferred(alpha: float, factors: Sequence[float], kept: Sequence[str], names
 
 
 def _beside_terms(model: BayesTopics, rows: DataFrame, *columns: str):
-    """Chunks of written rows (row, tokens), each with the matrix's rows of its own terms.
-
-    A chunk is of rows that were written by one task, so its distinct terms are found
-    before they move; each of them is looked up once a chunk.
-    """
-    n, n_tokens = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("tokens")), F.lit(0))).first()
-    size = max(1, min(MOST_ROWS, MOST_TOKENS * n // max(n_tokens, 1)))
-    task, at = F.shiftright("row", 33), F.col("row").bitwiseAND(F.lit((1 << 33) - 1))
-    rows = rows.withColumn("chunk", F.concat_ws("-", task, F.floor(at / size)))
-    terms = rows.select(F.col("chunk").alias("of"), F.explode("tokens").alias("term")).distinct()
-    known = terms.join(model.matrix().select("term", *columns), "term")
+    """Chunks of written rows (row, tokens), each with the matrix's rows of its own terms."""
+    rows = by_chunks(rows, "tokens", MOST_ROWS, MOST_TOKENS)
+    known = terms_of_chunks(rows, "tokens", model.matrix().select("term", *columns))
     return rows.groupBy("chunk").cogroup(known.groupBy("of"))
 
 

@@ -302,3 +302,20 @@ def test_known_words_are_told_alike_by_chunks(spark, statements, model, monkeypa
     assert chunks["log_likelihood"] == pytest.approx(whole["log_likelihood"], rel=1e-9)
     nothing = B.log_likelihood(model, statements.filter("id > 499")).first()
     assert tuple(nothing) == (0, None)
+
+
+def test_texts_go_to_their_buckets_once(spark, monkeypatch):
+    docs = spark.range(300).selectExpr("id", "concat('water energy word', id % 7) AS statement")
+    plans, plain = [], B.stage
+
+    def seen(df, label="stage"):
+        if label == "matrix":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, label)
+
+    monkeypatch.setattr(B, "stage", seen)
+    B.fit(docs, order=["id"], topics=2, passes=2, tolerance=0)
+    moves = [len([x for x in p.splitlines() if "hashpartitioning(bucket" in x and "ENSURE" in x]) for p in plans[1:]]
+    # The matrix's rows move in each pass, the texts did too before.
+    assert moves == [1, 1]
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
