@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from claimscale.llm.arrow_text import chunks, mixed
 from claimscale.llm.token_files import END_ID, with_end
-from claimscale.llm.tokens import CHUNK_BYTES, encoder
+from claimscale.llm.tokens import encoder
 from claimscale.session import shuffle_width
 
 SEQUENCE = 1024
@@ -28,6 +28,7 @@ FEATURES = 1 << 16
 SPREAD = 0.08  # standard deviations of mean projections seen on prose; the scale only
 BORDER_SAMPLE = 64
 PART_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10  # of text keyed at once: its ids, features and sums stand beside the encoder's arrays
 SEED = 11
 
 _KEYED = "part int, key long, doc_id long, n_tokens long, ids binary"
