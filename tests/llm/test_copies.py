@@ -317,3 +317,16 @@ def test_every_window_has_its_anchor_wherever_it_stands():
             assert known.setdefault(texts[t][i : i + 20], a) == a
             covered[t] += 1
     assert dict(covered) == {i: len(t) - 19 for i, t in enumerate(texts) if len(t) >= 20}
+
+
+def test_segments_cross_the_network_once_at_the_end(spark, docs):
+    numbered = docs.select(docs.doc_id.cast("long").alias("doc"), "text").dropDuplicates(["doc"])
+    found = repeats.stretches(
+        stage(numbered, "numbered"), suffix_dedup.byte_units, 50, 20, suffix_dedup._cut_bytes(50),
+        suffix_dedup._byte_windows(50), suffix_dedup._resolve(50), earlier_only=True,
+    )
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # Spans are small numbers; ends took as much room as starts, and two selects read all twice.
+    assert "span#" in plan and "last#" not in plan
+    assert plan.count("Relation [anchor") <= 3 and "Union" not in plan
+    assert {f.simpleString() for f in found.schema} == {"doc:bigint", "start:int", "end:int"}
