@@ -186,7 +186,7 @@ def remove_passages(
     not read.
     """
     numbered = ordered_key(docs)
-    spans = repeats.stretches(
+    spans = repeats.written_stretches(
         numbered,
         word_units,
         length,

@@ -3,7 +3,9 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -11,7 +13,7 @@ from corpus import empty, frame, phrase, rows
 
 from claimscale.llm import near_dedup, phrase_automata, repeats, suffix_dedup
 from claimscale.llm.components import components
-from claimscale.sources.staging import stage
+from claimscale.sources.staging import FREE_SHUFFLES, stage, stage_and_free, stage_folder
 
 
 @pytest.fixture(scope="module")
@@ -330,3 +332,32 @@ def test_segments_cross_the_network_once_at_the_end(spark, docs):
     assert "span#" in plan and "last#" not in plan
     assert plan.count("Relation [anchor") <= 3 and "Union" not in plan
     assert {f.simpleString() for f in found.schema} == {"doc:bigint", "start:int", "end:int"}
+
+
+def test_what_led_to_the_removed_strings_is_gone(spark, docs):
+    """Tables of earlier steps don't lie beside what the texts then need."""
+    folder = Path(stage_folder(spark).removeprefix("file://"))
+    unique_docs = stage(docs.filter("doc_id is not null").dropDuplicates(["doc_id"]))
+    before = set(folder.glob("*"))
+    got = suffix_dedup.remove_repeats(unique_docs)
+    held = {p.name.split("-")[0] for p in set(folder.glob("*")) - before}
+    assert held == {"spans"}
+    assert got.count() == unique_docs.count()
+
+
+def _shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for folder in manager.localDirsString() for f in Path(folder).rglob("shuffle_*.data")}
+
+
+def test_shuffle_files_go_once_a_table_is_written(spark):
+    known, before = spark.conf.get(FREE_SHUFFLES, None), _shuffle_files(spark)
+    path = f"{stage_folder(spark)}/freed"
+    written = stage_and_free(spark.range(50).repartition(3, "id"), path)
+    for _ in range(50):
+        if not _shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not _shuffle_files(spark) - before
+    assert sorted(r.id for r in written.collect()) == list(range(50))
+    assert spark.conf.get(FREE_SHUFFLES, None) == known
