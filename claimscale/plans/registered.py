@@ -862,21 +862,16 @@ def modelled_news(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select(
         F.col("page_id"), "url", T.title(F.col("html"), "title").alias("title")
     )
-    events = table(spark, folder, "events")
     size = pages.select(F.count(F.lit(1)).alias("n")).scalar()
-    articles = events.withColumn("page_id", F.col("event_id") % size).join(
-        pages, "page_id"
-    )
-    articles = articles.select(
+    # Titles belong to pages: each is scored once, however many articles share the page.
+    classified = stage(news.classify_news(model, pages, columns=("page_id", "url", "title")), "titles")
+    events = table(spark, folder, "events").select(
+        (F.col("event_id") % size).alias("page_id"),
         F.col("ts").alias("date"),
-        F.concat(F.lit("org_"), (F.col("user_id") % 10).cast("string")).alias(
-            "organisation"
-        ),
-        "url",
+        F.concat(F.lit("org_"), (F.col("user_id") % 10).cast("string")).alias("organisation"),
         (F.col("value") - 100).alias("tone"),
-        "title",
     )
-    scores = news.news_scores(news.classify_news(model, articles))
+    scores = news.news_scores(events.join(classified, "page_id"))
     n = F.count(F.lit(1)).over(Window.partitionBy("policy"))
     place = F.row_number().over(Window.partitionBy("policy").orderBy("score"))
     even = F.abs(F.col("score") - place * 100 / n) < 1e-9

@@ -319,3 +319,22 @@ def test_texts_go_to_their_buckets_once(spark, monkeypatch):
     # The matrix's rows move in each pass, the texts did too before.
     assert moves == [1, 1]
     assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_a_title_is_scored_once_for_all_articles_of_its_page(spark, model, tmp_path, monkeypatch):
+    from claimscale.plans import news, registered
+
+    pages = [(i, f"u{i}", f"<title>ocean water {i}</title>") for i in range(4)]
+    events = [(i, f"2024-01-{i % 28 + 1:02d}", i % 30, float(i % 7)) for i in range(200)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    frame = spark.createDataFrame(events, "event_id long, ts string, user_id long, value double")
+    frame.write.parquet(f"{tmp_path}/events.parquet")
+    scored, classify = [], news.classify_news
+    monkeypatch.setattr(registered, "_fitted", lambda spark, folder: (model, None))
+    monkeypatch.setattr(
+        news, "classify_news", lambda m, rows, **kw: scored.append(rows.count()) or classify(m, rows, **kw)
+    )
+    found = registered.modelled_news(spark, str(tmp_path)).collect()
+    assert scored == [4]
+    assert {r.organisation for r in found} == {f"org_{i}" for i in range(10)}
+    assert len(found) == 50 and all(r.is_even_rank for r in found)
