@@ -210,3 +210,8 @@ def encoder(path: str) -> Encoder:
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
+
+
+def forget() -> None:
+    """Drop what this worker process remembers of texts; it is learned anew when needed."""
+    _encoders.clear()

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimscale.llm import tokens
 from claimscale.llm.arrow_text import chunks, lower_ascii
 from claimscale.sources.staging import stage
 
@@ -29,7 +30,7 @@ STEPS = 80
 RATE = 0.5
 RIDGE = 1e-3
 THRESHOLD = 0.3
-CHUNK_BYTES = 1 << 20  # of text at once; the arrays of all n-grams are some 60 times that
+CHUNK_BYTES = 256 << 10  # of text at once; the arrays of all n-grams are some 60 times that
 
 
 @dataclass
@@ -62,6 +63,7 @@ def _hashed(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    tokens.forget()  # workers serve one step after the other
     held = np.zeros(1 << FEATURE_BITS, bool)
     for rows, data, offsets in chunks(batches, limit=CHUNK_BYTES):
         hashed = list(_hashed(data, offsets))
@@ -237,6 +239,7 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()  # workers serve one step after the other
         features, weights, bias = kept.value
         weight_of = np.zeros(1 << FEATURE_BITS, np.float32)
         weight_of[features] = weights

@@ -9,7 +9,8 @@ from collections import Counter, defaultdict
 import pytest
 from corpus import empty, frame, phrase, rows
 
-from claimscale.llm import language_id, toxicity
+from claimscale.llm import language_id, tokens, toxicity
+from claimscale.llm.shipping import ship
 
 BAD = ["idiotic", "wretched", "scoundrel", "loathsome"]
 
@@ -205,3 +206,25 @@ def test_identify_without_pages_or_languages(spark, web):
     assert language_id.identify(pages.limit(0), docs).count() == 0
     got = language_id.identify(pages, docs.limit(0)).collect()
     assert len(got) == 94 and {r.language for r in got} == {None}
+
+
+def test_batches_of_long_texts_are_bounded(spark):
+    ship(spark)
+    texts = spark.range(1_500, numPartitions=1).selectExpr("id", "repeat('0123456789', 2000) AS text")
+
+    def sizes(batches):
+        for batch in batches:
+            yield batch.from_pydict({"n": [batch.nbytes]})
+
+    found = [row.n for row in texts.mapInArrow(sizes, "n long").collect()]
+    assert sum(found) > 1_500 * 20_000 and max(found) < 9 << 20
+
+
+def test_a_worker_keeps_nothing_of_earlier_steps(spark, labelled):
+    """Scoring starts without the texts that a tokenizer's worker remembers."""
+    tokens._encoders["a path"] = "what was learned"
+    tokens.forget()
+    assert not tokens._encoders
+    docs, labels = labelled
+    scored = toxicity.score(docs.repartition(1), toxicity.fit(docs, labels))
+    assert scored.count() == docs.count()
