@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimscale.llm.arrow_text import chunks, lower_ascii, mixed, word_hashes, words
-from claimscale.llm.components import components
+from claimscale.llm.components import components, stars
 from claimscale.llm.rows import row_key, with_row_ids
-from claimscale.sources.staging import stage
+from claimscale.sources.staging import stage, stage_few
 
 RING = 1 << 20
 ROWS = 5
@@ -226,7 +226,7 @@ def rare_buckets(
     here = here.join(
         family.select(F.col("node").alias("rep"), F.col("component").alias("family")), "rep"
     )
-    here = stage(here, "open")
+    here = stage_few(here, "open")
     read = here.join(texts.withColumnRenamed("doc_id", "rep"), "rep")
     tokens = stage(
         read.select("rep", "family", "n_shingles", "text").mapInArrow(
@@ -322,19 +322,18 @@ def _groups(
     )
     banded = classes.select("rep", "n_shingles", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = stage(banded.join(shared, "bucket"), "members")
     # The text that many others vary shares more buckets than they do with each other.
-    degrees = members.groupBy("rep").agg((-F.sum("n")).alias("rank"))
-    members = stage(
-        members.join(degrees, "rep").select(
-            "bucket", "rep", "n_shingles", F.lit(0).cast("long").alias("at"), "rank",
-            F.col("rep").alias("label"),
+    degree = -F.sum("n").over(Window.partitionBy("rep"))  # a text has as many rows as bands
+    members = stage_few(
+        banded.join(shared, "bucket").select(
+            "bucket", "rep", "n_shingles", F.lit(0).cast("long").alias("at"),
+            degree.alias("rank"), F.col("rep").alias("label"),
         ),
         "members",
     )
     texts = read.withColumnRenamed("doc_id", "rep").join(members.select("rep").distinct(), "rep")
     texts = stage(texts.select(F.col("rep").alias("doc_id"), "text"), "texts")
-    labels = stage(members.select("rep", "label").distinct(), "labels")
+    labels = texts.select(F.col("doc_id").alias("rep"), F.col("doc_id").alias("label"))
     tested, leaders_each = None, 1
     while True:
         mixed_up = (
@@ -342,14 +341,14 @@ def _groups(
             .agg(F.min("label").alias("low"), F.max("label").alias("high"))
             .filter("low < high")
         )
-        members = stage(members.join(mixed_up.select("bucket"), "bucket"), "members")
+        members = stage_few(members.join(mixed_up.select("bucket"), "bucket"), "members")
         if members.isEmpty():
             break
         choice = F.pmod(F.xxhash64("rep"), F.lit(leaders_each)).alias("choice")
         leaders = members.groupBy("bucket", choice).agg(
             F.min(F.struct("rank", "rep", "label", "n_shingles", "at")).alias("first")
         )
-        leaders = stage(
+        leaders = stage_few(
             leaders.select(
                 "bucket",
                 F.col("first.rep").alias("leader"),
@@ -372,11 +371,10 @@ def _groups(
             ends = links.join(known, links["u"] == known["rep"])
             ends = ends.select(F.col("label").alias("u"), "v")
             ends = ends.join(known, ends["v"] == known["rep"])
-            moved = components(ends.select("u", F.col("label").alias("v")))
-            moved = moved.filter("node <> component").withColumnRenamed("node", "label")
-            moved = stage(moved, "moved")
+            moved = stars(ends.select("u", F.col("label").alias("v")))
+            moved = moved.withColumnRenamed("node", "label")
             now = F.coalesce("component", "label").alias("label")
-            labels = stage(labels.join(moved, "label", "left").select("rep", now), "labels")
+            labels = stage_few(labels.join(moved, "label", "left").select("rep", now), "labels")
             members = members.join(moved, "label", "left").select(
                 "bucket", "rep", "n_shingles", "at", "rank", now
             )

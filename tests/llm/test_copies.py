@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from corpus import empty, frame, phrase, rows
 
+from claimscale.llm import components as components_of
 from claimscale.llm import near_dedup, phrase_automata, repeats, suffix_dedup
 from claimscale.llm.components import components
 from claimscale.sources.staging import FREE_SHUFFLES, stage, stage_and_free, stage_folder
@@ -46,6 +47,39 @@ def test_components_of_random_graphs_and_a_chain(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_links_of_one_task_are_stars_before_the_first_step(spark):
+    r = random.Random(3)
+    u, v = (np.array(r.choices(range(300), k=200)) for _ in range(2))
+    nodes, least = components_of.least_reachable(u, v)
+    # groups_of knows all numbers up to a bound; those without links are alone.
+    assert dict(zip(nodes.tolist(), least.tolist())) == {
+        n: c for n, c in groups_of(zip(u.tolist(), v.tolist()), range(300)).items() if n in set(nodes.tolist())
+    }
+    chain = spark.range(1, 400).selectExpr("id AS u", "id - 1 AS v").coalesce(1)
+    folder = Path(stage_folder(spark).removeprefix("file://"))
+    before = set(folder.glob("links-*"))
+    assert {r.component for r in components_of.stars(chain).collect()} == {0}
+    assert len(set(folder.glob("links-*")) - before) == 1
+
+
+def test_tables_of_numbers_are_few_files(spark):
+    """Not one for each shuffle partition, however many a session has."""
+    known = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "211")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        folder = Path(stage_folder(spark).removeprefix("file://"))
+        before = set(folder.glob("links-*"))
+        links = spark.range(5_000).selectExpr("id AS u", "id DIV 2 AS v").repartition(211, "u")
+        found = {r.node: r.component for r in components_of.components(links).collect()}
+    finally:
+        for k, value in known.items():
+            spark.conf.set(k, value)
+    assert found == dict.fromkeys(range(5_000), 0)
+    most = 4 * spark.sparkContext.defaultParallelism
+    assert all(len(list(f.glob("part-*"))) <= most for f in set(folder.glob("links-*")) - before)
+
+
 def shingles(text, size):
     small = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     found = re.findall(r"[^\x20\x09-\x0D]+", small)
