@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from corpus import empty, frame, phrase, rows
 
@@ -355,6 +356,29 @@ def test_every_window_has_its_anchor_wherever_it_stands():
     assert dict(covered) == {i: len(t) - 19 for i, t in enumerate(texts) if len(t) >= 20}
 
 
+def test_contents_of_a_very_frequent_anchor_are_cut_into_a_few_pieces():
+    """Not into each of their windows; a window is in one piece, equal ones share its anchor."""
+    r = random.Random(11)
+    middle = bytes(r.choices(b"abcdefgh", k=24))
+    contents = [bytes(r.choices(b"abcdefgh", k=28)) + middle + bytes(r.choices(b"abcdefgh", k=28)) for _ in range(60)]
+    contents += [contents[0][:60] + contents[1][60:]]
+    n = len(contents)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([5] * n), pa.array(range(n)), pa.array(range(n)), pa.array([1] * n), pa.array(contents, pa.binary())],
+        names=["anchor", "seg", "doc", "members", "content"],
+    )
+    run = repeats._pieces(suffix_dedup.byte_units, 50, 35, suffix_dedup._cut_bytes(50))
+    found = pa.Table.from_batches(run(iter([batch]))).to_pylist()
+    assert len(found) <= n * 31 / 4
+    part_of, covered = {}, Counter()
+    for row in found:
+        assert row["content"] == contents[row["doc"]][row["first"] : row["first"] + row["span"] + 50]
+        for i in range(row["first"], row["first"] + row["span"] + 1):
+            covered[row["doc"], i] += 1
+            assert part_of.setdefault(contents[row["doc"]][i : i + 50], row["part"]) == row["part"]
+    assert covered == Counter((d, i) for d, c in enumerate(contents) for i in range(len(c) - 49))
+
+
 def test_segments_cross_the_network_once_at_the_end(spark, docs):
     numbered = docs.select(docs.doc_id.cast("long").alias("doc"), "text").dropDuplicates(["doc"])
     found = repeats.stretches(
