@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from claimscale.llm import tokens
 from claimscale.llm.arrow_text import chunks, lower_ascii
+from claimscale.llm.spans import buffers
 from claimscale.sources.staging import stage
 
 SIZES = (4, 5, 6)  # bytes of UTF-8
@@ -30,6 +31,7 @@ STEPS = 80
 RATE = 0.5
 RIDGE = 1e-3
 THRESHOLD = 0.3
+BLOCK_HITS = 1 << 18  # n-grams of training rows that the driver weighs at once
 CHUNK_BYTES = 256 << 10  # of text at once; the arrays of all n-grams are some 60 times that
 
 
@@ -178,14 +180,15 @@ def fit(
     if not len(kept):
         kept = np.flatnonzero(held[1])
     rows = sample.mapInArrow(_only(kept), "toxic int, features binary").toArrow()
-    blobs = [np.frombuffer(b, "<i4") for b in rows.column("features").to_pylist()]
+    data, edges = buffers(rows.column("features").combine_chunks())
     truth = np.array(rows.column("toxic").to_pylist(), np.int64)
-    owner = np.repeat(np.arange(len(blobs)), [len(b) for b in blobs])
-    column = np.searchsorted(kept, np.concatenate(blobs))
-    value = ratio[kept][column] * _scale(np.bincount(owner, minlength=len(blobs)))[owner]
-    weights, bias = _regress(owner, column, value, truth, stands_for[truth], len(kept))
-    del rows, blobs, sample, held
+    place = np.zeros(1 << FEATURE_BITS, np.int32)
+    place[kept] = np.arange(len(kept))
+    column = place[data[edges[0] : edges[-1]].view("<i4")]
+    edges = (edges - edges[0]) // 4
+    del rows, data, sample, held
     pa.default_memory_pool().release_unused()
+    weights, bias = _regress(edges, column, ratio[kept], truth, stands_for[truth])
     return Model(kept, weights * ratio[kept], bias)
 
 
@@ -198,26 +201,42 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def _blocks(edges: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Rows together that hold some BLOCK_HITS n-grams, or one row that holds more."""
+    first = 0
+    while first + 1 < len(edges):
+        last = int(np.searchsorted(edges, edges[first] + BLOCK_HITS, side="right")) - 1
+        yield first, (last := max(last, first + 1))
+        first = last
+
+
 def _regress(
-    owner: np.ndarray,
+    edges: np.ndarray,
     column: np.ndarray,
-    value: np.ndarray,
+    ratio: np.ndarray,
     truth: np.ndarray,
     stands_for: np.ndarray,
-    width: int,
 ) -> tuple[np.ndarray, float]:
     """Logistic regression by full gradient steps, each coordinate at its own pace.
 
-    A row counts as the number of rows it stands for.
+    Row i holds the n-grams ``column[edges[i] : edges[i + 1]]`` and counts as the number
+    of rows it stands for.  A step goes through blocks of rows in order, so beside
+    ``column`` the driver holds the numbers of one block only.
     """
-    n = len(truth)
+    n, sizes = len(truth), np.diff(edges)
+    scale = _scale(sizes)
     part = stands_for / stands_for.mean()
-    weights, bias = np.zeros(width), 0.0
-    past, past_bias = np.full(width, 1e-8), 1e-8
+    weights, bias = np.zeros(len(ratio)), 0.0
+    past, past_bias = np.full(len(ratio), 1e-8), 1e-8
     for _ in range(STEPS):
-        z = np.bincount(owner, value * weights[column], n) + bias
-        error = (_sigmoid(z) - truth) * part
-        gradient = np.bincount(column, value * error[owner], width) / n + RIDGE * weights
+        error, gradient = np.zeros(n), np.zeros(len(ratio))
+        for a, b in _blocks(edges):
+            own, hit = np.repeat(np.arange(b - a), sizes[a:b]), column[edges[a] : edges[b]].astype(np.intp)
+            value = ratio[hit] * scale[a:b][own]
+            z = np.bincount(own, value * weights[hit], b - a) + bias
+            error[a:b] = (_sigmoid(z) - truth[a:b]) * part[a:b]
+            np.add.at(gradient, hit, value * error[a:b][own])
+        gradient = gradient / n + RIDGE * weights
         past += gradient**2
         weights -= RATE * gradient / np.sqrt(past)
         past_bias += error.mean() ** 2
