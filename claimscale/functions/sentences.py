@@ -3,13 +3,15 @@
 A word that nearly always has a full stop after it, though it is short, is an
 abbreviation; a word that stands after sentence ends far more often than elsewhere opens
 sentences; and a pair of words around a full stop may belong together.  All three are
-likelihood ratios of counts over the whole corpus.  What was learned is a few short lists,
-and a text is cut by them in the task that reads it.
+likelihood ratios of counts over the whole corpus.  What was learned is three lists, whole.
+While they are short a text is cut by them in the task that reads it; longer ones stay
+tables that sentence ends are joined with (``rule``).
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,10 +19,10 @@ from pyspark.sql import functions as F
 
 from claimscale import fixed
 from claimscale.operators.compute import explode_computed
-from claimscale.operators.joins import lookup_join
+from claimscale.operators.joins import held_bytes, lookup_join, measured
 from claimscale.sources.staging import stage
 
-MOST = 20_000  # entries of a list; the best ones stay
+PLAN_BYTES = 1 << 20  # of a list that the plan may hold; a longer one stays a table
 
 
 @dataclass(frozen=True)
@@ -131,7 +133,7 @@ def starter_scores(counted: DataFrame, counts: DataFrame, shortened: DataFrame)
     A full stop ends a sentence here if its word is neither an abbreviation nor a letter.
     """
     ends = counted.filter(F.col("stopped") & F.col("next").isNotNull() & ~F.col("word").rlike("^[a-z]$"))
-    ends = ends.join(F.broadcast(shortened.select("word")), "word", "left_anti")
+    ends = ends.join(measured(shortened.select("word")), "word", "left_anti")
     starts = ends.groupBy(F.col("next").alias("word")).agg(F.sum("n").alias("at_start"))
     starts = stage(starts, "starts")
     n = counts.select(F.sum("tries")).scalar()
@@ -147,10 +149,10 @@ def pair_scores(
 ) -> DataFrame:
     """word, next, together, score: pairs around the full stop of an abbreviation or a letter."""
     held = counted.filter("stopped").filter(F.col("next").rlike("[a-z]"))
-    short = F.broadcast(shortened.select("word", F.lit(True).alias("short")))
+    short = measured(shortened.select("word", F.lit(True).alias("short")))
     held = held.join(short, "word", "left").filter(F.col("short") | F.col("word").rlike("^[a-z]$"))
     held = held.groupBy("word", "next").agg(F.sum("n").alias("together"))
-    opens = F.broadcast(starters.select(F.col("word").alias("next")))
+    opens = measured(starters.select(F.col("word").alias("next")))
     held = held.filter(F.col("together") > 1).join(opens, "next", "left_anti")
     rows = _joined_counts(_joined_counts(held, counts, "word", "a"), counts, "next", "b")
     n = counts.select(F.sum("tries")).scalar()
@@ -160,13 +162,13 @@ def pair_scores(
 
 
 def scores(
-    paragraphs: DataFrame, text: str = "paragraph", most: int = MOST
+    paragraphs: DataFrame, text: str = "paragraph", most: int | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Written tables of abbreviations, starters and pairs that reach their thresholds.
 
     The paragraphs are read once: words, and pairs behind full stops, are counted with
-    partial sums in every task, and all three lists come from these counts.  The lists are
-    what may grow with the corpus, and of each the ``most`` best entries stay.
+    partial sums in every task, and all three lists come from these counts.  The lists may
+    grow with the corpus and are whole; only a caller who sets ``most`` gets the best of each.
     """
     counted = stage(place_counts(word_places(paragraphs, text)), "places")
     stops = stage(stops_of(counted), "stops")
@@ -174,8 +176,8 @@ def scores(
     order = [F.desc("score"), F.asc("word")]
 
     def best(rows: DataFrame, least: float, *ties: str) -> DataFrame:
-        kept = rows.filter(F.col("score") >= least).orderBy(*order, *ties).limit(most)
-        return stage(kept, "learned")
+        kept = rows.filter(F.col("score") >= least).orderBy(*order, *ties)
+        return stage(kept if most is None else kept.limit(most), "learned")
 
     shortened = best(abbreviation_scores(stops), fixed.ABBREVIATION_SCORE)
     starters = best(starter_scores(counted, counts, shortened), fixed.STARTER_SCORE)
@@ -183,9 +185,17 @@ def scores(
     return shortened, starters, best(pairs, fixed.PAIR_SCORE, "next")
 
 
-def train(paragraphs: DataFrame, text: str = "paragraph", most: int = MOST) -> Sentences:
-    """Learn from clean paragraphs (words parted by single blanks)."""
-    shortened, starters, pairs = scores(paragraphs, text, most)
+def train(
+    paragraphs: DataFrame, text: str = "paragraph", most: int | None = None
+) -> Sentences:
+    """Learn from clean paragraphs (words parted by single blanks).
+
+    The lists come to the driver; ``rule`` also does with lists that don't fit there.
+    """
+    return _collected(*scores(paragraphs, text, most))
+
+
+def _collected(shortened: DataFrame, starters: DataFrame, pairs: DataFrame) -> Sentences:
     return Sentences(
         tuple(sorted(r["word"] for r in shortened.collect())),
         tuple(sorted(r["word"] for r in starters.collect())),
@@ -193,16 +203,21 @@ def train(paragraphs: DataFrame, text: str = "paragraph", most: int = MOST) -> S
     )
 
 
+def _around(piece: Column, following: Column) -> tuple[Column, Column, Column, Column]:
+    """The words around the end of a piece, whether the first is a letter, the second has a capital."""
+    last, first = F.regexp_extract(piece, r"(?<!\S)(\S+)$", 1), F.regexp_extract(following, r"^(\S+)", 1)
+    word = word_type(last)
+    return word, word_type(first), word.rlike("^[a-z]$"), first.rlike("^[^a-z]*[A-Z]")
+
+
 def _goes_on(piece: Column, following: Column, known: Sentences) -> Column:
     """Whether the full stop at the end of a piece ends no sentence."""
-    last, first = F.regexp_extract(piece, r"(?<!\S)(\S+)$", 1), F.regexp_extract(following, r"^(\S+)", 1)
-    word, after = word_type(last), word_type(first)
-    letter = word.rlike("^[a-z]$")
+    word, after, letter, capital = _around(piece, following)
     short = word.isin(list(known.abbreviations)) if known.abbreviations else F.lit(False)
     opens = after.isin(list(known.starters)) if known.starters else F.lit(False)
     pair = F.concat(word, F.lit(" "), after)
     fixed_pair = pair.isin([f"{a} {b}" for a, b in known.pairs]) if known.pairs else F.lit(False)
-    ends = short & ~letter & opens & first.rlike("^[^a-z]*[A-Z]") & ~fixed_pair
+    ends = short & ~letter & opens & capital & ~fixed_pair
     return piece.endswith(".") & (letter | short) & ~ends
 
 
@@ -231,6 +246,91 @@ def split_learned(paragraph: Column, known: Sentences) -> Column:
     return F.split(F.get(joined, F.lit(0)), "\n")
 
 
+def going_on(
+    rows: DataFrame, key: str, shortened: DataFrame, starters: DataFrame, pairs: DataFrame
+) -> DataFrame:
+    """key, going: the pieces of each paragraph whose full stop ends no sentence, by place.
+
+    What ``_goes_on`` says, by joins with lists of any length: distinct pairs of words
+    around a full stop meet the lists, and the places meet these pairs.  Paragraphs
+    without such a piece have no row.
+    """
+    # As a value of an array the pieces are cut once.
+    pieces = F.transform(
+        F.array(F.split("paragraph", fixed.SENTENCE_BREAK)),
+        lambda cut: F.transform(
+            cut, lambda p, i: F.struct(p.alias("piece"), F.get(cut, i + 1).alias("following"))
+        ),
+    )
+    each = explode_computed(rows, F.get(pieces, F.lit(0)), [key], "at", "p").select(key, "at", "p.*")
+    names = ("word", "after", "letter", "capital")
+    said = [c.alias(n) for n, c in zip(names, _around(F.col("piece"), F.col("following")))]
+    places = stage(
+        each.filter(F.col("piece").endswith(".") & F.col("following").isNotNull()).select(key, "at", *said), "places"
+    )
+    around = places.filter("not letter").select("word", "after").distinct()
+    around = around.join(measured(shortened.select("word")), "word", "left_semi")
+    opens = measured(starters.select(F.col("word").alias("after"), F.lit(True).alias("opens")))
+    held = measured(pairs.select("word", F.col("next").alias("after"), F.lit(True).alias("held")))
+    around = around.join(opens, "after", "left").join(held, ["word", "after"], "left")
+    may_end = F.col("opens").isNotNull() & F.col("held").isNull()
+    around = stage(around.select("word", "after", may_end.alias("may_end")), "around")
+    known = lookup_join(places.filter("not letter"), around, ["word", "after"])
+    going = known.filter("not (may_end and capital)").select(key, "at")
+    going = going.unionByName(places.filter("letter").select(key, "at"))
+    return going.groupBy(key).agg(F.sort_array(F.collect_list("at")).alias("going"))
+
+
+def split_marked(paragraph: Column, going: Column) -> Column:
+    """``split_learned`` where the places of pieces that go on are known, in order (null: none)."""
+
+    def flags(places: Column) -> Column:
+        before = lambda i: F.when(i > 0, F.get(places, i - 1)).otherwise(-1)
+        ends = lambda at, i: F.array_repeat(F.lit(False), at - before(i) - 1)
+        return F.flatten(F.transform(places, lambda at, i: F.concat(ends(at, i), F.array(F.lit(True)))))
+
+    none = F.array().cast("array<boolean>")
+    marked = F.zip_with(
+        F.split(paragraph, fixed.SENTENCE_BREAK),
+        F.coalesce(flags(going), none),
+        lambda piece, on: F.concat(piece, F.when(on, " ").otherwise("\n")),
+    )
+    # Every piece has a sign behind it, the last one too.
+    joined = F.transform(
+        F.array(F.array_join(marked, "")), lambda text: F.substr(text, F.lit(1), F.length(text) - 1)
+    )
+    return F.split(F.get(joined, F.lit(0)), "\n")
+
+
+@dataclass(frozen=True)
+class Rule:
+    """How ``text.explode_statements`` cuts: what it marks paragraphs with, and what splits them."""
+
+    split: Callable[[Column], Column]
+    mark: Callable[[DataFrame], DataFrame] | None = None
+
+
+def rule(paragraphs: DataFrame, text: str = "paragraph", plan_bytes: int = PLAN_BYTES) -> Rule:
+    """Learn from clean paragraphs, and cut by all that was learned.
+
+    Lists of at most ``plan_bytes`` each travel in the plan, and no text moves.  Longer
+    ones stay tables: sentence ends are joined with them, and paragraphs with the outcome.
+    """
+    lists = scores(paragraphs, text)
+    words = [t.select(*(c for c in ("word", "next") if c in t.columns)) for t in lists]
+    if all(held_bytes(w) <= plan_bytes for w in words):
+        known = _collected(*words)
+        return Rule(lambda paragraph: split_learned(paragraph, known))
+
+    def mark(cleaned: DataFrame) -> DataFrame:
+        # Keys may repeat or be null: paragraphs get numbers, which are written with them.
+        rows = stage(cleaned.withColumn("_row", F.monotonically_increasing_id()), "marked")
+        going = going_on(rows, "_row", *words).withColumnRenamed("going", "_going")
+        return rows.join(going, "_row", "left")
+
+    return Rule(lambda paragraph: split_marked(paragraph, F.col("_going")), mark)
+
+
 def save(known: Sentences, path: str) -> None:
     spark = SparkSession.active()
     one = spark.createDataFrame([(json.dumps(asdict(known)),)], "known string")

@@ -35,6 +35,11 @@ def held_bytes(df: DataFrame) -> int:
     return sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
 
 
+def measured(lookup: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """A lookup side to broadcast if it is small; for joins that ``lookup_join`` doesn't make."""
+    return F.broadcast(lookup) if held_bytes(lookup) <= max_bytes else lookup
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,

@@ -143,3 +143,22 @@ def test_a_long_paragraph_is_cut_once(spark, known):
     begun = time.monotonic()
     assert len(cut(spark, text, known)) == 8000
     assert time.monotonic() - begun < 30  # each piece cut the whole paragraph again, in the square of its length
+
+
+def test_lists_longer_than_twenty_thousand_stay_whole(spark):
+    n = 20_500
+    # Two letters and a point within: an abbreviation once it stands before a full stop often.
+    word = F.concat(F.lit("q."), F.conv(F.col("id") + 36**3, 10, 36))
+    rows = spark.range(n).select(F.lower(word).alias("word"), F.lit(True).alias("stopped"), F.lit(None).cast("string").alias("next"))
+    much = spark.sql("select 'open' as word, false as stopped, cast(null as string) as next, 3000000L as n")
+    counted = rows.withColumn("n", F.lit(3000).cast("long")).unionByName(much)
+    scored = S.abbreviation_scores(S.stops_of(counted)).filter(f"score >= {S.fixed.ABBREVIATION_SCORE}")
+    assert scored.count() == n  # the case is one of more entries than were kept
+    whole, original = [], S.place_counts
+    S.place_counts = lambda places: counted
+    try:
+        shortened, _, _ = S.scores(spark.createDataFrame([("a",)], "paragraph string"))
+        whole = shortened.select("word").distinct().count()
+    finally:
+        S.place_counts = original
+    assert whole == n
