@@ -123,16 +123,20 @@ def explode_statements(
     keep: Sequence[str],
     min_chars: int = fixed.MIN_STATEMENT_CHARS,
     split: Callable[[Column], Column] = split_sentences,
+    mark: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One row per statement of at least ``min_chars`` characters.
 
     Rows are exploded before they are cleaned, so the patterns run as generated
     code on single strings.  (``paragraph_no``, ``sentence_no``) identifies a
     statement within its document.  ``split`` cuts a clean paragraph into sentences,
-    by the fixed rule or by a learned one (``sentences.split_learned``).
+    by the fixed rule or by a learned one (``sentences.rule``); ``mark`` may add columns
+    that it needs.
     """
     min_chars = max(min_chars, 1)
     cleaned = explode_clean_paragraphs(df, text, keep, min_chars)
+    if mark:
+        cleaned = mark(cleaned)
     return (
         explode_computed(
             cleaned,

@@ -22,8 +22,9 @@ def clean_statements(
     keep: Sequence[str] = ("ticker", "organisation"),
     min_chars: int = fixed.MIN_STATEMENT_CHARS,
     split: Callable[[Column], Column] = split_sentences,
+    mark: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    return explode_statements(documents, text, keep, min_chars, split)
+    return explode_statements(documents, text, keep, min_chars, split, mark)
 
 
 def topic_statements(model: Model, statements: DataFrame) -> DataFrame:

@@ -373,10 +373,10 @@ def sentence_starters(spark: SparkSession, folder: str) -> DataFrame:
 
 def learned_statements(spark: SparkSession, folder: str) -> DataFrame:
     """Statements as clean_statements, with sentence ends learned from these documents."""
-    known = sentences.train(_clean_paragraphs(spark, folder))
+    rule = sentences.rule(_clean_paragraphs(spark, folder))
     documents = spread(table(spark, folder, "documents"))
     return T.explode_statements(
-        documents, "text", ["doc_id"], split=lambda p: sentences.split_learned(p, known)
+        documents, "text", ["doc_id"], split=rule.split, mark=rule.mark
     ).select("doc_id", "paragraph_no", "sentence_no", "statement")
 
 

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -89,11 +88,10 @@ def build_statements(
     """
     table = spark.table(f"{schema}.{RAW}")
     with sized_shuffles(table.select("pdf_content")):
-        raw, split = spread(table), split_sentences
+        raw, rule = spread(table), sentences.Rule(split_sentences)
         if learned:
-            known = sentences.train(stage(explode_clean_paragraphs(raw, "pdf_content", []), "paragraphs"))
-            split = partial(sentences.split_learned, known=known)
-        cleaned = disclosure.clean_statements(raw, min_chars=min_chars, split=split)
+            rule = sentences.rule(stage(explode_clean_paragraphs(raw, "pdf_content", []), "paragraphs"))
+        cleaned = disclosure.clean_statements(raw, min_chars=min_chars, split=rule.split, mark=rule.mark)
         replace_table(cleaned, f"{schema}.{STATEMENTS}")
     return spark.table(f"{schema}.{STATEMENTS}")
 

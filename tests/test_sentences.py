@@ -162,3 +162,20 @@ def test_lists_longer_than_twenty_thousand_stay_whole(spark):
     finally:
         S.place_counts = original
     assert whole == n
+
+
+def test_lists_as_tables_cut_as_lists_in_the_plan_do(spark, paragraphs):
+    docs = [(i, t) for i, t in enumerate(_corpus()[:60])] + [
+        (7, "It was Firm Inc. The board met. So be it."), (None, "J. Miller came. K. went. Firm Inc. paid e.g. all."),
+        (None, "J. Miller came. K. went. Firm Inc. paid e.g. all."), (8, ""), (9, None), (10, "Inc."), (11, "a. b. c."),
+        (12, "Firm Inc. the St. Mary Inc. However St. Mary won. St. The end! Inc. The? e.g. However"),
+    ]
+    table = spark.createDataFrame(docs, "id int, body string").repartition(3)
+    got = {}
+    for plan_bytes in (S.PLAN_BYTES, 0):
+        rule = S.rule(paragraphs, plan_bytes=plan_bytes)
+        assert (rule.mark is None) == (plan_bytes > 0)
+        rows = T.explode_statements(table, "body", ["id"], 1, rule.split, rule.mark)
+        assert rows.columns == ["id", "paragraph_no", "sentence_no", "statement"]
+        got[plan_bytes] = sorted((str(r["id"]), *r[1:]) for r in rows.collect())
+    assert got[0] == got[S.PLAN_BYTES] and len(got[0]) > 60
