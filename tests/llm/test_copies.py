@@ -419,3 +419,47 @@ def test_shuffle_files_go_once_a_table_is_written(spark):
     assert not _shuffle_files(spark) - before
     assert sorted(r.id for r in written.collect()) == list(range(50))
     assert spark.conf.get(FREE_SHUFFLES, None) == known
+
+
+def test_a_full_bitmap_is_set_by_anchors_that_recur(spark, monkeypatch):
+    """Beyond its size anchors are counted in finer slots; what two share is still all found."""
+    monkeypatch.setattr(repeats, "MOST_BITS", 12)
+    r = random.Random(41)
+    texts = [bytes(r.choices(b"abcdefgh ", k=2_000)).decode() for _ in range(10)]
+    found = [(i, t, "en", "a") for i, t in enumerate(texts)]
+    docs = frame(spark, found).withColumnRenamed("doc_id", "doc")
+    packed = repeats.recurring_slots(docs, suffix_dedup.byte_units, 50, 20)
+    # 1,250 anchors that don't recur, in 4,096 slots: some 190 pairs would meet.
+    assert len(packed) == (1 << 12) // 8 and np.unpackbits(packed).sum() <= 80
+    found += [(20 + i, t[700:900] + t[:300], "en", "a") for i, t in enumerate(texts)]
+    got = suffix_dedup.remove_repeats(frame(spark, found)).collect()
+    assert Counter(
+        (r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, bytes(r.kept)) for r in got
+    ) == bytes_brute(found, 50)
+
+
+def test_wanted_suffixes_are_in_the_order_of_all():
+    r = random.Random(8)
+    for size, depth in ((0, 50), (1, 50), (30, 50), (900, 50), (900, 3), (400_000, 24)):
+        data = np.frombuffer(bytes(r.choices(b"ab", k=size // 2)) * 2, np.uint8)
+        wanted = np.array([r.random() < 0.3 for _ in data], bool)
+        order, rank = suffix_dedup.suffix_array(data, depth, wanted)
+        assert sorted(order.tolist()) == np.flatnonzero(wanted).tolist()
+        heads = [data[i : i + depth].tobytes() for i in order]
+        assert heads == sorted(heads)
+        assert len(set(rank[wanted].tolist())) == len({h + bytes(depth - len(h)) for h in heads})
+
+
+def test_contents_leave_in_batches_in_their_order(monkeypatch):
+    monkeypatch.setattr(repeats, "BATCH_ROWS", 4)
+    texts = [bytes(range(i, i + 100)) for i in range(3)]
+    pack = repeats.zstandard.ZstdCompressor().compress
+    wanted = [[{"anchor": i, "seg": j, "members": 2, "first": j, "last": j + i} for j in range(n)] for i, n in enumerate((1, 9, 3))]
+    kind = pa.list_(pa.struct([(c, pa.int64()) for c in ("anchor", "seg", "members", "first", "last")]))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([7, 8, 9]), pa.array([pack(t) for t in texts]), pa.array(wanted, kind)], names=["doc", "packed", "wanted"]
+    )
+    out = list(repeats._contents(suffix_dedup._cut_bytes(50))(iter([batch])))
+    assert max(b.num_rows for b in out) <= 8 and len(out) > 1
+    want = [(i, w["seg"], 7 + i, 2, texts[i][w["first"] : w["last"] + 50]) for i, ws in enumerate(wanted) for w in ws]
+    assert [tuple(row.values()) for row in pa.Table.from_batches(out).to_pylist()] == want
